@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageflow.plans import catalog
+from pageflow.plans import catalog, streams
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(catalog.QUERIES)
+    out.update(streams.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = dict(catalog.ORACLE_SQL)
+    out.update(streams.ORACLE_SQL)
     return out
