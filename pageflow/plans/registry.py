@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageflow.plans import catalog, streams
+from pageflow.plans import catalog, ingest, streams
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(catalog.QUERIES)
     out.update(streams.QUERIES)
+    out.update(ingest.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = dict(catalog.ORACLE_SQL)
     out.update(streams.ORACLE_SQL)
+    out.update(ingest.ORACLE_SQL)
     return out
