@@ -67,9 +67,10 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     page id) within the watermark before they reach the metrics.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
+    # one watermark for the whole stream (Spark refuses to redefine it downstream)
+    events = events.withWatermark("created_at", watermark)
     if dedup:
-        events = events.withWatermark("created_at", watermark).dropDuplicatesWithinWatermark(
-            ["domain", "page_id"])
+        events = events.dropDuplicatesWithinWatermark(["domain", "page_id"])
 
     def spam_rows(b: DataFrame) -> DataFrame:
         return spam.spam_alerts(b, F.current_timestamp())
@@ -79,10 +80,10 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
                  (PAGES_BY_ID, lambda b: b.select(*PAGES_BY_ID.columns)),
                  (SPAM_ALERTS, spam_rows)]
 
-    dm = metrics.domain_minute(events, METRIC_WINDOW, watermark)
+    dm = metrics.domain_minute(events, METRIC_WINDOW)
     metric_specs = [(LANGUAGE_ACTIVITY, metrics.language_rows), (BOT_ACTIVITY, metrics.bot_rows)]
 
-    bursts = keywords.keyword_bursts(events, BURST_WINDOW, burst_threshold, watermark)
+    bursts = keywords.keyword_bursts(events, BURST_WINDOW, burst_threshold)
     burst_specs = [(BREAKING_NEWS_ALERTS,
                     lambda b: keywords.burst_alerts(b, F.current_timestamp()))]
 
