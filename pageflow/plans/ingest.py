@@ -22,7 +22,7 @@ from pageflow.sources.sse import read_sse_dump, to_sse_frames
 LAYOUTS = 4
 NOT_JSON_EVERY, NOT_OBJECT_EVERY, CORRUPT_MODULUS = 7, 13, 50
 
-_dumps: dict[tuple[str, str], str] = {}
+_dumps: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
@@ -41,13 +41,26 @@ def _canonical(events: DataFrame) -> DataFrame:
     return require_fields(events).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
+def raw_dump_path(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> str:
+    """Write the raw JSON lines once per (application, input); raw events arrive as text."""
+    key = (spark.sparkContext.applicationId, sf_dir, "raw-corrupt" if corrupt else "raw")
+    with _lock:
+        if key not in _dumps:
+            path = scratch_path(spark, "raw-json")
+            _raw(spark, sf_dir, corrupt).select("value").write.text(path)
+            _dumps[key] = path
+        return _dumps[key]
+
+
 def q_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = normalize_events(_raw(spark, sf_dir), ingest_time=AS_OF)
+    raw = spark.read.text(raw_dump_path(spark, sf_dir))
+    good, _ = normalize_events(raw, ingest_time=AS_OF)
     return _canonical(good)
 
 
 def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejects = normalize_events(_raw(spark, sf_dir, corrupt=True), ingest_time=AS_OF)
+    raw = spark.read.text(raw_dump_path(spark, sf_dir, corrupt=True))
+    _, rejects = normalize_events(raw, ingest_time=AS_OF)
     return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rejects"))
 
 

@@ -5,11 +5,14 @@ the HTML whose <title> becomes the page title. Each event is matched to page
 ``event_id mod count(pages)``. Thirty days of event time are compressed sixty
 times into twelve hours so one- and ten-minute windows hold several rows.
 
-Scale notes: the page count is a scalar subquery answered from parquet
-footers; the join is an equi-join on the slot number, which is uniform (no hot
-key). Whether ``pages`` is broadcast is left to the size check of the planner
-(``spark.sql.autoBroadcastJoinThreshold``, re-checked at runtime by AQE) with
-a sort-merge join beyond it, because ``pages`` grows with the data.
+Scale notes: the page count is answered from parquet footers (no data read).
+The per-page work (two regex extractions over the whole HTML) runs once per
+page, before the join. The join is an equi-join on the slot number, which is
+uniform (no hot key). ``pages`` grows with the data, so its projected side is
+measured first (exact byte count, one aggregate over the cached projection):
+within the session's broadcast threshold it is broadcast and the events are
+joined map-side without a shuffle; beyond it the join is a shuffle join. The
+events side is never the broadcast side.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.timefn import micros_between
+from pageflow.operators.joins import checked_broadcast
 
 # Fixed values of the adapter (they define the test data's derived columns).
 HOST_PATTERN = r"^https?://([^/?#]+)"
@@ -33,6 +37,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A small table stored as one file / row group scans in a single task, and so
+    does everything fused onto that scan (join probe, tokenising, partial
+    aggregation). Below ``defaultParallelism`` splits the rows are spread over
+    all cores; a large table (more splits than cores) is returned unchanged,
+    so no shuffle is ever added to a big scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def page_sites(pages: DataFrame) -> DataFrame:
     """pages -> (slot, url, site, title): the per-page work, done once per page before the join."""
     host = F.regexp_extract("url", HOST_PATTERN, 1)
@@ -50,7 +69,7 @@ def compressed_time(ts: Column) -> Column:
         "MICROSECOND", F.floor(micros_between(origin, ts) / TIME_COMPRESSION), origin)
 
 
-def events_to_page_events(events: DataFrame, sites: DataFrame, n_pages: Column | int) -> DataFrame:
+def events_to_page_events(events: DataFrame, sites: DataFrame, n_pages: int) -> DataFrame:
     """Join events with their page and project the canonical event columns."""
     eid = F.col("event_id")
     title = (F.when(eid % URL_TITLE_EVERY == 0, F.col("_url"))
@@ -58,8 +77,7 @@ def events_to_page_events(events: DataFrame, sites: DataFrame, n_pages: Column |
              .when(eid % DOUBLE_TITLE_EVERY == 0, F.concat_ws(" ", "_title", "_title"))
              .otherwise(F.col("_title")))
     slotted = events.select("event_id", "ts", "user_id", "event_type",
-                            F.pmod(eid, F.lit(n_pages) if isinstance(n_pages, int) else n_pages)
-                            .alias("_slot"))
+                            F.pmod(eid, F.lit(n_pages)).alias("_slot"))
     joined = slotted.join(sites, "_slot")
     return joined.select(
         F.concat(F.col("_site"), F.lit("/"), F.col("event_type")).alias("domain"),
@@ -74,10 +92,12 @@ def events_to_page_events(events: DataFrame, sites: DataFrame, n_pages: Column |
 
 def page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events (created_at TIMESTAMP_NTZ, UTC wall clock) over ``sf_dir``."""
-    events = read_table(spark, sf_dir, "events")
+    events = spread_small_input(read_table(spark, sf_dir, "events")
+                                .select("event_id", "ts", "user_id", "event_type"))
     pages = read_table(spark, sf_dir, "pages")
-    n_pages = pages.select(F.count(F.lit(1))).scalar()
-    return events_to_page_events(events, page_sites(pages), n_pages)
+    n_pages = pages.count()
+    sites, _ = checked_broadcast(page_sites(pages))
+    return events_to_page_events(events, sites, n_pages)
 
 
 def stream_page_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -92,7 +112,7 @@ def stream_page_events(spark: SparkSession, sf_dir: str, max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(sf_dir)
     pages = read_table(spark, sf_dir, "pages")
-    # a stream cannot host a scalar subquery; the count comes from parquet footers
     n_pages = pages.count()
-    out = events_to_page_events(events, page_sites(pages), n_pages)
+    sites, _ = checked_broadcast(page_sites(pages))
+    out = events_to_page_events(events, sites, n_pages)
     return out.withColumn("created_at", F.col("created_at").cast("timestamp"))

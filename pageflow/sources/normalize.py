@@ -14,10 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageflow.functions.timefn import parse_event_time
 from pageflow.functions.truthy import first_truthy, nonzero
 from pageflow.schema import EVENT_COLUMNS, RAW_EVENT_SCHEMA
+from pageflow.sources.events import parse_once
 
 # Defaults when no candidate path holds a value, and the id range
 # of the stand-in page id for events without one.
@@ -27,6 +29,7 @@ HASHED_ID_RANGE = 10_000_000_000
 
 REASON_NOT_JSON = "not_json"
 REASON_NOT_OBJECT = "not_a_json_object"
+_CORRUPT = "_corrupt_record"
 
 
 def _id(c: Column) -> Column:
@@ -61,7 +64,9 @@ def normalize_events(raw: DataFrame, value_col: str = "value",
     ``ingest_time`` stands in for events without any time field (default: the
     query's current timestamp). A row whose time text does not parse keeps a
     null created_at here and is removed by ``require_fields`` downstream.
-    Rejects carry the raw text and a ``reject_reason``.
+    Rejects carry the raw text and a ``reject_reason``. Each document is parsed
+    once (see :func:`parse_once`); malformed text is recognised through the
+    parser's corrupt-record column, not by a second parse.
     """
     if ingest_time is None:
         ingest = F.current_timestamp()
@@ -70,16 +75,16 @@ def normalize_events(raw: DataFrame, value_col: str = "value",
     else:
         ingest = ingest_time
     text = F.col(value_col).cast("string")
-    keys = F.json_object_keys(text)
-    staged = raw.select(text.alias("_raw"), keys.alias("_keys"),
-                        F.from_json(text, RAW_EVENT_SCHEMA).alias("_e"))
-    rejects = staged.filter(F.col("_keys").isNull()).select(
+    schema = T.StructType(RAW_EVENT_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
+    parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    staged = parse_once(raw, [text.alias("_raw"), parsed.alias("_e")])
+    is_object = F.col("_raw").rlike(r"^\s*\{") & F.col("_e").isNotNull() & F.col(f"_e.{_CORRUPT}").isNull()
+    rejects = staged.filter(~F.coalesce(is_object, F.lit(False))).select(
         F.col("_raw").alias("value"),
         F.when(F.get_json_object("_raw", "$").isNotNull(), F.lit(REASON_NOT_OBJECT))
         .otherwise(F.lit(REASON_NOT_JSON)).alias("reject_reason"))
     cols = normalize_columns(F.col("_e"), ingest)
-    good = staged.filter(F.col("_keys").isNotNull()).select(
-        *[c.alias(n) for n, c in cols.items()])
+    good = staged.filter(is_object).select(*[c.alias(n) for n, c in cols.items()])
     # events without any id get a stable stand-in in [0, 1e10)
     hashed = F.pmod(F.xxhash64(F.concat_ws(":", "domain", "page_title", "_time_text")),
                     F.lit(HASHED_ID_RANGE))
