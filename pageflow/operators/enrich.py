@@ -16,18 +16,31 @@ def with_trend(metrics: DataFrame, window_minutes: int = 1, band: float = 0.2) -
 
     A previous window without rows counts as zero pages. ``up`` means more than
     (1 + band) times the previous count, ``down`` less than (1 - band) times.
+
+    One pass: every metric row is emitted for its own window and, as history,
+    for the next window; a single aggregation per (site, window) then holds the
+    current row and the previous count. No self-join, so the metrics are
+    computed once even when they are derived from raw events.
     """
-    prev = metrics.select(
+    cols = [c for c in metrics.columns if c != "trend"]
+    nxt = F.timestamp_add("MINUTE", F.lit(window_minutes), F.col("window_start"))
+    copies = metrics.select(
         "domain",
-        F.timestamp_add("MINUTE", F.lit(window_minutes), F.col("window_start")).alias("window_start"),
-        F.col("pages_created").alias("_prev"))
-    joined = metrics.drop("trend").join(prev, ["domain", "window_start"], "left")
+        F.explode(F.array(
+            F.struct(F.col("window_start").alias("at"), F.lit(True).alias("current")),
+            F.struct(nxt.alias("at"), F.lit(False).alias("current")))).alias("_c"),
+        F.struct(*cols).alias("_row"))
+    grouped = copies.groupBy("domain", F.col("_c.at").alias("_at")).agg(
+        F.max(F.when(F.col("_c.current"), F.col("_row"))).alias("_cur"),
+        F.sum(F.when(~F.col("_c.current"), F.col("_row.pages_created"))).alias("_prev"))
     p = F.coalesce(F.col("_prev"), F.lit(0))
-    n = F.col("pages_created")
+    n = F.col("_cur.pages_created")
     trend = (F.when(n > p * (1 + band), F.lit("up"))
              .when(n < p * (1 - band), F.lit("down"))
              .otherwise(F.lit("stable")))
-    return joined.withColumn("trend", trend).withColumn("previous_pages", p.cast("int")).drop("_prev")
+    return (grouped.filter(F.col("_cur").isNotNull())
+            .select(*[F.col(f"_cur.{c}").alias(c) for c in cols],
+                    trend.alias("trend"), p.cast("int").alias("previous_pages")))
 
 
 def top_actors(events: DataFrame, window: str = "1 minute", n: int = 3) -> DataFrame:
@@ -60,20 +73,23 @@ def top_actors(events: DataFrame, window: str = "1 minute", n: int = 3) -> DataF
 def spike_ratio(counts: DataFrame, window_minutes: int = 10, history: int = 6) -> DataFrame:
     """occurrences / (mean occurrences over the ``history`` previous windows).
 
-    Null when the previous windows hold no occurrence. Each count row is sent to
-    the ``history`` windows that follow it (explode), summed there and joined
-    back on (site, keyword, window): a bounded fan-out, no ordered scan per key.
+    Null when the previous windows hold no occurrence. Each count row is emitted
+    for its own window and, as history, for the ``history`` windows after it;
+    one aggregation per (site, keyword, window) then yields both numbers. A
+    bounded fan-out over already aggregated rows: no ordered scan per key and
+    no self-join (the counts are computed once).
     """
-    steps = F.sequence(F.lit(1), F.lit(history))
-    ahead = (counts.select("domain", "keyword", "window_start", "occurrences",
-                           F.explode(steps).alias("_k"))
-             .select("domain", "keyword",
-                     F.timestamp_add("MINUTE", F.col("_k") * window_minutes,
-                                     F.col("window_start")).alias("window_start"),
-                     "occurrences")
-             .groupBy("domain", "keyword", "window_start")
-             .agg(F.sum("occurrences").alias("_hist")))
-    joined = counts.join(ahead, ["domain", "keyword", "window_start"], "left")
+    cols = [c for c in counts.columns if c not in ("domain", "keyword")]
+    offsets = F.sequence(F.lit(0), F.lit(history))
+    copies = counts.select("domain", "keyword", F.explode(offsets).alias("_k"),
+                           F.struct(*cols).alias("_row"))
+    copies = copies.withColumn(
+        "_at", F.timestamp_add("MINUTE", F.col("_k") * window_minutes, F.col("_row.window_start")))
+    grouped = copies.groupBy("domain", "keyword", "_at").agg(
+        F.max(F.when(F.col("_k") == 0, F.col("_row"))).alias("_cur"),
+        F.sum(F.when(F.col("_k") > 0, F.col("_row.occurrences"))).alias("_hist"))
     ratio = F.when(F.col("_hist") > 0,
-                   (F.col("occurrences") * F.lit(history)).cast("double") / F.col("_hist"))
-    return joined.withColumn("spike_ratio", ratio).drop("_hist")
+                   (F.col("_cur.occurrences") * F.lit(history)).cast("double") / F.col("_hist"))
+    return (grouped.filter(F.col("_cur").isNotNull())
+            .select("domain", "keyword", *[F.col(f"_cur.{c}").alias(c) for c in cols],
+                    ratio.alias("spike_ratio")))

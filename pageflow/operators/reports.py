@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageflow.functions.timefn import hour_floor, micros_between, minutes_window_start
 from pageflow.functions.truthy import nonblank
+from pageflow.session import materialize
 
 
 def _ts(value: Column | str | None) -> Column:
@@ -75,7 +76,8 @@ def hourly_report(pages: DataFrame, domain: str | None = None, hours: int = 6,
     ``domain=None`` reports every site. A null is_bot counts as human here.
     ``top_authors`` is array<struct<name, pages, is_bot>> in rank order.
     """
-    base = _author_hours(_report_rows(pages, domain, hours, as_of))
+    # both parts start from the per-author aggregate: write it once, read it twice
+    base = materialize(_author_hours(_report_rows(pages, domain, hours, as_of)))
     hourly = base.groupBy("domain", "time_start").agg(
         F.sum("pages").alias("pages_created"),
         F.count_distinct("user_id").alias("unique_authors"),

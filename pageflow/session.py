@@ -62,3 +62,18 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, unique directory below the checkpoint root."""
     return f"{checkpoint_root(spark)}/pageflow/{kind}/{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Write ``df`` below the checkpoint root and return a DataFrame reading it back.
+
+    Used where one intermediate result feeds two branches of a plan: the input
+    is read once, and the lineage is cut so a lost executor does not recompute
+    it from the raw data. (Never ``localCheckpoint``: executor-local storage
+    does not survive executor loss.)
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+    return df.checkpoint(eager=True)
