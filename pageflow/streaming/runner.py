@@ -26,6 +26,7 @@ from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVI
                              PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.sources.tables import upsert_batch
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WATERMARK = "2 minutes"
 METRIC_WINDOW = "1 minute"
 BURST_WINDOW = "10 minutes"
@@ -58,15 +59,23 @@ def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame], DataFrame]]
 
 def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict | None = None,
               gen: int = 0, watermark: str = WATERMARK, burst_threshold: int = 5,
-              dedup: bool = False) -> list[StreamingQuery]:
+              dedup: bool = False, rocksdb_state: bool = True) -> list[StreamingQuery]:
     """Start the three queries; returns them (``spark.streams.awaitAnyTermination()`` to block).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, e.g.
     ``{"processingTime": "30 seconds"}`` in production, ``{"availableNow": True}``
     in tests and back-fills. ``dedup=True`` drops re-sent events (same site and
     page id) within the watermark before they reach the metrics.
+
+    ``rocksdb_state`` keeps aggregation state in RocksDB (off-heap, spills to
+    local disk, snapshots to the checkpoint) instead of executor heap: the burst
+    query holds a title set per (site, keyword, window). The provider is
+    recorded in each query's checkpoint, so a restarted query keeps its own.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
+    spark = events.sparkSession
+    if rocksdb_state:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     # one watermark for the whole stream (Spark refuses to redefine it downstream)
     events = events.withWatermark("created_at", watermark)
     if dedup:
