@@ -70,8 +70,9 @@ def _latest_base(spark: SparkSession, spec: TableSpec, root: str) -> tuple[str,
     return best
 
 
-def _resolved(spark: SparkSession, spec: TableSpec, root: str) -> tuple[DataFrame | None, tuple[int, int] | None]:
-    """Newest row per key, plus the highest (gen, batch_id) that went into it."""
+def _resolved(spark: SparkSession, spec: TableSpec, root: str,
+              limit: tuple[int, int] | None = None) -> tuple[DataFrame | None, tuple[int, int] | None]:
+    """Newest row per key (only log entries up to ``limit`` when given), plus the base's coverage."""
     parts = []
     upto = None
     base = _latest_base(spark, spec, root)
@@ -89,6 +90,9 @@ def _resolved(spark: SparkSession, spec: TableSpec, root: str) -> tuple[DataFram
             # partition filters: only directories newer than the base are listed and read
             log = log.filter((F.col("gen") > upto[0])
                              | ((F.col("gen") == upto[0]) & (F.col("batch_id") > upto[1])))
+        if limit is not None:
+            log = log.filter((F.col("gen") < limit[0])
+                             | ((F.col("gen") == limit[0]) & (F.col("batch_id") <= limit[1])))
         parts.append(log)
     if not parts:
         return None, None
@@ -108,21 +112,27 @@ def read_latest(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     return resolved.select(*spec.columns)
 
 
-def compact(spark: SparkSession, spec: TableSpec, root: str, partition_by: list[str] | None = None) -> str | None:
-    """Fold the log into a new base snapshot; returns its path (None when there is nothing to fold).
+def compact(spark: SparkSession, spec: TableSpec, root: str, upto: tuple[int, int] | None = None,
+            partition_by: list[str] | None = None) -> str | None:
+    """Fold the log up to ``upto = (gen, batch_id)`` into a new base; returns its path.
 
-    Old bases and log directories are left in place for a retention job; readers
-    ignore log entries already covered by the newest finished base.
+    Only fold batches the stream has *committed* (e.g. the last batch id in the
+    query's progress): a committed batch is never re-run, while an uncommitted
+    one may be retried and must stay in the log so its retry still wins.
+    Without ``upto`` everything present is folded (for a stopped stream).
+    Old bases and log directories are left for a retention job; readers ignore
+    log entries already covered by the newest finished base.
     """
-    resolved, _ = _resolved(spark, spec, root)
+    resolved, _ = _resolved(spark, spec, root, upto)
     if resolved is None:
         return None
-    top = resolved.agg(F.max(F.struct("gen", "batch_id")).alias("m")).first()["m"]
-    path = f"{table_path(root, spec)}/base/upto={int(top['gen'])}-{int(top['batch_id'])}"
-    writer = resolved.select(*spec.columns)
+    if upto is None:
+        top = resolved.agg(F.max(F.struct("gen", "batch_id")).alias("m")).first()["m"]
+        upto = (int(top["gen"]), int(top["batch_id"]))
+    path = f"{table_path(root, spec)}/base/upto={int(upto[0])}-{int(upto[1])}"
+    rows = resolved.select(*spec.columns)
     if partition_by:
-        writer = writer.repartition(*partition_by).sortWithinPartitions(*partition_by)
-        writer.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rows.repartition(*partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
-        writer.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(path)
     return path
