@@ -40,7 +40,7 @@ def main() -> None:
     only = [x for x in os.environ.get("BENCH_ONLY", "").split(",") if x]
 
     spark = get_session(f"local[{cpus}]", max(8, 2 * cpus), "pageflow-bench",
-                        {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                        {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
 
     jobs = {}

@@ -33,18 +33,18 @@ def payload_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """Return (df, broadcast?) after measuring df's size with one aggregate.
+    """Return (df, broadcast?) after measuring df's exact size with one aggregate.
 
-    The side is persisted first, so the measuring job also materialises it and
-    the join reads it from the cache instead of recomputing it. Within the
-    limit it is wrapped in ``broadcast()``; beyond it the caller's join stays
-    a shuffle join (sort-merge, with AQE skew handling).
+    Within the limit the side is persisted (the broadcast and any later query
+    over the same plan read the cache, and so does a repeated size check) and
+    wrapped in ``broadcast()``. Beyond it nothing is cached and the caller's
+    join stays a shuffle join (sort-merge, with AQE skew handling), so an
+    unexpectedly large side costs a re-read, never executor memory.
     """
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
     if limit <= 0:
         return df, False
-    df = df.persist()
     size = df.agg(payload_bytes(df).alias("b")).first()["b"] or 0
     if size <= limit:
-        return F.broadcast(df), True
+        return F.broadcast(df.persist()), True
     return df, False

@@ -109,3 +109,19 @@ def test_spike_ratio_uses_previous_six_windows(spark):
     assert got[0] is None
     assert got[10] == 2 * 6 / 2 * 2          # 4 / (2 / 6)
     assert got[70] == 6 * 6 / 4              # windows 10..60 hold 4 (window 0 is 70 min back)
+
+
+def test_adapter_join_same_without_broadcast(spark):
+    def rows():
+        return sorted(tuple(r) for r in metrics.language_activity(page_events(spark, SF_SMALL), exact=True).collect())
+
+    broadcast_rows = rows()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = metrics.language_activity(page_events(spark, SF_SMALL), exact=True)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert rows() == broadcast_rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
