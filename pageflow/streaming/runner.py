@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pageflow.operators import keywords, metrics, spam
 from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVITY, PAGES_BY_ID,
                              PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
+from pageflow.sources.export import alerts_to_key_value
 from pageflow.sources.tables import upsert_batch
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,19 +48,29 @@ def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int],
 
 
 def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame], DataFrame]]], root: str,
-                  gen: int) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function writing each (spec, projection) of the batch as an upsert."""
+                  gen: int, messages: tuple[str, Callable[[DataFrame], DataFrame]] | None = None
+                  ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function writing each (spec, projection) of the batch as an upsert.
+
+    ``messages = (folder, projection)`` also writes that projection as key/value
+    JSON messages, one directory per batch id (replaced when a batch is retried).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         for spec, project in specs:
             upsert_batch(project(batch), spec, root, gen, batch_id)
+        if messages is not None:
+            folder, project = messages
+            alerts_to_key_value(project(batch)).write.mode("overwrite").json(
+                f"{folder}/batch_id={batch_id}")
 
     return _guarded(write)
 
 
 def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict | None = None,
               gen: int = 0, watermark: str = WATERMARK, burst_threshold: int = 5,
-              dedup: bool = False, rocksdb_state: bool = True) -> list[StreamingQuery]:
+              dedup: bool = False, rocksdb_state: bool = True,
+              alert_messages: str | None = None) -> list[StreamingQuery]:
     """Start the three queries; returns them (``spark.streams.awaitAnyTermination()`` to block).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, e.g.
@@ -71,6 +82,10 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     local disk, snapshots to the checkpoint) instead of executor heap: the burst
     query holds a title set per (site, keyword, window). The provider is
     recorded in each query's checkpoint, so a restarted query keeps its own.
+
+    ``alert_messages`` (a folder) additionally writes every alert batch as
+    key/value JSON messages (``spam-alerts`` / ``breaking-news-alerts`` below it,
+    one directory per batch id): the shape of the alert topics.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
     spark = events.sparkSession
@@ -96,13 +111,20 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     burst_specs = [(BREAKING_NEWS_ALERTS,
                     lambda b: keywords.burst_alerts(b, F.current_timestamp()))]
 
+    messages = {}
+    if alert_messages:
+        messages = {"raw": (f"{alert_messages}/spam-alerts/gen={gen}", spam_rows),
+                    "bursts": (f"{alert_messages}/breaking-news-alerts/gen={gen}",
+                               lambda b: keywords.burst_alerts(b, F.current_timestamp()))}
+
     plans = [("raw", events, raw_specs, "append"),
              ("metrics", dm, metric_specs, "update"),
              ("bursts", bursts, burst_specs, "update")]
     started = []
     for name, frame, specs, mode in plans:
+        writer = upsert_writer(specs, root, gen, messages.get(name))
         q = (frame.writeStream.queryName(f"pageflow_{name}_{gen}")
-             .foreachBatch(upsert_writer(specs, root, gen))
+             .foreachBatch(writer)
              .outputMode(mode)
              .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
              .trigger(**trigger)

@@ -106,3 +106,9 @@ def test_lookup_limits_and_filters(spark):
     assert lookups.alert_rows(spam, "  ", severity="all").count() == 3
     with pytest.raises(ValueError):
         lookups.alert_rows(spam, severity="urgent")
+
+
+def test_hourly_report_max_rows_keeps_newest(spark):
+    ev = _report_events(spark)
+    rows = reports.hourly_report(ev, "d", 6, "2024-01-01 12:00:00", max_rows=2).orderBy("time_start").collect()
+    assert [(r.time_start.hour, r.pages_created) for r in rows] == [(11, 1), (12, 1)]

@@ -65,3 +65,15 @@ def test_resent_event_counts_twice_unless_dedup(spark):
     assert read_latest(spark, RAW_PAGES, root).count() == 2     # the raw table is keyed
     root, _ = _run(spark, batches, dedup=True)
     assert _windows(spark, root) == {"00:00": 2}
+
+
+def test_alert_messages_written_per_batch(spark):
+    src = _write_files([[_event(1, "00:00:05").replace('"title"', '"http://spam"')]])
+    raw = read_event_stream(spark, "text", {"maxFilesPerTrigger": 1}, path=src)
+    base = scratch_path(spark, "test-stream")
+    run_available_now(require_fields(parse_events(raw)), f"{base}/tables", f"{base}/cp",
+                      alert_messages=f"{base}/messages")
+    msgs = spark.read.json(f"{base}/messages/spam-alerts").collect()
+    assert len(msgs) == 1 and msgs[0].key == "d"
+    doc = json.loads(msgs[0].value)
+    assert doc["reason"] == "title_contains_url" and doc["created_at"] == "2024-01-01T00:00:05"
