@@ -455,3 +455,29 @@ select domain, strftime(alert_time, '%Y-%m-%dT%H:%M:%S') as alert_time, severity
             else strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') end as created_at
 from spam""",
 })
+
+
+def q_stored_pages_by_domain_range(spark, sf):
+    """The range lookup answered from the stored raw table (compacted, day-partitioned)."""
+    from pageflow.schema import RAW_PAGES
+    from pageflow.session import scratch_path
+    from pageflow.sources.tables import compact, read_latest, upsert_batch
+
+    root = scratch_path(spark, "stored-raw")
+    upsert_batch(page_events(spark, sf), RAW_PAGES, root, 0, 0)
+    compact(spark, RAW_PAGES, root)
+    lo, hi = lookups.parse_iso(RANGE_FROM), lookups.parse_iso(RANGE_TO)
+    key = ((F.col("domain") == LOOKUP_DOMAIN)
+           & F.col("created_at").between(F.lit(lo).cast("timestamp_ntz"),
+                                         F.lit(hi).cast("timestamp_ntz")))
+    days = F.col("date").between(F.lit(lo[:10]).cast("date"), F.lit(hi[:10]).cast("date"))
+    pages = read_latest(spark, RAW_PAGES, root, key, days)
+    return lookups.pages_by_domain(pages, LOOKUP_DOMAIN, RANGE_FROM, RANGE_TO, limit=500)
+
+
+QUERIES["stored_pages_by_domain_range"] = q_stored_pages_by_domain_range
+ORACLE_SQL["stored_pages_by_domain_range"] = PAGE_EVENTS_CTE + f"""
+select domain, created_at, page_id, page_title, user_id, user_name, is_bot, title_length
+from page_events where domain = '{LOOKUP_DOMAIN}'
+  and created_at between timestamp '2024-01-01 03:00:00' and timestamp '2024-01-01 05:00:00'
+order by created_at desc, page_id limit 500"""

@@ -67,26 +67,37 @@ class TableSpec:
     key: tuple[str, ...]
     # clustering order used by reads, as (column, descending) pairs
     order: tuple[tuple[str, bool], ...] = ()
+    # layout of the compacted base: a directory partition derived from key
+    # columns, as (name, SQL expression), and the order of rows inside files
+    partition: tuple[str, str] | None = None
+    sort: tuple[str, ...] = ()
 
 
+# Raw rows are partitioned by day (a bounded number of directories, unlike a
+# partition per site or user) and sorted by (site, time) inside each file, so
+# a site lookup prunes days by directory and row groups by parquet min/max.
 RAW_PAGES = TableSpec(
     "raw_pages",
     ("domain", "created_at", "page_id", "page_title", "user_id", "user_name", "is_bot",
      "title_length"),
     ("domain", "created_at", "page_id"),
     (("created_at", True), ("page_id", False)),
+    partition=("date", "to_date(created_at)"),
+    sort=("domain", "created_at"),
 )
 PAGES_BY_USER = TableSpec(
     "pages_by_user",
     ("user_id", "created_at", "page_id", "domain", "page_title", "user_name", "is_bot"),
     ("user_id", "created_at", "page_id"),
     (("created_at", True), ("page_id", False)),
+    sort=("user_id", "created_at"),
 )
 PAGES_BY_ID = TableSpec(
     "pages_by_id",
     ("page_id", "domain", "created_at", "page_title", "user_id", "user_name", "is_bot",
      "title_length"),
     ("page_id",),
+    sort=("page_id",),
 )
 LANGUAGE_ACTIVITY = TableSpec(
     "language_activity",

@@ -19,7 +19,7 @@ only ever pick a base whose writer finished (``_SUCCESS``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.operators.keyed import latest_per_key
@@ -71,7 +71,9 @@ def _latest_base(spark: SparkSession, spec: TableSpec, root: str) -> tuple[str,
 
 
 def _resolved(spark: SparkSession, spec: TableSpec, root: str,
-              limit: tuple[int, int] | None = None) -> tuple[DataFrame | None, tuple[int, int] | None]:
+              limit: tuple[int, int] | None = None, key_filter: Column | None = None,
+              partition_filter: Column | None = None
+              ) -> tuple[DataFrame | None, tuple[int, int] | None]:
     """Newest row per key (only log entries up to ``limit`` when given), plus the base's coverage."""
     parts = []
     upto = None
@@ -79,11 +81,18 @@ def _resolved(spark: SparkSession, spec: TableSpec, root: str,
     if base is not None:
         path, bgen, bbatch = base
         upto = (bgen, bbatch)
-        parts.append(spark.read.parquet(path).select(*spec.columns)
+        rows = spark.read.parquet(path)
+        if partition_filter is not None and spec.partition:
+            rows = rows.filter(partition_filter)
+        if key_filter is not None:
+            rows = rows.filter(key_filter)
+        parts.append(rows.select(*spec.columns)
                      .withColumn("gen", F.lit(bgen)).withColumn("batch_id", F.lit(bbatch).cast("long")))
     log_dir = f"{table_path(root, spec)}/log"
     if path_exists(spark, log_dir) and _children(spark, log_dir):
         log = spark.read.parquet(log_dir)
+        if key_filter is not None:
+            log = log.filter(key_filter)
         log = log.select(*spec.columns, F.col("gen").cast("int").alias("gen"),
                          F.col("batch_id").cast("long").alias("batch_id"))
         if upto is not None:
@@ -104,9 +113,18 @@ def _resolved(spark: SparkSession, spec: TableSpec, root: str,
     return latest_per_key(rows, list(spec.key), order), upto
 
 
-def read_latest(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """The table as of now: one row per primary key, newest write wins."""
-    resolved, _ = _resolved(spark, spec, root)
+def read_latest(spark: SparkSession, spec: TableSpec, root: str, key_filter: Column | None = None,
+                partition_filter: Column | None = None) -> DataFrame:
+    """The table as of now: one row per primary key, newest write wins.
+
+    ``key_filter`` may only reference key columns: it is applied before the
+    newest version of each key is chosen, so it reaches the parquet scans
+    (row-group skipping through min/max statistics). ``partition_filter``
+    references the base's partition column (e.g. ``date``) and prunes whole
+    directories of the compacted base; it must be implied by ``key_filter``.
+    """
+    resolved, _ = _resolved(spark, spec, root, key_filter=key_filter,
+                            partition_filter=partition_filter)
     if resolved is None:
         raise FileNotFoundError(f"table {spec.name} has no data under {root}")
     return resolved.select(*spec.columns)
@@ -131,8 +149,20 @@ def compact(spark: SparkSession, spec: TableSpec, root: str, upto: tuple[int, in
         upto = (int(top["gen"]), int(top["batch_id"]))
     path = f"{table_path(root, spec)}/base/upto={int(upto[0])}-{int(upto[1])}"
     rows = resolved.select(*spec.columns)
-    if partition_by:
-        rows.repartition(*partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    else:
-        rows.write.mode("overwrite").parquet(path)
+    parts = list(partition_by or [])
+    if spec.partition and not parts:
+        name, expr = spec.partition
+        rows = rows.withColumn(name, F.expr(expr))
+        parts = [name]
+    order = parts + [c for c in spec.sort if c not in parts]
+    if order:
+        # range partitioning splits a busy day over many tasks and files (a hash
+        # repartition by day would put a whole day into one task); rows are then
+        # sorted inside each file so min/max statistics on the sort columns prune.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    writer = rows.write.mode("overwrite")
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.parquet(path)
     return path

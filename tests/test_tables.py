@@ -45,3 +45,29 @@ def test_duplicate_keys_in_one_batch_resolve_deterministically(spark):
     root = scratch_path(spark, "test-tables")
     upsert_batch(_df(spark, [(1, "x", 2), (1, "a", 9), (1, "a", 3)]), SPEC, root, 0, 0)
     assert _state(spark, root) == [(1, "a", 3)]
+
+
+def test_raw_layout_and_pruned_reads(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from pageflow.schema import RAW_PAGES
+    from pageflow.sources.fixtures import page_events
+
+    root = scratch_path(spark, "test-layout")
+    pe = page_events(spark, "/root/testdata/sf0.001").select(*RAW_PAGES.columns)
+    shifted = pe.withColumn("created_at", F.timestamp_add("DAY", F.lit(1), F.col("created_at")))
+    upsert_batch(pe, RAW_PAGES, root, 0, 0)
+    upsert_batch(shifted, RAW_PAGES, root, 0, 1)
+    base = compact(spark, RAW_PAGES, root)
+    days = sorted(r.date.isoformat() for r in spark.read.parquet(base).select("date").distinct().collect())
+    assert days == ["2024-01-01", "2024-01-02"]
+    lo, hi = datetime(2024, 1, 2, 3), datetime(2024, 1, 2, 5)
+    key = (F.col("domain") == "example.com/view") & F.col("created_at").between(F.lit(lo), F.lit(hi))
+    part = F.col("date") == F.lit("2024-01-02").cast("date")
+    got = read_latest(spark, RAW_PAGES, root, key, part)
+    expect = shifted.filter(key)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(domain,example.com/view)" in plan
