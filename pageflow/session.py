@@ -17,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove reliable-checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -42,6 +44,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Event time is UTC wall clock throughout pageflow; pin the session zone before planning."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
