@@ -50,3 +50,12 @@ def parse_event_time(value: Column | str) -> Column:
     seconds = value.try_cast("double")
     return (F.when(seconds.isNotNull(), F.timestamp_micros(F.round(seconds * 1_000_000).cast("long")))
             .otherwise(F.try_to_timestamp(value)))
+
+
+def alert_timestamp(value: Column | str | None = None) -> Column:
+    """Alert write time: a given NTZ text / Column, else the query's current timestamp."""
+    if value is None:
+        return F.current_timestamp()
+    if isinstance(value, str):
+        return F.lit(value).cast("timestamp_ntz")
+    return value

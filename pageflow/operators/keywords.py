@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageflow.functions.text import MIN_KEYWORD_LENGTH, STOP_WORDS, keep_keyword, title_words
+from pageflow.functions.timefn import alert_timestamp
 
 
 def title_tokens(events: DataFrame, stop_words: Iterable[str] = STOP_WORDS,
@@ -74,18 +75,10 @@ def burst_alerts(bursts: DataFrame, alert_time: Column | str | None = None) -> D
     spike = F.col("spike_ratio") if "spike_ratio" in bursts.columns else F.lit(None).cast("double")
     return bursts.select(
         "domain",
-        _alert_time(alert_time).alias("alert_time"),
+        alert_timestamp(alert_time).alias("alert_time"),
         F.lit("keyword_burst").alias("alert_type"),
         "keyword",
         spike.alias("spike_ratio"),
         F.col("occurrences").cast("int").alias("pages_count"),
         "sample_pages", "window_start", "window_end",
     )
-
-
-def _alert_time(alert_time: Column | str | None) -> Column:
-    if alert_time is None:
-        return F.current_timestamp()
-    if isinstance(alert_time, str):
-        return F.lit(alert_time).cast("timestamp_ntz")
-    return alert_time

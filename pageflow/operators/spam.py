@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.rules import severity, spam_reason
-from pageflow.operators.keywords import _alert_time
+from pageflow.functions.timefn import alert_timestamp
 
 SPAM_COLUMNS = ["domain", "alert_time", "severity", "user_id", "user_name", "reason",
                 "page_title", "page_id", "created_at"]
@@ -20,5 +20,5 @@ def spam_alerts(events: DataFrame, alert_time: Column | str | None = None) -> Da
     flagged = events.withColumn("reason", spam_reason("page_title", "title_length"))
     flagged = flagged.filter(F.col("reason").isNotNull() & (F.col("is_bot") == F.lit(False)))
     return flagged.select(
-        "domain", _alert_time(alert_time).alias("alert_time"), severity("reason").alias("severity"),
+        "domain", alert_timestamp(alert_time).alias("alert_time"), severity("reason").alias("severity"),
         "user_id", "user_name", "reason", "page_title", "page_id", "created_at")

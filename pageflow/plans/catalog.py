@@ -481,3 +481,29 @@ select domain, created_at, page_id, page_title, user_id, user_name, is_bot, titl
 from page_events where domain = '{LOOKUP_DOMAIN}'
   and created_at between timestamp '2024-01-01 03:00:00' and timestamp '2024-01-01 05:00:00'
 order by created_at desc, page_id limit 500"""
+
+
+def q_raw_fanout_latest(spark, sf):
+    """One batch fanned out to the three query-shaped copies, a re-send resolved by key.
+
+    Batch 1 re-sends the first hour's events (as a producer retry would); the
+    resolved ``pages_by_id`` (newest write per page id) must equal the input.
+    """
+    from pageflow.schema import PAGES_BY_ID, PAGES_BY_USER, RAW_PAGES
+    from pageflow.session import scratch_path
+    from pageflow.sources.tables import read_latest, upsert_batch
+
+    root = scratch_path(spark, "fanout")
+    pe = page_events(spark, sf)
+    resend = pe.filter(F.hour("created_at") == 0)
+    for batch_id, batch in enumerate([pe, resend]):
+        tables = keyed.raw_fanout(batch)
+        for spec in (RAW_PAGES, PAGES_BY_USER, PAGES_BY_ID):
+            upsert_batch(tables[spec.name], spec, root, 0, batch_id)
+    return read_latest(spark, PAGES_BY_ID, root)
+
+
+QUERIES["raw_fanout_latest"] = q_raw_fanout_latest
+ORACLE_SQL["raw_fanout_latest"] = PAGE_EVENTS_CTE + """
+select page_id, domain, created_at, page_title, user_id, user_name, is_bot, title_length
+from page_events"""
