@@ -47,25 +47,34 @@ def keyword_bursts(events: DataFrame, window: str = "10 minutes", threshold: int
                    min_len: int = MIN_KEYWORD_LENGTH) -> DataFrame:
     """Words seen at least ``threshold`` times in one window of one site.
 
-    ``sample_pages`` lists every distinct title (sorted, ", "-joined). With
-    ``max_samples`` (batch only) it lists the ``max_samples`` smallest titles,
-    chosen by a per-group top-k that is limited map-side before the shuffle;
-    ``occurrences`` always counts every row.
+    ``sample_pages`` lists every distinct title (sorted, ", "-joined): partial
+    ``collect_set`` de-duplicates titles map-side. With ``max_samples`` (batch
+    only) it lists the ``max_samples`` smallest titles instead, so no group's
+    title set is ever gathered in one place: titles are first counted per
+    (site, keyword, window, title) -- which spreads a hot keyword over many
+    tasks -- then the occurrences are summed, and separately the k smallest
+    titles are picked by a top-k limited map-side. The two branches each read
+    the events (a single window computing both would buffer a hot group's whole
+    title set in one task). ``occurrences`` always counts every row.
     """
-    counts = keyword_counts(events, window, watermark, stop_words, min_len,
-                            titles=max_samples is None)
-    bursts = counts.filter(F.col("occurrences") >= threshold)
+    keys = ["domain", "keyword", "window_start", "window_end"]
     if max_samples is None:
-        out = bursts.withColumn("sample_pages", _sample_text(F.col("titles")))
+        counts = keyword_counts(events, window, watermark, stop_words, min_len)
+        out = (counts.filter(F.col("occurrences") >= threshold)
+               .withColumn("sample_pages", _sample_text(F.col("titles"))))
     else:
-        keys = ["domain", "keyword", "window_start"]
-        tokens = title_tokens(events, stop_words, min_len).withColumn(
-            "window_start", F.window("created_at", window).start)
-        distinct_titles = tokens.select(*keys, "page_title").distinct()
+        tokens = title_tokens(events, stop_words, min_len)
+        w = F.window("created_at", window)
+        per_title = (tokens.groupBy("domain", "keyword", w.alias("w"), "page_title")
+                     .agg(F.count(F.lit(1)).alias("n"))
+                     .select("domain", "keyword", F.col("w.start").alias("window_start"),
+                             F.col("w.end").alias("window_end"), "page_title", "n"))
+        totals = (per_title.groupBy(*keys).agg(F.sum("n").alias("occurrences"))
+                  .filter(F.col("occurrences") >= threshold))
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy("page_title"))
-        samples = (distinct_titles.withColumn("_r", rank).filter(F.col("_r") <= max_samples)
+        samples = (per_title.withColumn("_r", rank).filter(F.col("_r") <= max_samples)
                    .groupBy(*keys).agg(_sample_text(F.collect_list("page_title")).alias("sample_pages")))
-        out = bursts.join(samples, keys, "left")
+        out = totals.join(samples, keys)
     return out.select("domain", "keyword", "window_start", "window_end",
                       F.col("occurrences").cast("int").alias("occurrences"), "sample_pages")
 
