@@ -81,3 +81,25 @@ def test_truthy_chains_match_python_or(spark, texts, numbers):
     for r in rows:
         assert r.s == (r.a or r.b or r.c or "d")
         assert r.i == (r.x or r.y or r.z or 0)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3), st.sampled_from(["a", "b", "c"])),
+                min_size=1, max_size=80))
+def test_latest_per_key_idempotent_and_order_free(spark, rows):
+    from pageflow.operators.keyed import latest_per_key
+
+    df = spark.createDataFrame(rows, "k int, v int, s string")
+    order = [("v", True), ("s", False)]
+    once = latest_per_key(df, ["k"], order)
+    twice = latest_per_key(once, ["k"], order)
+    shuffled = latest_per_key(df.repartition(7), ["k"], order)
+    expect = {}
+    for k, v, s in rows:
+        best = expect.get(k)
+        if best is None or (-v, s) < (-best[0], best[1]):
+            expect[k] = (v, s)
+    got = sorted(tuple(r) for r in once.collect())
+    assert got == sorted((k, v, s) for k, (v, s) in expect.items())
+    assert sorted(tuple(r) for r in twice.collect()) == got
+    assert sorted(tuple(r) for r in shuffled.collect()) == got
