@@ -105,12 +105,18 @@ def stream_page_events(spark: SparkSession, sf_dir: str, max_files_per_trigger:
 
     created_at becomes a TIMESTAMP (session zone UTC) because watermarks refuse NTZ.
     """
-    events_schema = read_table(spark, sf_dir, "events").schema
-    reader = (spark.readStream.schema(events_schema)
+    static = read_table(spark, sf_dir, "events")
+    reader = (spark.readStream.schema(static.schema)
               .option("pathGlobFilter", "events.parquet"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(sf_dir)
+    events = reader.parquet(sf_dir).select("event_id", "ts", "user_id", "event_type")
+    # same rule as the batch adapter, judged on a batch view of the source (a
+    # stream has no partition count before it runs); a Kafka source would use
+    # its ``minPartitions`` option for this instead
+    cores = spark.sparkContext.defaultParallelism
+    if static.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores)
     pages = read_table(spark, sf_dir, "pages")
     n_pages = pages.count()
     sites, _ = checked_broadcast(page_sites(pages))

@@ -91,6 +91,8 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     spark = events.sparkSession
     if rocksdb_state:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        # commit a changelog per batch instead of uploading a full snapshot
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     # one watermark for the whole stream (Spark refuses to redefine it downstream)
     events = events.withWatermark("created_at", watermark)
     if dedup:
