@@ -32,7 +32,16 @@ def stream_tables_root(spark: SparkSession, sf_dir: str) -> str:
         if key not in _runs:
             base = scratch_path(spark, "stream")
             events = stream_page_events(spark, sf_dir)
-            run_available_now(events, f"{base}/tables", f"{base}/checkpoints")
+            # state partitions are fixed when a query first starts: size them to
+            # the cores instead of inheriting a large batch shuffle setting
+            old = spark.conf.get("spark.sql.shuffle.partitions")
+            cap = 2 * spark.sparkContext.defaultParallelism
+            if int(old) > cap:
+                spark.conf.set("spark.sql.shuffle.partitions", str(cap))
+            try:
+                run_available_now(events, f"{base}/tables", f"{base}/checkpoints")
+            finally:
+                spark.conf.set("spark.sql.shuffle.partitions", old)
             _runs[key] = f"{base}/tables"
         return _runs[key]
 

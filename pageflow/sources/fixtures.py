@@ -9,10 +9,10 @@ Scale notes: the page count is answered from parquet footers (no data read).
 The per-page work (two regex extractions over the whole HTML) runs once per
 page, before the join. The join is an equi-join on the slot number, which is
 uniform (no hot key). ``pages`` grows with the data, so its projected side is
-measured first (exact byte count, one aggregate over the cached projection):
-within the session's broadcast threshold it is broadcast and the events are
-joined map-side without a shuffle; beyond it the join is a shuffle join. The
-events side is never the broadcast side.
+measured first (exact byte count, one aggregate over the projection): within
+the session's broadcast threshold it is cached and broadcast, and the events
+are joined map-side without a shuffle; beyond it the join is a shuffle join.
+The events side is never the broadcast side.
 """
 
 from __future__ import annotations
