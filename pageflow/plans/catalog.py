@@ -296,19 +296,19 @@ select * from alerts where domain = '{LOOKUP_DOMAIN}' order by window_start desc
 select * from spam where severity = 'medium'
 order by domain, alert_time desc, created_at desc, page_id limit 500""",
     "top_domains_by_pages": PAGE_EVENTS_CTE + LANG_CTE + """
-select domain, sum(pages_created) as pages_created from lang group by domain
+select domain, sum(pages_created)::bigint as pages_created from lang group by domain
 order by pages_created desc, domain limit 20""",
     "top_domains_by_authors": PAGE_EVENTS_CTE + LANG_CTE + """
-select domain, sum(unique_authors) as unique_authors from lang group by domain
+select domain, sum(unique_authors)::bigint as unique_authors from lang group by domain
 order by unique_authors desc, domain limit 20""",
     "bot_share_by_domain": PAGE_EVENTS_CTE + BOT_CTE + """
 select domain, round(avg(bot_percent), 6) as bot_percent from bots group by domain
 order by bot_percent desc, domain limit 20""",
     "bot_human_by_domain": PAGE_EVENTS_CTE + BOT_CTE + """
-select domain, sum(bot_pages) as bot_pages, sum(human_pages) as human_pages from bots
+select domain, sum(bot_pages)::bigint as bot_pages, sum(human_pages)::bigint as human_pages from bots
 group by domain order by human_pages desc, domain limit 20""",
     "top_burst_keywords": PAGE_EVENTS_CTE + BURSTS_CTE + """
-select keyword, sum(pages_count) as pages_count from alerts group by keyword
+select keyword, sum(pages_count)::bigint as pages_count from alerts group by keyword
 order by pages_count desc, keyword limit 20""",
     "overview": PAGE_EVENTS_CTE + LANG_CTE + BURSTS_CTE + SPAM_CTE + """
 select (select count(distinct domain) from lang) as tracked_domains,
