@@ -13,7 +13,8 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, PAGE_EVENTS_CTE, SPAM_CTE
+from pageflow.operators import summaries
+from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, LANG_CTE, PAGE_EVENTS_CTE, SPAM_CTE
 from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVITY, PAGES_BY_ID,
                              PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.session import scratch_path
@@ -60,7 +61,16 @@ def _table(spec: TableSpec, drop: tuple[str, ...] = ()):
     return run
 
 
+def q_overview_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard overview as in production: over the three stored result tables."""
+    root = stream_tables_root(spark, sf_dir)
+    return summaries.overview(read_latest(spark, LANGUAGE_ACTIVITY, root),
+                              read_latest(spark, BREAKING_NEWS_ALERTS, root),
+                              read_latest(spark, SPAM_ALERTS, root))
+
+
 QUERIES = {
+    "overview_stored": q_overview_stored,
     "stream_raw": _table(RAW_PAGES),
     "stream_pages_by_user": _table(PAGES_BY_USER),
     "stream_pages_by_id": _table(PAGES_BY_ID),
@@ -72,6 +82,11 @@ QUERIES = {
 
 _RAW_COLS = ", ".join(RAW_PAGES.columns)
 ORACLE_SQL = {
+    "overview_stored": PAGE_EVENTS_CTE + LANG_CTE + BURSTS_CTE + SPAM_CTE + """
+select (select count(distinct domain) from lang) as tracked_domains,
+       (select sum(pages_created) from lang)::bigint as pages_in_windows,
+       (select count(*) from bursts) as breaking_alerts,
+       (select count(*) from spam) as spam_alerts""",
     "stream_raw": PAGE_EVENTS_CTE + f"\nselect {_RAW_COLS} from page_events",
     "stream_pages_by_user": PAGE_EVENTS_CTE
     + f"\nselect {', '.join(PAGES_BY_USER.columns)} from page_events",

@@ -12,6 +12,8 @@ import __spark_entry__ as entry
 from tools.check_oracle import TABLES, digest
 
 QUERIES = entry.queries()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 ORACLE = entry.oracle_sql()
 
 
@@ -44,6 +46,10 @@ def test_query_matches_oracle(spark, duck, name):
     if name not in ORACLE:
         assert df.columns
         return
+    rel = duck.sql(ORACLE[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == duck_types
     cur = duck.execute(ORACLE[name])
     cols = [d[0] for d in cur.description]
     expect = cur.fetchall()
