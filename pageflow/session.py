@@ -61,6 +61,9 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") and fallback is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares "
+                               "(a machine-local folder does not survive executor loss)")
         root = fallback or os.path.join("/tmp", "pageflow-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
