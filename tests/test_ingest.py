@@ -120,3 +120,18 @@ def test_sse_frames(spark):
     assert values == ['{"meta": {"domain": "a"}}', '{"meta":\n{"domain": "b"}}']
     good, bad = normalize_events(read_sse_dump(spark, d), ingest_time=INGEST)
     assert sorted(r.domain for r in good.collect()) == ["a", "b"] and bad.count() == 0
+
+
+def test_each_required_field_null_drops_the_row(spark):
+    full = {"domain": "d", "page_id": 1, "page_title": "t", "user_id": 2, "user_name": "u",
+            "is_bot": False, "created_at": "2026-05-10T18:55:10Z", "title_length": 1}
+    docs = [full]
+    for field in ("domain", "page_id", "created_at", "page_title", "user_id"):
+        doc = dict(full, page_id=full["page_id"] + len(docs))
+        doc[field] = None
+        docs.append(doc)
+    # optional fields may be null
+    docs.append(dict(full, page_id=99, user_name=None, is_bot=None, title_length=None))
+    raw = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
+    kept = sorted(r.page_id for r in require_fields(parse_events(raw)).collect())
+    assert kept == [1, 99]
