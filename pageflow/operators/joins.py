@@ -32,19 +32,28 @@ def payload_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.sum(width)
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, exact payload bytes) of ``df`` from one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), payload_bytes(df).alias("b")).first()
+    return int(row["n"]), int(row["b"] or 0)
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None,
+                      size: int | None = None) -> tuple[DataFrame, bool]:
     """Return (df, broadcast?) after measuring df's exact size with one aggregate.
 
     Within the limit the side is persisted (the broadcast and any later query
     over the same plan read the cache, and so does a repeated size check) and
     wrapped in ``broadcast()``. Beyond it nothing is cached and the caller's
     join stays a shuffle join (sort-merge, with AQE skew handling), so an
-    unexpectedly large side costs a re-read, never executor memory.
+    unexpectedly large side costs a re-read, never executor memory. ``size``
+    skips the measurement when the caller already has it (see :func:`measure`).
     """
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
     if limit <= 0:
         return df, False
-    size = df.agg(payload_bytes(df).alias("b")).first()["b"] or 0
+    if size is None:
+        size = measure(df)[1]
     if size <= limit:
         return F.broadcast(df.persist()), True
     return df, False

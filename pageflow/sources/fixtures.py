@@ -5,8 +5,8 @@ the HTML whose <title> becomes the page title. Each event is matched to page
 ``event_id mod count(pages)``. Thirty days of event time are compressed sixty
 times into twelve hours so one- and ten-minute windows hold several rows.
 
-Scale notes: the page count is answered from parquet footers (no data read).
-The per-page work (two regex extractions over the whole HTML) runs once per
+Scale notes: the page count and the exact size of the page side come from one
+aggregate over the page projection. The per-page work (two regex extractions over the whole HTML) runs once per
 page, before the join. The join is an equi-join on the slot number, which is
 uniform (no hot key). ``pages`` grows with the data, so its projected side is
 measured first (exact byte count, one aggregate over the projection): within
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.functions.timefn import micros_between
-from pageflow.operators.joins import checked_broadcast
+from pageflow.operators.joins import checked_broadcast, measure
 
 # Fixed values of the adapter (they define the test data's derived columns).
 HOST_PATTERN = r"^https?://([^/?#]+)"
@@ -94,12 +94,18 @@ def page_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical events (created_at TIMESTAMP_NTZ, UTC wall clock) over ``sf_dir``."""
     events = spread_small_input(read_table(spark, sf_dir, "events")
                                 .select("event_id", "ts", "user_id", "event_type"))
-    pages = read_table(spark, sf_dir, "pages")
-    n_pages = pages.count()
-    sites, _ = checked_broadcast(page_sites(pages))
+    sites, n_pages = _measured_sites(spark, sf_dir)
     return events_to_page_events(events, sites, n_pages)
 
 
+def _measured_sites(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The page side and the page count, from one aggregate (count and exact size)."""
+    sites = page_sites(read_table(spark, sf_dir, "pages"))
+    n_pages, size = measure(sites)
+    sites, _ = checked_broadcast(sites, size=size)
+    return sites, n_pages
+
+
 def stream_page_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The same adapter with ``events`` read as a file stream (stream-static join).
 
@@ -117,8 +123,6 @@ def stream_page_events(spark: SparkSession, sf_dir: str, max_files_per_trigger:
     cores = spark.sparkContext.defaultParallelism
     if static.rdd.getNumPartitions() < cores:
         events = events.repartition(cores)
-    pages = read_table(spark, sf_dir, "pages")
-    n_pages = pages.count()
-    sites, _ = checked_broadcast(page_sites(pages))
+    sites, n_pages = _measured_sites(spark, sf_dir)
     out = events_to_page_events(events, sites, n_pages)
     return out.withColumn("created_at", F.col("created_at").cast("timestamp"))
