@@ -70,19 +70,24 @@ def top_actors(events: DataFrame, window: str = "1 minute", n: int = 3) -> DataF
              "top_bots", "top_humans")
 
 
-def spike_ratio(counts: DataFrame, window_minutes: int = 10, history: int = 6) -> DataFrame:
+def spike_ratio(counts: DataFrame, window_minutes: int = 10, history: int = 6,
+                min_occurrences: int | None = None) -> DataFrame:
     """occurrences / (mean occurrences over the ``history`` previous windows).
 
     Null when the previous windows hold no occurrence. Each count row is emitted
     for its own window and, as history, for the ``history`` windows after it;
     one aggregation per (site, keyword, window) then yields both numbers. A
     bounded fan-out over already aggregated rows: no ordered scan per key and
-    no self-join (the counts are computed once).
+    no self-join (the counts are computed once). With ``min_occurrences`` only
+    windows at or above it are reported (the burst threshold): the others are
+    still sent forward as history, but their own copy is not kept.
     """
     cols = [c for c in counts.columns if c not in ("domain", "keyword")]
     offsets = F.sequence(F.lit(0), F.lit(history))
     copies = counts.select("domain", "keyword", F.explode(offsets).alias("_k"),
                            F.struct(*cols).alias("_row"))
+    if min_occurrences is not None:
+        copies = copies.filter((F.col("_k") > 0) | (F.col("_row.occurrences") >= min_occurrences))
     copies = copies.withColumn(
         "_at", F.timestamp_add("MINUTE", F.col("_k") * window_minutes, F.col("_row.window_start")))
     grouped = copies.groupBy("domain", "keyword", "_at").agg(

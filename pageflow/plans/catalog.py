@@ -72,8 +72,7 @@ def q_editor_patterns(spark, sf):
 
 def q_spike_ratio(spark, sf):
     counts = keywords.keyword_counts(page_events(spark, sf), titles=False)
-    return (enrich.spike_ratio(counts)
-            .filter(F.col("occurrences") >= BURST_THRESHOLD)
+    return (enrich.spike_ratio(counts, min_occurrences=BURST_THRESHOLD)
             .withColumn("occurrences", F.col("occurrences").cast("int")))
 
 
