@@ -25,31 +25,31 @@ def _norm(spark, docs):
 
 
 def test_complete_and_flat_fallbacks(spark):
-    complete = {"meta": {"domain": "en.wikipedia.org", "dt": "2026-05-10T18:55:10Z"},
+    complete = {"meta": {"domain": "en.example.org", "dt": "2026-05-10T18:55:10Z"},
                 "page": {"page_id": 11, "page_title": "Alpha"},
                 "performer": {"user_id": 5, "user_text": "Ann", "user_is_bot": True}}
-    flat = {"database": "dewiki", "page_id": 12, "title": "Beta", "user": "Bob", "bot": True,
+    flat = {"database": "desite", "page_id": 12, "title": "Beta", "user": "Bob", "bot": True,
             "timestamp": "2026-05-10T19:15:19.228+00:00"}
     (a, b), bad = _norm(spark, [complete, flat])
     assert bad == []
     assert (a.domain, a.page_id, a.page_title, a.user_id, a.user_name, a.is_bot, a.title_length) == \
-        ("en.wikipedia.org", 11, "Alpha", 5, "Ann", True, 5)
+        ("en.example.org", 11, "Alpha", 5, "Ann", True, 5)
     assert a.created_at == datetime(2026, 5, 10, 18, 55, 10)
     assert (b.domain, b.page_id, b.page_title, b.user_id, b.user_name, b.is_bot) == \
-        ("dewiki", 12, "Beta", 0, "Bob", True)
+        ("desite", 12, "Beta", 0, "Bob", True)
     assert b.created_at == datetime(2026, 5, 10, 19, 15, 19, 228000)
 
 
 def test_truthiness_fall_through(spark):
     docs = [
-        {"meta": {"domain": ""}, "database": "enwiki", "page": {"page_id": 1}, "dt": "2026-05-10T00:00:00Z"},
+        {"meta": {"domain": ""}, "database": "ensite", "page": {"page_id": 1}, "dt": "2026-05-10T00:00:00Z"},
         {"page": {"page_id": 0, "id": 7}, "dt": "2026-05-10T00:00:00Z"},
         {"page": {"page_id": 0}, "dt": "2026-05-10T00:00:00Z"},
         {"page": {"page_id": 3}, "performer": {"user_id": 0, "id": 9, "user_text": "", "name": "Nia"},
          "dt": "2026-05-10T00:00:00Z"},
     ]
     rows, _ = _norm(spark, docs)
-    assert rows[0].domain == "enwiki"
+    assert rows[0].domain == "ensite"
     assert rows[1].page_id == 7
     assert rows[2].page_id == 0                   # the last operand is kept even when zero
     assert (rows[3].user_id, rows[3].user_name) == (9, "Nia")

@@ -20,7 +20,7 @@ def _frame(doc: dict) -> str:
 
 def test_ingest_stream_sse_to_messages(spark):
     src = tempfile.mkdtemp(prefix="sse-in-")
-    docs = [{"meta": {"domain": "en.wikipedia.org", "dt": f"2026-05-10T18:5{i}:10Z"},
+    docs = [{"meta": {"domain": "en.example.org", "dt": f"2026-05-10T18:5{i}:10Z"},
              "page": {"page_id": i, "page_title": f"Page {i}"},
              "performer": {"user_id": i, "user_text": f"u{i}", "user_is_bot": i == 2}}
             for i in range(1, 4)]
@@ -36,8 +36,8 @@ def test_ingest_stream_sse_to_messages(spark):
     messages = spark.read.json(f"{base}/out")
     events = require_fields(parse_events(messages.select("value")))
     got = sorted((r.page_id, r.domain, r.page_title, r.is_bot) for r in events.collect())
-    assert got == [(1, "en.wikipedia.org", "Page 1", False), (2, "en.wikipedia.org", "Page 2", True),
-                   (3, "en.wikipedia.org", "Page 3", False)]
+    assert got == [(1, "en.example.org", "Page 1", False), (2, "en.example.org", "Page 2", True),
+                   (3, "en.example.org", "Page 3", False)]
     rejects = spark.read.json(f"{base}/rejects").collect()
     assert [(r.value, r.reject_reason) for r in rejects] == [("not json", "not_json")]
 
