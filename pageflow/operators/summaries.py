@@ -62,3 +62,33 @@ def overview(language: DataFrame, bursts: DataFrame, spam: DataFrame) -> DataFra
     return union.agg(*[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c)
                        for c in ("tracked_domains", "pages_in_windows", "breaking_alerts",
                                  "spam_alerts")])
+
+
+def overview_from_events(events: DataFrame, burst_window: str = "10 minutes",
+                         burst_threshold: int = 5) -> DataFrame:
+    """The same four numbers straight from events, in one scan.
+
+    Every event contributes one marker row (keyword null) plus one row per kept
+    keyword. A single aggregation per (site, keyword or marker, window) gives
+    page and spam counts on the marker rows and burst candidates on the keyword
+    rows; a global fold turns them into the four numbers. Pages in metric
+    windows equal all events, since windows partition them.
+    """
+    from pageflow.functions.rules import spam_reason
+    from pageflow.functions.text import keep_keyword, title_words
+
+    spam = spam_reason("page_title", "title_length").isNotNull() & (F.col("is_bot") == F.lit(False))
+    kept = F.filter(title_words("page_title"), lambda w: keep_keyword(w))
+    marker = F.array(F.lit(None).cast("string"))
+    rows = events.select("domain", F.window("created_at", burst_window).alias("w"),
+                         F.coalesce(spam, F.lit(False)).alias("spam"),
+                         F.explode(F.concat(marker, kept)).alias("keyword"))
+    groups = rows.groupBy("domain", "keyword", "w").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("spam").alias("s"))
+    is_marker = F.col("keyword").isNull()
+    return groups.agg(
+        F.count_distinct("domain").cast("long").alias("tracked_domains"),
+        F.coalesce(F.sum(F.when(is_marker, F.col("n"))), F.lit(0)).cast("long").alias("pages_in_windows"),
+        F.count_if(~is_marker & (F.col("n") >= burst_threshold)).cast("long").alias("breaking_alerts"),
+        F.coalesce(F.sum(F.when(is_marker, F.col("s"))), F.lit(0)).cast("long").alias("spam_alerts"),
+    )

@@ -116,7 +116,8 @@ QUERIES: dict[str, Query] = {
         _bots(s, sf), "bot_percent", "avg", digits=6),
     "bot_human_by_domain": lambda s, sf: summaries.bot_human_by_domain(_bots(s, sf)),
     "top_burst_keywords": lambda s, sf: summaries.top_keywords(_burst_alerts(s, sf)),
-    "overview": lambda s, sf: summaries.overview(_lang(s, sf), _bursts(s, sf), _spam(s, sf)),
+    "overview": lambda s, sf: summaries.overview_from_events(
+        page_events(s, sf), burst_threshold=BURST_THRESHOLD),
     # keyed tables
     "latest_per_key": lambda s, sf: keyed.latest_per_key(
         page_events(s, sf).select(*keyed.PAGES_BY_USER.columns), ["user_id"],

@@ -125,3 +125,15 @@ def test_adapter_join_same_without_broadcast(spark):
         assert rows() == broadcast_rows
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_overview_one_pass_equals_three_tables(spark):
+    from pageflow.operators import summaries
+    from pageflow.operators.spam import spam_alerts
+
+    pe = page_events(spark, SF_SMALL)
+    three = summaries.overview(metrics.language_activity(pe, exact=True), keywords.keyword_bursts(pe),
+                               spam_alerts(pe, "2024-01-01 12:00:00")).first()
+    one = summaries.overview_from_events(pe).first()
+    assert one.asDict() == three.asDict()
+    assert one.breaking_alerts > 0 and one.spam_alerts > 0
