@@ -49,13 +49,13 @@ def keyword_bursts(events: DataFrame, window: str = "10 minutes", threshold: int
 
     ``sample_pages`` lists every distinct title (sorted, ", "-joined): partial
     ``collect_set`` de-duplicates titles map-side. With ``max_samples`` (batch
-    only) it lists the ``max_samples`` smallest titles instead, so no group's
-    title set is ever gathered in one place: titles are first counted per
-    (site, keyword, window, title) -- which spreads a hot keyword over many
-    tasks -- then the occurrences are summed, and separately the k smallest
-    titles are picked by a top-k limited map-side. The two branches each read
-    the events (a single window computing both would buffer a hot group's whole
-    title set in one task). ``occurrences`` always counts every row.
+    only) it lists the ``max_samples`` smallest titles instead, and no group's
+    title set is ever gathered in one place: every token also emits a marker
+    row (null title), one aggregation counts per (site, keyword, window, title
+    or marker) -- the marker's count is the group's occurrences -- and a top-k
+    ordered nulls-first, limited map-side before the shuffle, keeps the marker
+    plus the k smallest titles. One scan, at most k + 1 rows per group and map
+    task. ``occurrences`` always counts every row.
     """
     keys = ["domain", "keyword", "window_start", "window_end"]
     if max_samples is None:
@@ -63,18 +63,21 @@ def keyword_bursts(events: DataFrame, window: str = "10 minutes", threshold: int
         out = (counts.filter(F.col("occurrences") >= threshold)
                .withColumn("sample_pages", _sample_text(F.col("titles"))))
     else:
-        tokens = title_tokens(events, stop_words, min_len)
+        tokens = title_tokens(events, stop_words, min_len).filter(F.col("page_title").isNotNull())
         w = F.window("created_at", window)
-        per_title = (tokens.groupBy("domain", "keyword", w.alias("w"), "page_title")
+        rows = tokens.select("domain", "keyword", w.alias("w"),
+                             F.explode(F.array(F.col("page_title"), F.lit(None).cast("string")))
+                             .alias("title"))
+        per_title = (rows.groupBy("domain", "keyword", "w", "title")
                      .agg(F.count(F.lit(1)).alias("n"))
                      .select("domain", "keyword", F.col("w.start").alias("window_start"),
-                             F.col("w.end").alias("window_end"), "page_title", "n"))
-        totals = (per_title.groupBy(*keys).agg(F.sum("n").alias("occurrences"))
-                  .filter(F.col("occurrences") >= threshold))
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("page_title"))
-        samples = (per_title.withColumn("_r", rank).filter(F.col("_r") <= max_samples)
-                   .groupBy(*keys).agg(_sample_text(F.collect_list("page_title")).alias("sample_pages")))
-        out = totals.join(samples, keys)
+                             F.col("w.end").alias("window_end"), "title", "n"))
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("title")))
+        top = per_title.withColumn("_r", rank).filter(F.col("_r") <= max_samples + 1)
+        out = (top.groupBy(*keys)
+               .agg(F.max(F.when(F.col("title").isNull(), F.col("n"))).alias("occurrences"),
+                    _sample_text(F.collect_list("title")).alias("sample_pages"))
+               .filter(F.col("occurrences") >= threshold))
     return out.select("domain", "keyword", "window_start", "window_end",
                       F.col("occurrences").cast("int").alias("occurrences"), "sample_pages")
 
