@@ -59,3 +59,24 @@ def alert_timestamp(value: Column | str | None = None) -> Column:
     if isinstance(value, str):
         return F.lit(value).cast("timestamp_ntz")
     return value
+
+
+# newest_key: (time descending, id ascending) packed into one DECIMAL(38,0)
+_KEY_TYPE = "decimal(38,0)"
+_ID_SPAN = "100000000000000000000"        # 10^20 > every shifted long id
+_ID_OFFSET = "9223372036854775808"        # 2^63 shifts any long id to >= 0
+
+
+def newest_key(ts: Column | str, row_id: Column | str) -> Column:
+    """A sortable key whose ``max`` is the newest row, the smallest id breaking ties.
+
+    ``micros(ts) * 10^20 + (10^20 - 1 - (id + 2^63))`` is exact for any long id
+    and fits DECIMAL(38,0). Unlike ``max(struct(...))`` (a struct buffer, which
+    forces a sort-based aggregate), ``max(key)`` / ``max_by(x, key)`` keep
+    fixed-width buffers and run as hash aggregates.
+    """
+    ts, row_id = _c(ts), _c(row_id)
+    micros = micros_between(F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    span = F.lit(_ID_SPAN).cast(_KEY_TYPE)
+    shifted = row_id.cast(_KEY_TYPE) + F.lit(_ID_OFFSET).cast(_KEY_TYPE)
+    return (micros.cast(_KEY_TYPE) * span + (span - F.lit(1).cast(_KEY_TYPE) - shifted)).cast(_KEY_TYPE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pageflow.functions.timefn import hour_floor, micros_between, minutes_window_start
+from pageflow.functions.timefn import hour_floor, micros_between, minutes_window_start, newest_key
 from pageflow.functions.truthy import nonblank
 from pageflow.session import materialize
 
@@ -46,11 +46,12 @@ def _author_hours(rows: DataFrame) -> DataFrame:
     """
     name = F.coalesce(nonblank(F.col("user_name")), F.lit("unknown"))
     return (rows.withColumn("time_start", hour_floor("created_at"))
+            .withColumn("_key", newest_key("created_at", "page_id"))
             .groupBy("domain", "time_start", "user_id", name.alias("name"))
             .agg(F.count(F.lit(1)).alias("pages"),
                  F.count_if(F.col("is_bot")).alias("bots"),
-                 F.max(F.struct(F.col("created_at"), (-F.col("page_id")).alias("neg_page_id"),
-                                F.col("is_bot"))).alias("newest")))
+                 F.max("_key").alias("newest"),
+                 F.max_by("is_bot", "_key").alias("newest_is_bot")))
 
 
 def hourly_top_authors(pages: DataFrame, domain: str | None = None, hours: int = 6,
@@ -67,7 +68,8 @@ def hourly_top_authors(pages: DataFrame, domain: str | None = None, hours: int =
 
 def _rank_authors(base: DataFrame, top_n: int) -> DataFrame:
     per_name = (base.groupBy("domain", "time_start", "name")
-                .agg(F.sum("pages").alias("pages"), F.max("newest").alias("newest")))
+                .agg(F.sum("pages").alias("pages"), F.max("newest").alias("newest"),
+                     F.max_by("newest_is_bot", "newest").alias("newest_is_bot")))
     rank = F.row_number().over(Window.partitionBy("domain", "time_start")
                                .orderBy(F.desc("pages"), F.desc("newest"), "name"))
     return (per_name.withColumn("rank", rank).filter(F.col("rank") <= top_n)
@@ -75,7 +77,7 @@ def _rank_authors(base: DataFrame, top_n: int) -> DataFrame:
                     F.timestamp_add("HOUR", F.lit(1), F.col("time_start")).alias("time_end"),
                     F.col("rank").cast("int").alias("rank"), "name",
                     F.col("pages").cast("long").alias("pages"),
-                    F.col("newest.is_bot").alias("is_bot")))
+                    F.col("newest_is_bot").alias("is_bot")))
 
 
 def hourly_report(pages: DataFrame, domain: str | None = None, hours: int = 6,
@@ -120,10 +122,10 @@ def editor_patterns(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     """
     if not 1 <= min_pages <= 100:
         raise ValueError("min_pages must be within 1..100")
-    g = pages.groupBy("user_id").agg(
+    g = pages.withColumn("_key", newest_key("created_at", "page_id")).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("pages_created"),
-        F.max(F.struct(F.col("created_at"), (-F.col("page_id")).alias("neg_page_id"),
-                       F.col("user_name"), F.col("is_bot"))).alias("_newest"),
+        F.max_by("user_name", "_key").alias("_newest_name"),
+        F.max_by("is_bot", "_key").alias("_newest_bot"),
         F.sort_array(F.collect_set("domain")).alias("domains"),
         F.sort_array(F.collect_set(F.hour("created_at"))).alias("active_hours_utc"),
         F.min("created_at").alias("_first"), F.max("created_at").alias("_last"),
@@ -131,8 +133,8 @@ def editor_patterns(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     n = F.col("pages_created")
     return g.select(
         "user_id",
-        F.col("_newest.user_name").alias("user_name"),
-        F.col("_newest.is_bot").alias("is_bot"),
+        F.col("_newest_name").alias("user_name"),
+        F.col("_newest_bot").alias("is_bot"),
         n.alias("pages_created"),
         F.size("domains").alias("domains_count"),
         "domains", "active_hours_utc",

@@ -103,3 +103,25 @@ def test_latest_per_key_idempotent_and_order_free(spark, rows):
     assert got == sorted((k, v, s) for k, (v, s) in expect.items())
     assert sorted(tuple(r) for r in twice.collect()) == got
     assert sorted(tuple(r) for r in shuffled.collect()) == got
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-2**63, 2**63 - 1),
+                          st.sampled_from(["2024-01-01 00:00:00", "2024-01-01 00:00:00.000001",
+                                           "1969-12-31 23:59:59.5", "2030-06-01 12:00:00"])),
+                min_size=1, max_size=60))
+def test_newest_key_orders_like_time_desc_id_asc(spark, rows):
+    from datetime import datetime
+
+    from pageflow.functions.timefn import newest_key
+
+    df = spark.createDataFrame(rows, "g int, id long, t string") \
+        .withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = {r.g: r.id for r in df.groupBy("g").agg(
+        F.max_by("id", newest_key("t", "id")).alias("id")).collect()}
+    expect = {}
+    for g, i, t in rows:
+        ts = datetime.fromisoformat(t)
+        if g not in expect or (ts, -i) > (expect[g][0], -expect[g][1]):
+            expect[g] = (ts, i)
+    assert got == {g: i for g, (ts, i) in expect.items()}
