@@ -5,7 +5,8 @@ least hash among its 5-word shingles, and a block is the run of windows with the
 anchors, so a window's match lies in a block with the same anchor or nowhere. All blocks of the corpus are indexed
 by anchor; a document is parsed greedily against the index, each block that an earlier document holds whole being
 a factor, and neighbouring factors merge. At factor boundaries, where an anchor is known but the block around it
-differs, the windows are checked one by one. Words in factors are removed.
+differs, the windows are checked one by one; a bitmap of these anchors tells a second scan which windows to send.
+Words in factors are removed.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ SHINGLE = 5
 #: Spans (8 bytes each) up to which the join that brings them to their documents broadcasts them.
 BROADCAST_SPANS = 2_000_000
 NO_ID = (1 << 63) - 1
-# block: to be looked up; factor: found in an earlier document; edge: its windows must be checked
+#: Bits of the map of edge anchors (8 MB): a full map costs rows, never results.
+EDGE_BITS = 1 << 26
+# block: to be looked up; factor: found in an earlier document; edge: an anchor whose blocks' windows must be checked
 BLOCK, FACTOR, EDGE = 0, 1, 2
 
 
@@ -109,8 +112,8 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Factors and edges from blocks sorted by (anchor, content, id).
 
-    The first document of a content keeps it; the others have a factor there. If an anchor has several contents,
-    the keepers' blocks are edges. Between batches only the keeper rows of the last anchor are held.
+    The first document of a content keeps it; the others have a factor there. An anchor with several contents is an
+    edge, told once with the anchor in place of the span. Between batches only one row of the last anchor is held.
     """
     held = [np.zeros(0, np.int64)] * 4
     several = False  # the held rows are of an anchor known to have several contents, and have been told
@@ -127,38 +130,39 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new_anchor[1:] = anchor[1:] != anchor[:-1]
             new = new_anchor.copy()
             new[1:] |= content[1:] != content[:-1]
-            keeper = doc == doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+            start = np.flatnonzero(new)
+            least = doc[start][np.cumsum(new) - 1]
             run = np.cumsum(new_anchor) - 1
             many = np.bincount(run[new]) > 1
-            told = np.zeros(n, dtype=bool)
-            if several and n_held:
-                many[0] = True
-                told[:n_held] = True
-            out.append((doc[~keeper], span[~keeper], FACTOR))
-            edge = keeper & many[run] & ~told
-            out.append((doc[edge], span[edge], EDGE))
-            last = run == run[-1]
+            told = np.zeros(len(many), dtype=bool)
+            told[0] = several and n_held > 0
+            many |= told
+            later = doc > least
+            out.append((doc[later], span[later], FACTOR))
+            edge = anchor[np.flatnonzero(new_anchor)][many & ~told]
+            out.append((edge, edge, EDGE))
             several = bool(many[-1])
-            # the keepers of the last content; of a told anchor one row is enough to go on
-            stay = np.flatnonzero(last & keeper & (np.cumsum(new) == new.sum()))
-            stay = stay[:1] if several else stay
-            held = [x[stay] for x in (anchor, content, doc, span)]
+            held = [x[start[-1]:start[-1] + 1] for x in (anchor, content, doc, span)]  # the first document of the last content
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([x[0] for x in out])), pa.array(np.concatenate([x[1] for x in out])),
             pa.array(np.concatenate([np.full(len(x[0]), x[2], np.int8) for x in out]))], ["id", "span", "kind"])
 
 
-def _edge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window hash, id, window start) for the windows of a document's edges."""
-    for batch in pieces(batches, "text"):
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
-        hashes, first = windows(words_of(batch.column("text")), WINDOW)
-        row, low, high = _spans(batch.column("spans"))
-        low, high = np.maximum(low, 0), np.minimum(high, np.diff(first)[row] - 1)
-        n = np.maximum(high - low + 1, 0)
-        row, at = np.repeat(row, n), np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashes[first[row] + at].view(np.int64)), pa.array(ids[row]), pa.array(_pack(at, at))], ["window", "id", "span"])
+def _edge_windows(bitmap):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(window hash, id, window) for the windows of blocks with an edge anchor, once per document."""
+        marked = bitmap.value
+        for batch in pieces(batches, "text"):
+            ids, words = batch.column("id").to_numpy(zero_copy_only=False), words_of(batch.column("text"))
+            hashes, first = windows(words, WINDOW)
+            row, anchor, _, low, high = blocks(words)
+            bit = anchor.view(np.uint64) % np.uint64(EDGE_BITS)
+            some = (marked[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            row, low, n = row[some], low[some], (high - low + 1)[some]
+            row, at = np.repeat(row, n), np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes[first[row] + at].view(np.int64)), pa.array(ids[row]), pa.array(_pack(at, at))], ["window", "id", "span"])
+    return emit
 
 
 def _spans(column: pa.Array) -> tuple[np.ndarray, ...]:
@@ -203,17 +207,19 @@ def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """(id, spans): for rows (id, text), the spans of window starts whose 13 words a smaller id holds too."""
-    found = (rows.mapInArrow(_block_rows, "anchor long, content long, id long, span long, kind byte")
-             .repartition("anchor").sortWithinPartitions("anchor", "content", "id")
-             .mapInArrow(_look_up, "id long, span long, kind byte"))
-    found = staged(found.groupBy("id", "kind").agg(F.collect_list("span").alias("spans"))  # a document's own
-                   .where("id is not null"))
-    edges = found.where(f"kind = {EDGE}").select("id", "spans")
-    checked = (_with_spans(rows, edges, "inner").select("id", "text", "spans").mapInArrow(_edge_windows, "window long, id long, span long")
-               .repartition("window").sortWithinPartitions("window", "id").mapInArrow(_matched, "id long, span long")
-               .groupBy("id").agg(F.collect_list("span").alias("spans")))
-    every = found.where(f"kind = {FACTOR}").select("id", "spans").unionByName(checked)
-    every = every.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = staged(rows.mapInArrow(_block_rows, "anchor long, content long, id long, span long, kind byte")
+                   .repartition("anchor").sortWithinPartitions("anchor", "content", "id")
+                   .mapInArrow(_look_up, "id long, span long, kind byte"))
+    # edge anchors as a bitmap of fixed size, put together by Spark
+    bit = F.pmod(F.col("span"), F.lit(EDGE_BITS))
+    edge = found.where(f"kind = {EDGE}").select(F.floor(bit / 32768).cast("int").alias("bucket"), (bit % 32768).cast("long").alias("bit"))
+    bitmap = np.zeros(EDGE_BITS // 8, np.uint8)
+    for r in edge.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # at most EDGE_BITS / 32768 rows of 4 KB
+        bitmap[r.bucket * 4096:(r.bucket + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
+    checked = (rows.mapInArrow(_edge_windows(rows.sparkSession.sparkContext.broadcast(bitmap)), "window long, id long, span long")
+               .repartition("window").sortWithinPartitions("window", "id").mapInArrow(_matched, "id long, span long"))
+    every = found.where(f"kind = {FACTOR}").select("id", "span").unionByName(checked)
+    every = every.groupBy("id").agg(F.collect_list("span").alias("spans"))  # one document's own
     return staged(every.mapInArrow(_merge_lists, "id long, spans array<long>"))
 
 
