@@ -274,6 +274,25 @@ def _bucketed(docs: DataFrame, rows: DataFrame, by: list[str], fn, schema: str)
     return join_narrow(docs, rows, "id", "inner").groupBy("bucket").applyInArrow(fn, schema)
 
 
+def _opened_links(texts: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) between groups, for pairs (open, asks, open_tokens, tokens).
+
+    An opened group is cut to chunks, the documents that ask it to blocks, and every block meets every chunk.
+    """
+    chunks = pairs.withColumn("chunks", F.ceil(F.col("open_tokens") / CHUNK_TOKENS))
+    load = pairs.groupBy("open").agg(F.ceil(F.sum("tokens") / CHUNK_TOKENS).alias("blocks"))
+    pairs = staged(chunks.join(load, "open"))
+    own = members.select("id", "sig", "n", "group")
+    queries = (pairs.join(own, F.col("asks") == F.col("group")).withColumn("block", F.pmod(F.xxhash64("sig"), "blocks"))
+               .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))))
+    owners = (pairs.select("open", "chunks", "blocks").distinct().join(own, F.col("open") == F.col("group"))
+              .withColumn("chunk", F.pmod(F.xxhash64("sig"), "chunks"))
+              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    columns = ["id", "n", "group", "open", "chunk", "block"]
+    opened = queries.select(*columns, F.lit(False).alias("owner")).unionByName(owners.select(*columns, F.lit(True).alias("owner")))
+    return _bucketed(texts, staged(opened), ["open", "chunk", "block"], _open, "a long, b long")
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -309,25 +328,21 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     pairs = (matrix.repartition("token").sortWithinPartitions("token", "group").mapInArrow(_group_pairs, "a long, b long, need long")
              .groupBy("a", "b").agg(F.count("*").alias("common"), F.min("need").alias("need")).where("common >= need"))
     pairs = staged(pairs.select("a", "b"))
-    # open the larger group of each pair, in chunks, for the documents of the other, in blocks
+    # the larger group of each pair is opened for the other; first each group asks its largest neighbour only, then
+    # the pairs that are still in different components are left
     sizes = members.groupBy("group").agg(F.sum("n").alias("tokens"))
     a, b = (sizes.select(F.col("group").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in "ab")
-    both = pairs.join(a, "a").join(b, "b")
     first = F.col("a_tokens") >= F.col("b_tokens")
-    both = both.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("open"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("asks"),
-                       F.ceil(F.greatest("a_tokens", "b_tokens") / CHUNK_TOKENS).alias("chunks"), F.least("a_tokens", "b_tokens").alias("tokens"))
-    load = both.groupBy("open").agg(F.ceil(F.sum("tokens") / CHUNK_TOKENS).alias("blocks"))
-    both = both.join(load, "open")
-    own = members.select("id", "sig", "n", "group")
-    queries = (both.join(own, F.col("asks") == F.col("group")).withColumn("block", F.pmod(F.xxhash64("sig"), "blocks"))
-               .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))))
-    owners = (both.select("open", "chunks", "blocks").distinct().join(own, F.col("open") == F.col("group"))
-              .withColumn("chunk", F.pmod(F.xxhash64("sig"), "chunks"))
-              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
-    opened = queries.withColumn("owner", F.lit(False)).unionByName(owners.withColumn("owner", F.lit(True)), allowMissingColumns=True)
-    links = _bucketed(texts, staged(opened.select("id", "n", "group", "open", "chunk", "block", "owner")), ["open", "chunk", "block"],
-                      _open, "a long, b long")
-    reached = components(links)
+    both = staged(pairs.join(a, "a").join(b, "b").select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("open"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("asks"),
+        F.greatest("a_tokens", "b_tokens").alias("open_tokens"), F.least("a_tokens", "b_tokens").alias("tokens")))
+    near = both.groupBy("asks").agg(F.max(F.struct("open_tokens", "open", "tokens")).alias("x")).select("asks", "x.*")
+    links = staged(_opened_links(texts, members, near))
+    part = staged(components(links))
+    of_open, of_asks = (part.select(F.col("id").alias(x), F.col("component_id").alias(f"{x}_part")) for x in ("open", "asks"))
+    rest = both.join(of_open, "open", "left").join(of_asks, "asks", "left").where(
+        F.coalesce("open_part", "open") != F.coalesce("asks_part", "asks")).select(both.columns)
+    reached = components(links.unionByName(_opened_links(texts, members, staged(rest))))
     whole = members.join(reached, members["group"] == reached["id"], "left").select(
         "sig", members["id"], F.coalesce("component_id", "group").alias("root"))
     least = whole.groupBy("root").agg(F.min("id").alias("least"))
