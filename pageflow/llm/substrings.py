@@ -85,19 +85,25 @@ def _merged(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndar
     return doc[start], low[start], reach[last] - rank[start] * step
 
 
+def _known(doc: np.ndarray, *key: np.ndarray) -> np.ndarray:
+    """Rows whose key a smaller id of the same batch has: copies are settled before the shuffle."""
+    order = np.lexsort((doc, *key))
+    new = np.zeros(len(doc), dtype=bool)
+    new[:1] = True
+    for x in key:
+        new[1:] |= x[order][1:] != x[order][:-1]
+    known = np.zeros(len(doc), dtype=bool)
+    if len(doc):
+        known[order] = doc[order] > doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return known
+
+
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 1 << 23):
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         row, anchor, content, low, high = blocks(words_of(batch.column("text")))
         doc = ids[row]
-        # what a smaller id of this batch already holds needs no look-up: copies are settled before the shuffle
-        order = np.lexsort((doc, content, anchor))
-        a, c, d = anchor[order], content[order], doc[order]
-        new = np.ones(len(a), dtype=bool)
-        new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
-        least = d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(a) else d
-        known = np.zeros(len(a), dtype=bool)
-        known[order] = d > least
+        known = _known(doc, content, anchor)
         fdoc, flow, fhigh = _merged(doc[known], low[known], high[known])
         rest = ~known
         yield pa.RecordBatch.from_arrays([
@@ -160,8 +166,12 @@ def _edge_windows(bitmap):
             some = (marked[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
             row, low, n = row[some], low[some], (high - low + 1)[some]
             row, at = np.repeat(row, n), np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            window, doc = hashes[first[row] + at].view(np.int64), ids[row]
+            known = _known(doc, window)
+            window[known] = mix(doc[known].view(np.uint64)).view(np.int64)  # needs no look-up: goes anywhere
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[first[row] + at].view(np.int64)), pa.array(ids[row]), pa.array(_pack(at, at))], ["window", "id", "span"])
+                [pa.array(window), pa.array(doc), pa.array(_pack(at, at)), pa.array(np.where(known, FACTOR, BLOCK).astype(np.int8))],
+                ["window", "id", "span", "kind"])
     return emit
 
 
@@ -176,7 +186,11 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of windows sorted by (window, id) that a smaller id holds."""
     window_, least = None, None
     for batch in batches:
-        window, doc, span = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("window", "id", "span"))
+        done = batch.column("kind").to_numpy(zero_copy_only=False) == FACTOR
+        every = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("window", "id", "span")]
+        if done.any():
+            yield pa.RecordBatch.from_arrays([pa.array(every[1][done]), pa.array(every[2][done])], ["id", "span"])
+        window, doc, span = (x[~done] for x in every)
         if not len(window):
             continue
         new = np.ones(len(window), dtype=bool)
@@ -216,7 +230,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     bitmap = np.zeros(EDGE_BITS // 8, np.uint8)
     for r in edge.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # at most EDGE_BITS / 32768 rows of 4 KB
         bitmap[r.bucket * 4096:(r.bucket + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
-    checked = (rows.mapInArrow(_edge_windows(rows.sparkSession.sparkContext.broadcast(bitmap)), "window long, id long, span long")
+    checked = (rows.mapInArrow(_edge_windows(rows.sparkSession.sparkContext.broadcast(bitmap)), "window long, id long, span long, kind byte")
                .repartition("window").sortWithinPartitions("window", "id").mapInArrow(_matched, "id long, span long"))
     every = found.where(f"kind = {FACTOR}").select("id", "span").unionByName(checked)
     every = every.groupBy("id").agg(F.collect_list("span").alias("spans"))  # one document's own
