@@ -11,7 +11,7 @@ shingles as (
   select distinct doc_id, s from (
     select doc_id, unnest(case when len(w) = 0 then []
                                when len(w) < 5 then [array_to_string(w, ' ')]
-                               else list_transform(generate_series(1, len(w) - 4), i -> array_to_string(w[i:i + 4], ' ')) end) s from d)),
+                               else list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) end) s from d)),
 sizes as (select doc_id, count(*) n from shingles group by doc_id),
 common as (select x.doc_id a, y.doc_id b, count(*) c from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by 1, 2),
 links as (select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * c >= 80 * (p.n + q.n - c)),
@@ -34,10 +34,10 @@ docs_of as (select host, count(distinct (no_text, t)) n from d group by host),
 counts as (select host, k, count(distinct t) c from normal where k <> '' group by host, k),
 bad as (select host, k from counts join docs_of using (host) where c >= {quality.MIN_DOCS} and c > {quality.MAX_SHARE} * n),
 gone as (select rid, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) n from normal join bad using (host, k) group by rid),
-f as (select doc_id, len(w)::bigint n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::bigint word_chars,
+f as (select doc_id, len(w)::bigint n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint word_chars,
         len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint n_symbols,
-        (len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-         - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))))::bigint n_dup_lines,
+        (len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+         - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))))::bigint n_dup_lines,
         coalesce(repeated.n, 0)::bigint n_repeat_words, coalesce(gone.n, 0)::bigint n_removed_words
       from w left join repeated using (rid) left join gone using (rid)),
 g as (select *, n_words < {quality.MIN_WORDS} or 100 * n_repeat_words > 50 * n_words as base_failed from f)
@@ -51,6 +51,6 @@ first as (select k, min(doc_id) least from windows group by k),
 gone as (select distinct doc_id, i + j p from windows join first using (k), (select unnest(generate_series(0, 12)) j) where least < doc_id),
 lists as (select doc_id, list(p) ps from gone group by doc_id)
 select w.doc_id, len(w)::bigint n_words, coalesce(len(ps), 0)::bigint n_removed,
-  sha256(array_to_string(case when ps is null then w else list_filter(w, (x, i) -> not list_contains(ps, i)) end, ' ')) kept_sha256
+  sha256(array_to_string(case when ps is null then w else list_filter(w, lambda x, i: not list_contains(ps, i)) end, ' ')) kept_sha256
 from w left join lists on lists.doc_id = w.doc_id
 """
