@@ -40,16 +40,21 @@ def hour_floor(ts: Column | str) -> Column:
     return minutes_window_start(ts, 60)
 
 
+_LAST_SECOND = 253_402_300_799.0  # 9999-12-31 23:59:59 UTC
+
+
 def parse_event_time(value: Column | str) -> Column:
     """ISO-8601 text (``Z`` or an offset, optional fraction) or epoch seconds -> TIMESTAMP.
 
-    Invalid text gives null (``try_to_timestamp`` / ``try_cast``), so ANSI mode
+    Invalid text and numbers out of range give null (``try_to_timestamp`` / ``try_cast``), so ANSI mode
     can stay on while bad rows are filtered out downstream.
     """
     value = _c(value)
     seconds = value.try_cast("double")
-    return (F.when(seconds.isNotNull(), F.timestamp_micros(F.round(seconds * 1_000_000).cast("long")))
-            .otherwise(F.try_to_timestamp(value)))
+    # a number beyond the year 9999 (NaN and infinity too) is no time; NaN compares as the largest
+    in_range = F.abs(seconds) <= F.lit(_LAST_SECOND)
+    return (F.when(seconds.isNull(), F.try_to_timestamp(value))
+            .when(in_range, F.timestamp_micros(F.round(seconds * 1_000_000).cast("long"))))
 
 
 def alert_timestamp(value: Column | str | None = None) -> Column:

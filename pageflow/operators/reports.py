@@ -18,14 +18,8 @@ def _ts(value: Column | str | None) -> Column:
     return value
 
 
-def _report_rows(pages: DataFrame, domain: str | None, hours: int, as_of: Column | str | None,
-                 max_rows: int | None = None) -> DataFrame:
-    """Rows of the last ``hours`` hours up to ``as_of`` (both ends inclusive), one site or all.
-
-    ``max_rows`` keeps only the newest rows (the source read at most 5000 and
-    could lose the oldest hours); the default reads everything in the range.
-    The cut is a top-n (per-partition top-n, then a merge), not a global sort.
-    """
+def _report_rows(pages: DataFrame, domain: str | None, hours: int, as_of: Column | str | None) -> DataFrame:
+    """Rows of the last ``hours`` hours up to ``as_of`` (both ends inclusive), one site or all; never cut."""
     if not 1 <= hours <= 24:
         raise ValueError("hours must be within 1..24")
     end = _ts(as_of)
@@ -33,10 +27,7 @@ def _report_rows(pages: DataFrame, domain: str | None, hours: int, as_of: Column
     rows = pages
     if domain is not None:
         rows = rows.filter(F.col("domain") == domain)
-    rows = rows.filter((F.col("created_at") >= start) & (F.col("created_at") <= end))
-    if max_rows is not None:
-        rows = rows.orderBy(F.desc("created_at"), "page_id").limit(max_rows)
-    return rows
+    return rows.filter((F.col("created_at") >= start) & (F.col("created_at") <= end))
 
 
 def _author_hours(rows: DataFrame) -> DataFrame:
@@ -81,15 +72,14 @@ def _rank_authors(base: DataFrame, top_n: int) -> DataFrame:
 
 
 def hourly_report(pages: DataFrame, domain: str | None = None, hours: int = 6,
-                  as_of: Column | str | None = None, top_n: int = 10,
-                  max_rows: int | None = None) -> DataFrame:
+                  as_of: Column | str | None = None, top_n: int = 10) -> DataFrame:
     """Per UTC hour: pages, exact distinct authors, bot share (half-even, 2 places), top authors.
 
     ``domain=None`` reports every site. A null is_bot counts as human here.
-    ``top_authors`` is array<struct<name, pages, is_bot>> in rank order.
+    ``top_authors`` is array<struct<name, pages, is_bot>> in rank order. Rows come by time and site.
     """
     # both parts start from the per-author aggregate: write it once, read it twice
-    base = materialize(_author_hours(_report_rows(pages, domain, hours, as_of, max_rows)))
+    base = materialize(_author_hours(_report_rows(pages, domain, hours, as_of)))
     hourly = base.groupBy("domain", "time_start").agg(
         F.sum("pages").alias("pages_created"),
         F.count_distinct("user_id").alias("unique_authors"),
@@ -109,7 +99,8 @@ def hourly_report(pages: DataFrame, domain: str | None = None, hours: int = 6,
                     F.transform("_t", lambda x: F.struct(x["name"].alias("name"),
                                                          x["pages"].alias("pages"),
                                                          x["is_bot"].alias("is_bot")))
-                    .alias("top_authors")))
+                    .alias("top_authors"))
+            .orderBy("time_start", "domain"))
 
 
 def editor_patterns(pages: DataFrame, min_pages: int = 5) -> DataFrame:
@@ -141,7 +132,7 @@ def editor_patterns(pages: DataFrame, min_pages: int = 5) -> DataFrame:
         F.when(n > 1, micros_between("_first", "_last") / F.lit(1_000_000.0) / (n - 1))
         .alias("avg_seconds_between_pages"),
         (F.size("domains") == 1).alias("has_domain_specialization"),
-    )
+    ).orderBy(F.desc("pages_created"), "user_id")
 
 
 def editor_gaps(pages: DataFrame, bucket_minutes: int = 1) -> DataFrame:

@@ -108,7 +108,9 @@ def test_lookup_limits_and_filters(spark):
         lookups.alert_rows(spam, severity="urgent")
 
 
-def test_hourly_report_max_rows_keeps_newest(spark):
+def test_reports_come_in_order(spark):
     ev = _report_events(spark)
-    rows = reports.hourly_report(ev, "d", 6, "2024-01-01 12:00:00", max_rows=2).orderBy("time_start").collect()
-    assert [(r.time_start.hour, r.pages_created) for r in rows] == [(11, 1), (12, 1)]
+    hours = [(r.time_start, r.domain) for r in reports.hourly_report(ev, None, 24, "2024-01-01 12:00:00").collect()]
+    assert hours == sorted(hours) and hours
+    editors = [(-r.pages_created, r.user_id) for r in reports.editor_patterns(ev, 1).collect()]
+    assert editors == sorted(editors) and editors

@@ -107,3 +107,12 @@ def test_spam_uses_whole_title(spark):
     df = spark.createDataFrame([(long_title, len(long_title))], "t string, n int")
     assert df.select(spam_reason("t", "n")).first()[0] == "title_contains_url"
     assert df.select(F.length("t")).first()[0] == 5020
+
+
+def test_numbers_out_of_range_are_no_time(spark):
+    from pageflow.functions.timefn import parse_event_time
+
+    values = ["NaN", "Infinity", "-Infinity", "1e30", "99999999999999", "1715360000000000", "1778440519"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r.t for r in df.select("v", parse_event_time("v").alias("t")).collect()]
+    assert got[:6] == [None] * 6 and got[6] is not None
