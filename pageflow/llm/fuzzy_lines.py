@@ -32,19 +32,22 @@ _NORMAL = np.where(_digit, 0x30, LOWER).astype(np.uint8)
 _in_line = _bytes != 0x0A
 
 
-def lines_of(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(content words, first word of every line, line's row, line number, range of rows) of the lines with enough words."""
+def lines_of(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """(content words, each line's range of words, its row, its number) of the lines with enough words.
+
+    A line's number counts all lines of its text, empty ones too.
+    """
     data, offsets = buffer_of(column)
-    raw = words_in(data, offsets, _in_line)
     words = words_in(_NORMAL[data], offsets, _content)
-    first = np.searchsorted(words.start, raw.start)
-    last = np.searchsorted(words.start, raw.end)
-    row = rows_of(raw.first)
-    # a line's number counts all lines of its text, empty ones too
-    breaks = np.concatenate(([0], np.cumsum(data == 0x0A)))
-    number = breaks[raw.start] - breaks[offsets[:-1]][row]
+    # a line begins where its row begins and after every line break
+    after = np.flatnonzero(data == 0x0A) + 1
+    start = np.unique(np.concatenate((offsets[:-1], after)))
+    row = np.searchsorted(offsets[:-1], start, "right") - 1
+    number = np.arange(len(start)) - np.searchsorted(start, offsets[:-1])[row] if len(start) else row
+    first = np.searchsorted(words.start, start)
+    last = np.append(first[1:], len(words.start))
     keep = last - first >= MIN_WORDS
-    return words, np.stack((first[keep], last[keep])), row[keep], number[keep], np.searchsorted(row[keep], np.arange(len(column) + 1))
+    return words, np.stack((first[keep], last[keep])), row[keep], number[keep]
 
 
 def _squeeze(words: Words, ranges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,26 +77,37 @@ def simhash(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text"):
-        words, ranges, row, number, _ = lines_of(batch.column("text"))
+        words, ranges, row, number = lines_of(batch.column("text"))
         at, first = _squeeze(words, ranges)
         hashes = words.hash[at]
         yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(number), pa.array(chain(hashes, first).view(np.int64)),
                                           pa.array(simhash(hashes, first).view(np.int64))], ["id", "number", "line", "hash"])
 
 
+def _joined(words: Words, ranges: np.ndarray) -> pa.Array:
+    """The words of every given line, joined by one space."""
+    at, first = _squeeze(words, ranges)
+    size = words.end[at] - words.start[at] + 1  # and a space
+    to = np.concatenate(([0], np.cumsum(size)))
+    source = np.repeat(words.start[at] - to[:-1], size) + np.arange(to[-1])
+    source[to[1:] - 1] = 0
+    data = words.data[source] if len(source) else np.zeros(0, np.uint8)
+    data[to[1:] - 1] = 0x20
+    data = np.delete(data, to[first[1:]] - 1)  # none after a line's last word
+    offsets = to[first] - np.arange(len(first))
+    return pa.Array.from_buffers(pa.large_string(), len(first) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string())
+
+
 def _line_texts(wanted):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            words, ranges, _, _, _ = lines_of(batch.column("text"))
+            words, ranges, _, _ = lines_of(batch.column("text"))
             at, first = _squeeze(words, ranges)
             line = chain(words.hash[at], first).view(np.int64)
             found = np.flatnonzero(np.isin(line, wanted.value)) if wanted else np.arange(len(line))
             found = found[np.unique(line[found], return_index=True)[1]]
-            text = []
-            for i in found:
-                w = slice(ranges[0][i], ranges[1][i])
-                text.append(b" ".join(words.data[s:e].tobytes() for s, e in zip(words.start[w], words.end[w], strict=True)).decode())
-            yield pa.RecordBatch.from_arrays([pa.array(line[found]), pa.array(text, pa.string())], ["line", "normal"])
+            text = _joined(words, ranges[:, found])
+            yield pa.RecordBatch.from_arrays([pa.array(line[found]), text], ["line", "normal"])
     return emit
 
 
