@@ -9,6 +9,8 @@ from pageflow.session import checkpoint_root, materialize
 
 #: Rows of a narrow table (a few numbers each) up to which a join broadcasts it: about 30 MB.
 BROADCAST_ROWS = 400_000
+#: Rows of a narrow table that a task writes, so that small tables don't become many tiny files.
+TASK_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,19 +49,19 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs = staged(pairs)
-    before = None
+    before, n = None, pairs.count()
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        pairs = staged(small)
+        # a round has about as many pairs as the one before
+        pairs = staged(small.coalesce(-(-n // TASK_ROWS) or 1))
         now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("u").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     return (pairs.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
             .unionByName(pairs.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()))

@@ -217,7 +217,8 @@ def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY) -> tupl
     split = staged(split.join(open_keys, "key", "left_semi").select("key", "line", "hash", "part"))
     other = split.select("key", F.col("line").alias("b"), F.col("hash").alias("other"), F.col("part").alias("part_b"))
     rest = split.join(other, "key").where("part <> part_b and line < b").where(close).select(F.col("line").alias("a"), "b").distinct()
-    links = links.unionByName(_verified(rest, texts, min_similarity))
+    # the parts found so far are stars already, which take fewer rounds than their links
+    links = parts.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(_verified(rest, texts, min_similarity))
     return rows, components(links).select(F.col("id").alias("line"), F.col("component_id").alias("root"))
 
 
