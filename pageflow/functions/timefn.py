@@ -57,6 +57,11 @@ def parse_event_time(value: Column | str) -> Column:
             .when(in_range, F.timestamp_micros(F.round(seconds * 1_000_000).cast("long"))))
 
 
+def parse_text_time(value: Column | str) -> Column:
+    """ISO-8601 text -> TIMESTAMP, null if it is none; a number is no epoch time here ("2024" is a year)."""
+    return F.try_to_timestamp(_c(value))
+
+
 def alert_timestamp(value: Column | str | None = None) -> Column:
     """Alert write time: a given NTZ text / Column, else the query's current timestamp."""
     if value is None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.functions.text import MIN_KEYWORD_LENGTH, STOP_WORDS, keep_keyword, title_words
@@ -41,45 +41,38 @@ def _sample_text(titles: Column) -> Column:
     return F.concat_ws(", ", F.sort_array(titles))
 
 
+def _gathered_bursts(tokens: DataFrame, window: str, threshold: int) -> DataFrame:
+    """Bursts of a batch; titles are counted first, and gathered only for groups over the threshold.
+
+    Counting per title splits a hot (site, keyword, window) over many tasks and bounds the rows of later steps.
+    """
+    keys = ["domain", "keyword", "window_start", "window_end"]
+    per_title = (tokens.groupBy("domain", "keyword", F.window("created_at", window).alias("w"), "page_title")
+                 .agg(F.count(F.lit(1)).alias("n"))
+                 .select("domain", "keyword", F.col("w.start").alias("window_start"),
+                         F.col("w.end").alias("window_end"), "page_title", "n"))
+    over = per_title.groupBy(*keys).agg(F.sum("n").alias("occurrences")).filter(F.col("occurrences") >= threshold)
+    # both sides of the join read one shuffle of the per-title counts
+    titles = (per_title.join(over.select(*keys), keys, "left_semi").groupBy(*keys)
+              .agg(F.collect_list("page_title").alias("titles")))
+    return over.join(titles, keys)
+
+
 def keyword_bursts(events: DataFrame, window: str = "10 minutes", threshold: int = 5,
-                   watermark: str | None = None, max_samples: int | None = None,
-                   stop_words: Iterable[str] = STOP_WORDS,
+                   watermark: str | None = None, stop_words: Iterable[str] = STOP_WORDS,
                    min_len: int = MIN_KEYWORD_LENGTH) -> DataFrame:
     """Words seen at least ``threshold`` times in one window of one site.
 
-    ``sample_pages`` lists every distinct title (sorted, ", "-joined): partial
-    ``collect_set`` de-duplicates titles map-side. With ``max_samples`` (batch
-    only) it lists the ``max_samples`` smallest titles instead, and no group's
-    title set is ever gathered in one place: every token also emits a marker
-    row (null title), one aggregation counts per (site, keyword, window, title
-    or marker) -- the marker's count is the group's occurrences -- and a top-k
-    ordered nulls-first, limited map-side before the shuffle, keeps the marker
-    plus the k smallest titles. One scan, at most k + 1 rows per group and map
-    task. ``occurrences`` always counts every row.
+    ``sample_pages`` lists every distinct title (sorted, ", "-joined). A batch gathers titles only for
+    the groups over the threshold; a stream, which knows one aggregation, keeps each group's titles in its state.
     """
-    keys = ["domain", "keyword", "window_start", "window_end"]
-    if max_samples is None:
-        counts = keyword_counts(events, window, watermark, stop_words, min_len)
-        out = (counts.filter(F.col("occurrences") >= threshold)
-               .withColumn("sample_pages", _sample_text(F.col("titles"))))
+    if events.isStreaming:
+        counts = keyword_counts(events, window, watermark, stop_words, min_len).filter(F.col("occurrences") >= threshold)
     else:
-        tokens = title_tokens(events, stop_words, min_len).filter(F.col("page_title").isNotNull())
-        w = F.window("created_at", window)
-        rows = tokens.select("domain", "keyword", w.alias("w"),
-                             F.explode(F.array(F.col("page_title"), F.lit(None).cast("string")))
-                             .alias("title"))
-        per_title = (rows.groupBy("domain", "keyword", "w", "title")
-                     .agg(F.count(F.lit(1)).alias("n"))
-                     .select("domain", "keyword", F.col("w.start").alias("window_start"),
-                             F.col("w.end").alias("window_end"), "title", "n"))
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("title")))
-        top = per_title.withColumn("_r", rank).filter(F.col("_r") <= max_samples + 1)
-        out = (top.groupBy(*keys)
-               .agg(F.max(F.when(F.col("title").isNull(), F.col("n"))).alias("occurrences"),
-                    _sample_text(F.collect_list("title")).alias("sample_pages"))
-               .filter(F.col("occurrences") >= threshold))
-    return out.select("domain", "keyword", "window_start", "window_end",
-                      F.col("occurrences").cast("int").alias("occurrences"), "sample_pages")
+        counts = _gathered_bursts(title_tokens(events, stop_words, min_len), window, threshold)
+    return counts.select("domain", "keyword", "window_start", "window_end",
+                         F.col("occurrences").cast("int").alias("occurrences"),
+                         F.concat_ws(", ", F.sort_array("titles")).alias("sample_pages"))
 
 
 def burst_alerts(bursts: DataFrame, alert_time: Column | str | None = None) -> DataFrame:

@@ -163,18 +163,18 @@ def editor_gaps(pages: DataFrame, bucket_minutes: int = 1) -> DataFrame:
         .alias("avg_seconds_between_pages"))
 
 
-def latest_per_domain(metrics: DataFrame, limit: int = 50) -> DataFrame:
-    """The newest window row of every site (first ``limit`` sites by name).
+def latest_per_domain(metrics: DataFrame, limit: int | None = None) -> DataFrame:
+    """The newest window row of every site, by name; ``limit`` is a page size, if one is wanted.
 
     ``max(struct(window_start, ...))`` per site: a hash aggregate with a
     map-side partial step, so no site's history is sorted in one task.
     """
-    if not 1 <= limit <= 200:
-        raise ValueError("limit must be within 1..200")
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be positive")
     latest = metrics.groupBy("domain").agg(F.max(F.struct(
         "window_start", "window_end", "pages_created", "unique_authors", "avg_title_length",
         "trend")).alias("r"))
-    return latest.select(
+    rows = latest.select(
         "domain",
         F.col("r.window_start").alias("latest_window_start"),
         F.col("r.window_end").alias("latest_window_end"),
@@ -182,4 +182,5 @@ def latest_per_domain(metrics: DataFrame, limit: int = 50) -> DataFrame:
         F.col("r.unique_authors").alias("unique_authors_last_window"),
         F.col("r.avg_title_length").alias("avg_title_length"),
         F.col("r.trend").alias("trend"),
-    ).orderBy("domain").limit(limit)
+    ).orderBy("domain")
+    return rows if limit is None else rows.limit(limit)

@@ -269,7 +269,7 @@ select domain, window_start as latest_window_start, window_end as latest_window_
        pages_created as pages_created_last_window, unique_authors as unique_authors_last_window,
        avg_title_length, trend
 from lang qualify row_number() over (partition by domain order by window_start desc) = 1
-order by domain limit 50""",
+order by domain""",
     "page_by_id": PAGE_EVENTS_CTE + f"""
 select page_id, domain, created_at, page_title, user_id, user_name, is_bot, title_length
 from page_events where page_id = {LOOKUP_PAGE}""",
@@ -362,7 +362,6 @@ where c.occurrences >= {BURST_THRESHOLD}""",
 # Further registered queries: parity variants and sinks
 # ---------------------------------------------------------------------------
 
-SAMPLE_TITLES = 3
 REPORT_DOMAIN_HOURS = 6        # the source's default report span
 
 
@@ -373,31 +372,6 @@ def q_hourly_report_domain(spark, sf):
     return r.withColumn("top_authors", top)
 
 
-def q_upsert_replay(spark, sf):
-    """Raw pages as hourly micro-batches through the keyed-table protocol.
-
-    Batch 0 is replayed; batch 1's first attempt is replaced by its retry; the
-    committed batches are compacted; batch 2 then updates keys already in the
-    base. The resolved table must equal the input.
-    """
-    from pageflow.schema import RAW_PAGES
-    from pageflow.session import scratch_path
-    from pageflow.sources.tables import compact, read_latest, upsert_batch
-
-    root = scratch_path(spark, "upsert-replay")
-    pe = page_events(spark, sf).select(*RAW_PAGES.columns)
-    hour = F.hour("created_at")
-    early, late = pe.filter(hour < 6), pe.filter(hour >= 6)
-    draft = F.when(hour >= 9, F.lit("draft")).otherwise(F.col("page_title"))
-    upsert_batch(early, RAW_PAGES, root, 0, 0)
-    upsert_batch(early, RAW_PAGES, root, 0, 0)                              # replay
-    upsert_batch(late.withColumn("page_title", F.lit("attempt")), RAW_PAGES, root, 0, 1)
-    upsert_batch(late.withColumn("page_title", draft), RAW_PAGES, root, 0, 1)   # retry wins
-    compact(spark, RAW_PAGES, root, upto=(0, 1))                            # committed batches
-    upsert_batch(late.filter(hour >= 9), RAW_PAGES, root, 0, 2)             # later update
-    return read_latest(spark, RAW_PAGES, root)
-
-
 def q_json_export(spark, sf):
     from pageflow.session import scratch_path
     from pageflow.sources.export import export_json
@@ -412,9 +386,6 @@ def q_json_export(spark, sf):
 QUERIES.update({
     "hourly_report_domain": q_hourly_report_domain,
     "pages_by_id_per_domain": lambda s, sf: keyed.pages_by_id_latest(page_events(s, sf), per_domain=True),
-    "keyword_bursts_sampled": lambda s, sf: keywords.keyword_bursts(
-        page_events(s, sf), threshold=BURST_THRESHOLD, max_samples=SAMPLE_TITLES),
-    "keyed_upsert_replay": q_upsert_replay,
     "json_export": q_json_export,
 })
 
@@ -436,18 +407,6 @@ from hourly h""",
 select page_id, domain, created_at, page_title, user_id, user_name, is_bot, title_length
 from page_events
 qualify row_number() over (partition by domain, page_id order by created_at desc, domain) = 1""",
-    "keyword_bursts_sampled": PAGE_EVENTS_CTE + TOKENS_CTE + f""",
-counts as (select domain, keyword, time_bucket(interval '10 minutes', created_at) as window_start,
-           time_bucket(interval '10 minutes', created_at) + interval '10 minutes' as window_end,
-           count(*) as occurrences,
-           array_to_string(list_slice(list_sort(list(distinct page_title)), 1, {SAMPLE_TITLES}), ', ')
-             as sample_pages
-           from tokens group by 1, 2, 3, 4)
-select domain, keyword, window_start, window_end, occurrences::integer as occurrences, sample_pages
-from counts where occurrences >= {BURST_THRESHOLD}""",
-    "keyed_upsert_replay": PAGE_EVENTS_CTE + """
-select domain, created_at, page_id, page_title, user_id, user_name, is_bot, title_length
-from page_events""",
     "json_export": PAGE_EVENTS_CTE + SPAM_CTE + """
 select domain, strftime(alert_time, '%Y-%m-%dT%H:%M:%S') as alert_time, severity, user_id,
        user_name, reason, page_title, page_id,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pageflow.plans.catalog import AS_OF, PAGE_EVENTS_CTE
 from pageflow.session import scratch_path
 from pageflow.sources.events import parse_events, require_fields, to_key_value
-from pageflow.sources.fixtures import page_events
+from pageflow.sources.fixtures import input_state, page_events
 from pageflow.sources.normalize import normalize_events, raw_event_json
 from pageflow.sources.sse import read_sse_dump, to_sse_frames
 
@@ -42,8 +42,8 @@ def _canonical(events: DataFrame) -> DataFrame:
 
 
 def raw_dump_path(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> str:
-    """Write the raw JSON lines once per (application, input); raw events arrive as text."""
-    key = (spark.sparkContext.applicationId, sf_dir, "raw-corrupt" if corrupt else "raw")
+    """Write the raw JSON lines once per (application, state of the input); raw events arrive as text."""
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), "raw-corrupt" if corrupt else "raw")
     with _lock:
         if key not in _dumps:
             path = scratch_path(spark, "raw-json")
@@ -72,8 +72,8 @@ def q_key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sse_dump_path(spark: SparkSession, sf_dir: str) -> str:
-    """Write the SSE dump of the raw events once per (application, input)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Write the SSE dump of the raw events once per (application, state of the input)."""
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir))
     with _lock:
         if key not in _dumps:
             path = scratch_path(spark, "sse")

@@ -18,31 +18,24 @@ from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, LANG_CTE, PAGE_EVENTS_CT
 from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVITY, PAGES_BY_ID,
                              PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.session import scratch_path
-from pageflow.sources.fixtures import stream_page_events
+from pageflow.sources.fixtures import input_state, stream_page_events
 from pageflow.sources.tables import read_latest
 from pageflow.streaming.runner import run_available_now
 
-_runs: dict[tuple[str, str], str] = {}
+_runs: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
 def stream_tables_root(spark: SparkSession, sf_dir: str) -> str:
-    """Run the streaming job once per (application, input) and return its table root."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Run the streaming job once per (application, state of the input) and return its table root."""
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir))
     with _lock:
         if key not in _runs:
             base = scratch_path(spark, "stream")
             events = stream_page_events(spark, sf_dir)
-            # state partitions are fixed when a query first starts: size them to
-            # the cores instead of inheriting a large batch shuffle setting
-            old = spark.conf.get("spark.sql.shuffle.partitions")
-            cap = 2 * spark.sparkContext.defaultParallelism
-            if int(old) > cap:
-                spark.conf.set("spark.sql.shuffle.partitions", str(cap))
-            try:
-                run_available_now(events, f"{base}/tables", f"{base}/checkpoints")
-            finally:
-                spark.conf.set("spark.sql.shuffle.partitions", old)
+            # state partitions are fixed when a query first starts
+            run_available_now(events, f"{base}/tables", f"{base}/checkpoints",
+                              shuffle_partitions=2 * spark.sparkContext.defaultParallelism)
             _runs[key] = f"{base}/tables"
         return _runs[key]
 

@@ -39,15 +39,15 @@ RAW_EVENT_SCHEMA = T.StructType([
         T.StructField("user_text", T.StringType()),
         T.StructField("user_name", T.StringType()),
         T.StructField("name", T.StringType()),
-        T.StructField("user_is_bot", T.BooleanType()),
-        T.StructField("is_bot", T.BooleanType()),
+        T.StructField("user_is_bot", T.StringType()),
+        T.StructField("is_bot", T.StringType()),
     ])),
     T.StructField("page_id", T.StringType()),
     T.StructField("page_title", T.StringType()),
     T.StructField("title", T.StringType()),
     T.StructField("user_id", T.StringType()),
     T.StructField("user", T.StringType()),
-    T.StructField("bot", T.BooleanType()),
+    T.StructField("bot", T.StringType()),
     T.StructField("dt", T.StringType()),
     T.StructField("timestamp", T.StringType()),
 ])
@@ -97,6 +97,7 @@ PAGES_BY_ID = TableSpec(
     ("page_id", "domain", "created_at", "page_title", "user_id", "user_name", "is_bot",
      "title_length"),
     ("page_id",),
+    (("created_at", True),),
     sort=("page_id",),
 )
 LANGUAGE_ACTIVITY = TableSpec(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageflow.functions.timefn import parse_event_time
+from pageflow.functions.timefn import parse_text_time
 from pageflow.schema import EVENT_COLUMNS, EVENT_SCHEMA, REQUIRED_FIELDS
 
 
@@ -47,7 +47,7 @@ def parse_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """
     text = F.col(value_col).cast("string")
     parsed = parse_once(raw, [F.from_json(text, EVENT_SCHEMA).alias("data")]).select("data.*")
-    return parsed.withColumn("created_at", parse_event_time("created_at")).select(*EVENT_COLUMNS)
+    return parsed.withColumn("created_at", parse_text_time("created_at")).select(*EVENT_COLUMNS)
 
 
 def require_fields(events: DataFrame, fields=REQUIRED_FIELDS) -> DataFrame:

@@ -37,6 +37,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Length and modification time of the adapter's two tables: what is derived from them is kept as long as they stay."""
+    states = []
+    for name in ("events", "pages"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        states.append((int(fs.getContentSummary(path).getLength()), int(fs.getFileStatus(path).getModificationTime())))
+    return tuple(states)
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 

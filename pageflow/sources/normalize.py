@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageflow.functions.timefn import parse_event_time
-from pageflow.functions.truthy import first_truthy, nonzero
+from pageflow.functions.truthy import first_truthy
 from pageflow.schema import EVENT_COLUMNS, RAW_EVENT_SCHEMA
 from pageflow.sources.events import parse_once
 
@@ -29,31 +29,46 @@ HASHED_ID_RANGE = 10_000_000_000
 
 REASON_NOT_JSON = "not_json"
 REASON_NOT_OBJECT = "not_a_json_object"
+REASON_BAD_ID = "bad_id"
+REASON_BAD_TIME = "bad_time"
 _CORRUPT = "_corrupt_record"
 
 
-def _id(c: Column) -> Column:
-    return c.try_cast("long")
+def _number(text: Column) -> Column:
+    """The integer part of a JSON number's text, null for anything else."""
+    return text.try_cast("decimal(38,6)").try_cast("long")
+
+
+def _nonzero_text(text: Column) -> Column:
+    """The text unless it is blank, a zero or false."""
+    return F.when(~text.isin("", "false") & (F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0), text)
+
+
+def _true(text: Column) -> Column:
+    """Truth of a JSON value read as text: null, blank, false, zero and empty containers are false."""
+    return F.coalesce(_nonzero_text(text).isNotNull() & ~text.isin("[]", "{}"), F.lit(False))
 
 
 def normalize_columns(e: Column, ingest_time: Column) -> dict[str, Column]:
     """Canonical columns from the parsed raw struct ``e`` (see RAW_EVENT_SCHEMA)."""
     meta, page, perf = e["meta"], e["page"], e["performer"]
     domain = first_truthy(meta["domain"], e["database"], default=F.lit(DEFAULT_DOMAIN))
-    page_id = F.coalesce(nonzero(_id(page["page_id"])), nonzero(_id(page["id"])),
-                         nonzero(_id(e["page_id"])), _id(page["page_id"]))
+    page_text = F.coalesce(*[_nonzero_text(c) for c in (page["page_id"], page["id"], e["page_id"])])
+    page_id = F.coalesce(_number(page_text), _number(page["page_id"]))
     title = first_truthy(page["page_title"], page["title"], e["page_title"], e["title"],
                          default=F.lit(""))
-    user_id = F.coalesce(nonzero(_id(perf["user_id"])), nonzero(_id(perf["id"])),
-                         nonzero(_id(e["user_id"])), F.lit(0).cast("long"))
+    user_text = F.coalesce(*[_nonzero_text(c) for c in (perf["user_id"], perf["id"], e["user_id"])])
+    user_id = F.coalesce(_number(user_text), F.lit(0).cast("long"))
     user_name = first_truthy(perf["user_text"], perf["user_name"], perf["name"], e["user"],
                              default=F.lit(DEFAULT_USER_NAME))
-    is_bot = (F.coalesce(perf["user_is_bot"], F.lit(False)) | F.coalesce(perf["is_bot"], F.lit(False))
-              | F.coalesce(e["bot"], F.lit(False)))
+    is_bot = _true(perf["user_is_bot"]) | _true(perf["is_bot"]) | _true(e["bot"])
+    bad_id = ((page_text.isNotNull() & _number(page_text).isNull())
+              | (user_text.isNotNull() & _number(user_text).isNull()))
     time_text = first_truthy(meta["dt"], e["dt"], e["timestamp"])
     created_at = F.when(time_text.isNull(), ingest_time).otherwise(parse_event_time(time_text))
     return {"domain": domain, "page_id": page_id, "page_title": title, "user_id": user_id,
             "user_name": user_name, "is_bot": is_bot, "created_at": created_at,
+            "_reason": F.when(bad_id, F.lit(REASON_BAD_ID)).when(created_at.isNull(), F.lit(REASON_BAD_TIME)),
             "_time_text": F.coalesce(time_text, ingest_time.cast("string"))}
 
 
@@ -62,11 +77,12 @@ def normalize_events(raw: DataFrame, value_col: str = "value",
     """Split raw JSON text into (valid canonical events, rejects).
 
     ``ingest_time`` stands in for events without any time field (default: the
-    query's current timestamp). A row whose time text does not parse keeps a
-    null created_at here and is removed by ``require_fields`` downstream.
-    Rejects carry the raw text and a ``reject_reason``. Each document is parsed
-    once (see :func:`parse_once`); malformed text is recognised through the
-    parser's corrupt-record column, not by a second parse.
+    query's current timestamp). Every row goes to one of the two outputs: rejects
+    carry the raw text and a ``reject_reason`` (no JSON, no object, an id that is no
+    number, a time that does not parse). A field of another type than expected is
+    absent, the rest of its event kept. Each document is parsed once (see
+    :func:`parse_once`); only where the parser reports a fault does a second look
+    tell malformed text from a wrongly typed field.
     """
     if ingest_time is None:
         ingest = F.current_timestamp()
@@ -78,13 +94,14 @@ def normalize_events(raw: DataFrame, value_col: str = "value",
     schema = T.StructType(RAW_EVENT_SCHEMA.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     staged = parse_once(raw, [text.alias("_raw"), parsed.alias("_e")])
-    is_object = F.col("_raw").rlike(r"^\s*\{") & F.col("_e").isNotNull() & F.col(f"_e.{_CORRUPT}").isNull()
-    rejects = staged.filter(~F.coalesce(is_object, F.lit(False))).select(
-        F.col("_raw").alias("value"),
-        F.when(F.get_json_object("_raw", "$").isNotNull(), F.lit(REASON_NOT_OBJECT))
-        .otherwise(F.lit(REASON_NOT_JSON)).alias("reject_reason"))
+    is_json = F.col(f"_e.{_CORRUPT}").isNull() | F.get_json_object("_raw", "$").isNotNull()
+    is_object = F.coalesce(F.col("_raw").rlike(r"^\s*\{") & F.col("_e").isNotNull() & is_json, F.lit(False))
     cols = normalize_columns(F.col("_e"), ingest)
-    good = staged.filter(is_object).select(*[c.alias(n) for n, c in cols.items()])
+    reason = (F.when(is_object, cols.pop("_reason"))
+              .when(F.get_json_object("_raw", "$").isNotNull(), F.lit(REASON_NOT_OBJECT))
+              .otherwise(F.lit(REASON_NOT_JSON)))
+    rejects = staged.select(F.col("_raw").alias("value"), reason.alias("reject_reason")).filter("reject_reason is not null")
+    good = staged.filter(reason.isNull()).select(*[c.alias(n) for n, c in cols.items()])
     # events without any id get a stable stand-in in [0, 1e10)
     hashed = F.pmod(F.xxhash64(F.concat_ws(":", "domain", "page_title", "_time_text")),
                     F.lit(HASHED_ID_RANGE))

@@ -13,30 +13,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FRAME_SEPARATOR = "\n\n"
+BLANK_LINE = r"\n[ \t\r]*\n"
 
 
 def frame_data(frame: Column) -> Column:
     """The joined ``data:`` payload of one frame (empty string when there is none)."""
-    lines = F.transform(F.split(frame, "\n"), lambda x: F.trim(x))
+    lines = F.transform(F.split(frame, "\n"), lambda x: F.btrim(x, F.lit(" \t\r")))
     data = F.filter(lines, lambda x: x.startswith("data:"))
     return F.array_join(F.transform(data, lambda x: F.trim(F.substring(x, 6, 1 << 30))), "\n")
 
 
 def sse_values(frames: DataFrame, frame_col: str = "value") -> DataFrame:
-    return (frames.select(frame_data(F.col(frame_col)).alias("value"))
+    """The payloads of all frames; a record that holds several (CRLF line ends, blank lines of spaces) is cut further."""
+    one = frames.select(F.explode(F.split(F.col(frame_col), BLANK_LINE)).alias("frame"))
+    return (one.select(frame_data(F.col("frame")).alias("value"))
             .filter(F.col("value") != ""))
 
 
 def read_sse_dump(spark: SparkSession, path: str, streaming: bool = False,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Captured SSE text files (batch or file stream) -> DataFrame[value: JSON text]."""
+                  max_files_per_trigger: int | None = None, separator: str = FRAME_SEPARATOR) -> DataFrame:
+    """Captured SSE text files (batch or file stream) -> DataFrame[value: JSON text].
+
+    Files with CRLF line ends give the same rows; name ``separator="\\r\\n\\r\\n"`` for large ones, as the default
+    reads such a file as one record.
+    """
     if streaming:
-        reader = spark.readStream.option("lineSep", FRAME_SEPARATOR)
+        reader = spark.readStream.option("lineSep", separator)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         frames = reader.text(path)
     else:
-        frames = spark.read.option("lineSep", FRAME_SEPARATOR).text(path)
+        frames = spark.read.option("lineSep", separator).text(path)
     return sse_values(frames)
 
 

@@ -12,9 +12,9 @@ whenever a streaming checkpoint is discarded, because batch ids then restart
 at 0 and would otherwise overwrite older batches.
 
 Readers resolve the newest row per key: rows from higher (gen, batch_id) win;
-inside one batch the tie-break is the full row, so the result is
-deterministic. ``compact`` writes the resolved state as a new base; readers
-only ever pick a base whose writer finished (``_SUCCESS``).
+inside one batch the table's own order decides (newest first), then the full
+row, so the result is deterministic. ``compact`` writes the resolved state as a new base; readers
+only ever pick bases and log batches whose writer finished (``_SUCCESS``).
 """
 
 from __future__ import annotations
@@ -70,11 +70,21 @@ def _latest_base(spark: SparkSession, spec: TableSpec, root: str) -> tuple[str,
     return best
 
 
+def _finished_batches(spark: SparkSession, log_dir: str) -> list[tuple[int, int]]:
+    """(gen, batch) of every log directory whose writer finished, in order; unfinished ones stay unseen."""
+    found = []
+    for gen in _children(spark, log_dir):
+        for batch in _children(spark, f"{log_dir}/{gen}"):
+            if gen.startswith("gen=") and batch.startswith("batch_id=") and path_exists(spark, f"{log_dir}/{gen}/{batch}/{_SUCCESS}"):
+                found.append((int(gen[len("gen="):]), int(batch[len("batch_id="):])))
+    return sorted(found)
+
+
 def _resolved(spark: SparkSession, spec: TableSpec, root: str,
               limit: tuple[int, int] | None = None, key_filter: Column | None = None,
               partition_filter: Column | None = None
               ) -> tuple[DataFrame | None, tuple[int, int] | None]:
-    """Newest row per key (only log entries up to ``limit`` when given), plus the base's coverage."""
+    """Newest row per key (only log entries up to ``limit`` when given), plus the last (gen, batch) it covers."""
     parts = []
     upto = None
     base = _latest_base(spark, spec, root)
@@ -89,28 +99,28 @@ def _resolved(spark: SparkSession, spec: TableSpec, root: str,
         parts.append(rows.select(*spec.columns)
                      .withColumn("gen", F.lit(bgen)).withColumn("batch_id", F.lit(bbatch).cast("long")))
     log_dir = f"{table_path(root, spec)}/log"
-    if path_exists(spark, log_dir) and _children(spark, log_dir):
-        log = spark.read.parquet(log_dir)
+    newer = [entry for entry in _finished_batches(spark, log_dir)
+             if (upto is None or entry > upto) and (limit is None or entry <= limit)]
+    if newer:
+        # only the directories newer than the base are listed and read
+        paths = [f"{log_dir}/gen={g}/batch_id={b}" for g, b in newer]
+        log = spark.read.option("basePath", log_dir).parquet(*paths)
         if key_filter is not None:
             log = log.filter(key_filter)
-        log = log.select(*spec.columns, F.col("gen").cast("int").alias("gen"),
-                         F.col("batch_id").cast("long").alias("batch_id"))
-        if upto is not None:
-            # partition filters: only directories newer than the base are listed and read
-            log = log.filter((F.col("gen") > upto[0])
-                             | ((F.col("gen") == upto[0]) & (F.col("batch_id") > upto[1])))
-        if limit is not None:
-            log = log.filter((F.col("gen") < limit[0])
-                             | ((F.col("gen") == limit[0]) & (F.col("batch_id") <= limit[1])))
-        parts.append(log)
+        parts.append(log.select(*spec.columns, F.col("gen").cast("int").alias("gen"),
+                                F.col("batch_id").cast("long").alias("batch_id")))
     if not parts:
         return None, None
+    covered = max(newer, default=upto)
+    if not newer:
+        return parts[0], covered  # a base has one row per key already
     rows = parts[0]
     for extra in parts[1:]:
         rows = rows.unionByName(extra)
-    order = [("gen", True), ("batch_id", True)] + [(c, False) for c in spec.columns
-                                                  if c not in spec.key]
-    return latest_per_key(rows, list(spec.key), order), upto
+    prior = [(c, desc) for c, desc in spec.order if c not in spec.key]
+    order = [("gen", True), ("batch_id", True), *prior,
+             *[(c, False) for c in spec.columns if c not in spec.key and c not in dict(prior)]]
+    return latest_per_key(rows, list(spec.key), order), covered
 
 
 def read_latest(spark: SparkSession, spec: TableSpec, root: str, key_filter: Column | None = None,
@@ -141,12 +151,13 @@ def compact(spark: SparkSession, spec: TableSpec, root: str, upto: tuple[int, in
     Old bases and log directories are left for a retention job; readers ignore
     log entries already covered by the newest finished base.
     """
-    resolved, _ = _resolved(spark, spec, root, upto)
+    resolved, covered = _resolved(spark, spec, root, upto)
     if resolved is None:
         return None
-    if upto is None:
-        top = resolved.agg(F.max(F.struct("gen", "batch_id")).alias("m")).first()["m"]
-        upto = (int(top["gen"]), int(top["batch_id"]))
+    base = _latest_base(spark, spec, root)
+    if base is not None and base[1:] == covered:
+        return base[0]  # nothing newer to fold; its files are not rewritten while they are read
+    upto = upto or covered
     path = f"{table_path(root, spec)}/base/upto={int(upto[0])}-{int(upto[1])}"
     rows = resolved.select(*spec.columns)
     parts = list(partition_by or [])

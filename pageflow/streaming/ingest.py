@@ -11,7 +11,6 @@ batch id, so a retried batch replaces its own output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageflow.sources.events import to_key_value
@@ -26,7 +25,7 @@ def _batch_writer(out_path: str, rejects_path: str, fmt: str, ingest_time):
             if batch.isEmpty():
                 return
             good, bad = normalize_events(batch, ingest_time=ingest_time)
-            messages = to_key_value(good.filter(F.col("created_at").isNotNull()))
+            messages = to_key_value(good)
             messages.write.mode("overwrite").format(fmt).save(f"{out_path}/batch_id={batch_id}")
             bad.write.mode("overwrite").format(fmt).save(f"{rejects_path}/batch_id={batch_id}")
         finally:

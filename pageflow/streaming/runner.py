@@ -16,8 +16,9 @@ bounds state; rows later than the watermark are dropped by Spark.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,22 +48,26 @@ def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int],
     return run
 
 
-def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame], DataFrame]]], root: str,
-                  gen: int, messages: tuple[str, Callable[[DataFrame], DataFrame]] | None = None
+def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame, Column], DataFrame]]], root: str,
+                  gen: int, messages: tuple[str, Callable[[DataFrame, Column], DataFrame]] | None = None
                   ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function writing each (spec, projection) of the batch as an upsert.
+    """foreachBatch function writing each (spec, projection) of the batch as an upsert; empty projections write nothing.
 
     ``messages = (folder, projection)`` also writes that projection as key/value
     JSON messages, one directory per batch id (replaced when a batch is retried).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        at = F.lit(datetime.now(timezone.utc)).cast("timestamp")  # one alert time for tables and messages
         for spec, project in specs:
-            upsert_batch(project(batch), spec, root, gen, batch_id)
+            rows = project(batch, at)
+            if not rows.isEmpty():
+                upsert_batch(rows, spec, root, gen, batch_id)
         if messages is not None:
             folder, project = messages
-            alerts_to_key_value(project(batch)).write.mode("overwrite").json(
-                f"{folder}/batch_id={batch_id}")
+            rows = project(batch, at)
+            if not rows.isEmpty():
+                alerts_to_key_value(rows).write.mode("overwrite").json(f"{folder}/batch_id={batch_id}")
 
     return _guarded(write)
 
@@ -70,7 +75,7 @@ def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame], DataFrame]]
 def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict | None = None,
               gen: int = 0, watermark: str = WATERMARK, burst_threshold: int = 5,
               dedup: bool = False, rocksdb_state: bool = True,
-              alert_messages: str | None = None) -> list[StreamingQuery]:
+              alert_messages: str | None = None, shuffle_partitions: int | None = None) -> list[StreamingQuery]:
     """Start the three queries; returns them (``spark.streams.awaitAnyTermination()`` to block).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, e.g.
@@ -86,52 +91,74 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     ``alert_messages`` (a folder) additionally writes every alert batch as
     key/value JSON messages (``spam-alerts`` / ``breaking-news-alerts`` below it,
     one directory per batch id): the shape of the alert topics.
+
+    ``shuffle_partitions`` sets the state partitions, which a query's checkpoint then keeps; by default
+    the session's. The settings hold for the queries started here, and the session gets its own back.
+    A query that fails to start stops the ones started before it.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
     spark = events.sparkSession
+    settings = {}
     if rocksdb_state:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
         # commit a changelog per batch instead of uploading a full snapshot
-        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     # one watermark for the whole stream (Spark refuses to redefine it downstream)
     events = events.withWatermark("created_at", watermark)
     if dedup:
         events = events.dropDuplicatesWithinWatermark(["domain", "page_id"])
 
-    def spam_rows(b: DataFrame) -> DataFrame:
-        return spam.spam_alerts(b, F.current_timestamp())
+    def spam_rows(b: DataFrame, at: Column) -> DataFrame:
+        return spam.spam_alerts(b, at)
+
+    def burst_rows(b: DataFrame, at: Column) -> DataFrame:
+        return keywords.burst_alerts(b, at)
 
-    raw_specs = [(RAW_PAGES, lambda b: b.select(*RAW_PAGES.columns)),
-                 (PAGES_BY_USER, lambda b: b.select(*PAGES_BY_USER.columns)),
-                 (PAGES_BY_ID, lambda b: b.select(*PAGES_BY_ID.columns)),
+    raw_specs = [(RAW_PAGES, lambda b, _: b.select(*RAW_PAGES.columns)),
+                 (PAGES_BY_USER, lambda b, _: b.select(*PAGES_BY_USER.columns)),
+                 (PAGES_BY_ID, lambda b, _: b.select(*PAGES_BY_ID.columns)),
                  (SPAM_ALERTS, spam_rows)]
 
     dm = metrics.domain_minute(events, METRIC_WINDOW)
-    metric_specs = [(LANGUAGE_ACTIVITY, metrics.language_rows), (BOT_ACTIVITY, metrics.bot_rows)]
+    metric_specs = [(LANGUAGE_ACTIVITY, lambda b, _: metrics.language_rows(b)), (BOT_ACTIVITY, lambda b, _: metrics.bot_rows(b))]
 
     bursts = keywords.keyword_bursts(events, BURST_WINDOW, burst_threshold)
-    burst_specs = [(BREAKING_NEWS_ALERTS,
-                    lambda b: keywords.burst_alerts(b, F.current_timestamp()))]
+    burst_specs = [(BREAKING_NEWS_ALERTS, burst_rows)]
 
     messages = {}
     if alert_messages:
         messages = {"raw": (f"{alert_messages}/spam-alerts/gen={gen}", spam_rows),
-                    "bursts": (f"{alert_messages}/breaking-news-alerts/gen={gen}",
-                               lambda b: keywords.burst_alerts(b, F.current_timestamp()))}
+                    "bursts": (f"{alert_messages}/breaking-news-alerts/gen={gen}", burst_rows)}
 
     plans = [("raw", events, raw_specs, "append"),
              ("metrics", dm, metric_specs, "update"),
              ("bursts", bursts, burst_specs, "update")]
     started = []
-    for name, frame, specs, mode in plans:
-        writer = upsert_writer(specs, root, gen, messages.get(name))
-        q = (frame.writeStream.queryName(f"pageflow_{name}_{gen}")
-             .foreachBatch(writer)
-             .outputMode(mode)
-             .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
-             .trigger(**trigger)
-             .start())
-        started.append(q)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for name, frame, specs, mode in plans:
+            writer = upsert_writer(specs, root, gen, messages.get(name))
+            q = (frame.writeStream.queryName(f"pageflow_{name}_{gen}")
+                 .foreachBatch(writer)
+                 .outputMode(mode)
+                 .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}")
+                 .trigger(**trigger)
+                 .start())
+            started.append(q)
+    except Exception:
+        for q in started:
+            q.stop()
+        raise
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return started
 
 

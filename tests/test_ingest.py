@@ -69,14 +69,13 @@ def test_time_forms_and_bad_time(spark):
             {"page": {"page_id": 2}, "meta": {"dt": "garbage"}},
             {"page": {"page_id": 3}, "meta": None, "dt": "2026-05-10T18:55:10Z"}]
     rows, bad = _norm(spark, docs)
-    assert bad == []
+    assert [b.reject_reason for b in bad] == ["bad_time"]
     expect = datetime.fromtimestamp(1778440519, tz=timezone.utc).replace(tzinfo=None)
     assert rows[0].created_at == expect
-    assert rows[1].created_at is None             # survives normalise ...
-    assert rows[2].created_at == datetime(2026, 5, 10, 18, 55, 10)   # null meta = absent
+    assert rows[1].created_at == datetime(2026, 5, 10, 18, 55, 10)   # null meta = absent
     raw = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
     good, _ = normalize_events(raw, ingest_time=INGEST)
-    assert sorted(r.page_id for r in require_fields(good).collect()) == [1, 3]   # ... dropped here
+    assert sorted(r.page_id for r in require_fields(good).collect()) == [1, 3]
 
 
 def test_rejects_and_code_points(spark):
@@ -135,3 +134,34 @@ def test_each_required_field_null_drops_the_row(spark):
     raw = spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")
     kept = sorted(r.page_id for r in require_fields(parse_events(raw)).collect())
     assert kept == [1, 99]
+
+
+def test_mixed_types_lose_no_event(spark):
+    t = {"dt": "2026-05-10T18:55:10Z"}
+    docs = [{"page": {"page_id": 5.0}, "performer": {"user_is_bot": 1}, **t},
+            {"page": {"page_id": "6"}, "performer": {"user_is_bot": "true"}, **t},
+            {"page": {"page_id": 7}, "performer": {"user_is_bot": 0}, "bot": False, **t},
+            {"page": "x", "page_id": 8, **t},
+            {"page": {"page_id": "abc"}, **t},
+            {"page": {"page_id": 9}, "user_id": "abc", **t},
+            '{"page": {"page_id": 10}', "[]",
+            {"page": {"page_id": 11}, "timestamp": 1e30}]
+    rows, bad = _norm(spark, docs)
+    assert sorted((r.page_id, r.is_bot) for r in rows) == [(5, True), (6, True), (7, False), (8, False)]
+    assert sorted(b.reject_reason for b in bad) == ["bad_id", "bad_id", "bad_time", "not_a_json_object", "not_json"]
+
+
+def test_text_time_of_the_event_stream_is_no_epoch(spark):
+    docs = [{"domain": "d", "page_id": i, "page_title": "t", "user_id": 1, "created_at": t}
+            for i, t in enumerate(["2024", "1715360000000000", "NaN", "2024-05-10T18:55:10Z"])]
+    rows = parse_events(spark.createDataFrame([(json.dumps(d),) for d in docs], "value string")).collect()
+    assert [r.created_at and r.created_at.year for r in rows] == [2024, None, None, 2024]
+
+
+def test_sse_line_ends(spark):
+    for end in ("\n", "\r\n"):
+        for separator in ("\n\n", "\r\n\r\n"):
+            d = tempfile.mkdtemp(prefix="sse-")
+            with open(os.path.join(d, "dump.txt"), "w", newline="") as fh:
+                fh.write(end.join(["data: {}", "", "data: {", "data: }", "  ", "data: [1]", "", ""]))
+            assert sorted(r.value for r in read_sse_dump(spark, d, separator=separator).collect()) == ["[1]", "{\n}", "{}"]

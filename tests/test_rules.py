@@ -96,10 +96,11 @@ def test_burst_window_edges(spark):
     assert keyword_bursts(make_events(spark, rows)).count() == 0
 
 
-def test_burst_max_samples_bounds_titles_not_counts(spark):
+def test_burst_lists_every_title(spark):
     rows = [("d", i, f"Flood {i:02d}", i, "u", False, "2024-01-01 00:00:00") for i in range(8)]
-    out = keyword_bursts(make_events(spark, rows), max_samples=2).collect()
-    assert [(r.keyword, r.occurrences, r.sample_pages) for r in out] == [("flood", 8, "Flood 00, Flood 01")]
+    rows.append(("d", 8, "Flood 03", 8, "u", False, "2024-01-01 00:09:59"))
+    out = keyword_bursts(make_events(spark, rows)).collect()
+    assert [(r.keyword, r.occurrences, r.sample_pages) for r in out] == [("flood", 9, ", ".join(f"Flood {i:02d}" for i in range(8)))]
 
 
 def test_spam_uses_whole_title(spark):

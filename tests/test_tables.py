@@ -71,3 +71,31 @@ def test_raw_layout_and_pruned_reads(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "EqualTo(domain,example.com/view)" in plan
+
+
+def test_newest_row_of_a_batch_wins_and_unfinished_batches_stay_unseen(spark):
+    import os
+
+    from pageflow.schema import PAGES_BY_ID
+    from tests.conftest import make_events
+
+    root = scratch_path(spark, "test-tables")
+    rows = make_events(spark, [("a", 1, "old", 1, "u", False, "2024-01-01 00:00:00"),
+                               ("b", 1, "new", 1, "u", False, "2024-01-01 00:00:01")])
+    upsert_batch(rows, PAGES_BY_ID, root, 0, 0)
+    assert [r.page_title for r in read_latest(spark, PAGES_BY_ID, root).collect()] == ["new"]
+    upsert_batch(rows.filter("domain = 'a'"), PAGES_BY_ID, root, 0, 1)
+    os.remove(f"{root}/{PAGES_BY_ID.name}/log/gen=0/batch_id=1/_SUCCESS")
+    assert [r.page_title for r in read_latest(spark, PAGES_BY_ID, root).collect()] == ["new"]
+    base = compact(spark, PAGES_BY_ID, root)
+    assert base.endswith("upto=0-0") and compact(spark, PAGES_BY_ID, root) == base
+    plan = read_latest(spark, PAGES_BY_ID, root)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_compact_of_an_empty_batch(spark):
+    root = scratch_path(spark, "test-tables")
+    assert compact(spark, SPEC, root) is None
+    upsert_batch(_df(spark, []), SPEC, root, 0, 0)
+    compact(spark, SPEC, root)
+    assert _state(spark, root) == []
