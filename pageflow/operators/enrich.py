@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageflow.functions.timefn import micros_between
+
 
 def with_trend(metrics: DataFrame, window_minutes: int = 1, band: float = 0.2) -> DataFrame:
     """trend = up / down / stable against the adjacent previous window of the same site.
@@ -74,27 +76,17 @@ def spike_ratio(counts: DataFrame, window_minutes: int = 10, history: int = 6,
                 min_occurrences: int | None = None) -> DataFrame:
     """occurrences / (mean occurrences over the ``history`` previous windows).
 
-    Null when the previous windows hold no occurrence. Each count row is emitted
-    for its own window and, as history, for the ``history`` windows after it;
-    one aggregation per (site, keyword, window) then yields both numbers. A
-    bounded fan-out over already aggregated rows: no ordered scan per key and
-    no self-join (the counts are computed once). With ``min_occurrences`` only
-    windows at or above it are reported (the burst threshold): the others are
-    still sent forward as history, but their own copy is not kept.
+    Null when the previous windows hold no occurrence. A range frame over the counts of one (site,
+    keyword) sums them, so the counts are shuffled once and a partition holds a row per window at
+    most. With ``min_occurrences`` only windows at or above it are reported (the burst threshold);
+    the others still count as history.
     """
-    cols = [c for c in counts.columns if c not in ("domain", "keyword")]
-    offsets = F.sequence(F.lit(0), F.lit(history))
-    copies = counts.select("domain", "keyword", F.explode(offsets).alias("_k"),
-                           F.struct(*cols).alias("_row"))
+    step = window_minutes * 60_000_000
+    at = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("window_start").cast("timestamp_ntz"))
+    earlier = Window.partitionBy("domain", "keyword").orderBy("_at").rangeBetween(-history * step, -step)
+    rows = counts.withColumn("_at", at).withColumn("_hist", F.sum("occurrences").over(earlier))
     if min_occurrences is not None:
-        copies = copies.filter((F.col("_k") > 0) | (F.col("_row.occurrences") >= min_occurrences))
-    copies = copies.withColumn(
-        "_at", F.timestamp_add("MINUTE", F.col("_k") * window_minutes, F.col("_row.window_start")))
-    grouped = copies.groupBy("domain", "keyword", "_at").agg(
-        F.max(F.when(F.col("_k") == 0, F.col("_row"))).alias("_cur"),
-        F.sum(F.when(F.col("_k") > 0, F.col("_row.occurrences"))).alias("_hist"))
-    ratio = F.when(F.col("_hist") > 0,
-                   (F.col("_cur.occurrences") * F.lit(history)).cast("double") / F.col("_hist"))
-    return (grouped.filter(F.col("_cur").isNotNull())
-            .select("domain", "keyword", *[F.col(f"_cur.{c}").alias(c) for c in cols],
-                    ratio.alias("spike_ratio")))
+        rows = rows.filter(F.col("occurrences") >= min_occurrences)
+    ratio = F.when(F.col("_hist") > 0, (F.col("occurrences") * F.lit(history)).cast("double") / F.col("_hist"))
+    return rows.select("domain", "keyword", *[c for c in counts.columns if c not in ("domain", "keyword")],
+                       ratio.alias("spike_ratio"))

@@ -28,6 +28,8 @@ RANGE_FROM, RANGE_TO = "2024-01-01T03:00:00Z", "2024-01-01T05:00:00+00:00"
 BURST_THRESHOLD = 5
 MIN_EDITOR_PAGES = 5
 TREND_BAND = 0.2
+ESTIMATE_ERROR = 0.05                  # relative standard error of approx_count_distinct
+COLLIDING_IDS = 100                    # page ids of the keyed-table query that several events share
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +43,20 @@ def _lang(spark, sf):
     return metrics.language_activity(page_events(spark, sf), exact=True)
 
 
+def estimate_checked(estimated: DataFrame, exact: DataFrame) -> DataFrame:
+    """The exact rows, and whether the estimate of distinct authors lies within three standard errors of each."""
+    keys = ["domain", "window_start"]
+    near = F.abs(F.col("_estimate") - F.col("unique_authors")) <= F.lit(3 * ESTIMATE_ERROR) * F.col("unique_authors") + 1
+    found = estimated.select(*keys, F.col("unique_authors").alias("_estimate"))
+    return (exact.join(found, keys, "full").withColumn("estimate_ok", F.coalesce(near, F.lit(False)))
+            .select(*exact.columns, "estimate_ok"))
+
+
+def _lang_estimate(spark, sf):
+    events = page_events(spark, sf)
+    return estimate_checked(metrics.language_activity(events), metrics.language_activity(events, exact=True))
+
+
 def _bots(spark, sf):
     return metrics.bot_activity(page_events(spark, sf))
 
@@ -79,7 +95,7 @@ def q_spike_ratio(spark, sf):
 QUERIES: dict[str, Query] = {
     # windowed metrics
     "language_activity_exact": _lang,
-    "language_activity": lambda s, sf: metrics.language_activity(page_events(s, sf)),
+    "language_activity": _lang_estimate,
     "bot_activity": _bots,
     # keywords
     "title_tokens": lambda s, sf: keywords.title_tokens(page_events(s, sf))
@@ -466,3 +482,27 @@ QUERIES["raw_fanout_latest"] = q_raw_fanout_latest
 ORACLE_SQL["raw_fanout_latest"] = PAGE_EVENTS_CTE + """
 select page_id, domain, created_at, page_title, user_id, user_name, is_bot, title_length
 from page_events"""
+
+ORACLE_SQL["language_activity"] = PAGE_EVENTS_CTE + LANG_CTE + "\nselect *, true as estimate_ok from lang"
+
+
+def q_pages_by_shared_id(spark, sf):
+    """Events that share page ids, in two batches: the later batch wins, then the newest row."""
+    from pageflow.schema import PAGES_BY_ID
+    from pageflow.session import scratch_path
+    from pageflow.sources.tables import compact, read_latest, upsert_batch
+
+    root = scratch_path(spark, "shared-ids")
+    pe = page_events(spark, sf).withColumn("page_id", F.pmod("page_id", F.lit(COLLIDING_IDS)))
+    upsert_batch(pe, PAGES_BY_ID, root, 0, 0)
+    compact(spark, PAGES_BY_ID, root)
+    upsert_batch(pe.filter(F.col("page_id") % 2 == 0).filter(F.hour("created_at") < 6), PAGES_BY_ID, root, 0, 1)
+    return read_latest(spark, PAGES_BY_ID, root)
+
+
+QUERIES["pages_by_shared_id"] = q_pages_by_shared_id
+ORACLE_SQL["pages_by_shared_id"] = PAGE_EVENTS_CTE + f"""
+select page_id % {COLLIDING_IDS} as page_id, * exclude (page_id)
+from page_events
+qualify row_number() over (partition by page_id % {COLLIDING_IDS}
+    order by page_id % 2 = 0 and hour(created_at) < 6 desc, created_at desc, domain, page_title, user_id) = 1"""

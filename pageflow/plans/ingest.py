@@ -20,7 +20,7 @@ from pageflow.sources.normalize import normalize_events, raw_event_json
 from pageflow.sources.sse import read_sse_dump, to_sse_frames
 
 LAYOUTS = 4
-NOT_JSON_EVERY, NOT_OBJECT_EVERY, CORRUPT_MODULUS = 7, 13, 50
+NOT_JSON_EVERY, NOT_OBJECT_EVERY, BAD_ID_EVERY, BAD_TIME_EVERY, CORRUPT_MODULUS = 7, 13, 19, 23, 50
 
 _dumps: dict[tuple, str] = {}
 _lock = threading.Lock()
@@ -33,6 +33,8 @@ def _raw(spark: SparkSession, sf_dir: str, corrupt: bool = False) -> DataFrame:
         slot = F.pmod(F.col("page_id"), F.lit(CORRUPT_MODULUS))
         value = (F.when(slot == NOT_JSON_EVERY, F.concat(F.lit("not json "), value))
                  .when(slot == NOT_OBJECT_EVERY, F.concat(F.lit("["), value, F.lit("]")))
+                 .when(slot == BAD_ID_EVERY, F.lit('{"page":{"page_id":"none"}}'))
+                 .when(slot == BAD_TIME_EVERY, F.concat(F.lit('{"page_id":'), F.col("page_id").cast("string"), F.lit(',"dt":"soon"}')))
                  .otherwise(value))
     return pe.select(value.alias("value"), F.col("page_id").alias("_id"))
 
@@ -102,7 +104,8 @@ ORACLE_SQL = {
     "sse_frames": _ALL,
     "normalize_rejects": PAGE_EVENTS_CTE + f"""
 select case when page_id % {CORRUPT_MODULUS} = {NOT_JSON_EVERY} then 'not_json'
-            else 'not_a_json_object' end as reject_reason, count(*) as rejects
-from page_events where page_id % {CORRUPT_MODULUS} in ({NOT_JSON_EVERY}, {NOT_OBJECT_EVERY})
+            when page_id % {CORRUPT_MODULUS} = {NOT_OBJECT_EVERY} then 'not_a_json_object'
+            when page_id % {CORRUPT_MODULUS} = {BAD_ID_EVERY} then 'bad_id' else 'bad_time' end as reject_reason, count(*) as rejects
+from page_events where page_id % {CORRUPT_MODULUS} in ({NOT_JSON_EVERY}, {NOT_OBJECT_EVERY}, {BAD_ID_EVERY}, {BAD_TIME_EVERY})
 group by 1""",
 }

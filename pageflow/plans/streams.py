@@ -13,12 +13,12 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.operators import summaries
-from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, LANG_CTE, PAGE_EVENTS_CTE, SPAM_CTE
+from pageflow.operators import metrics, summaries
+from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, LANG_CTE, PAGE_EVENTS_CTE, SPAM_CTE, estimate_checked
 from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVITY, PAGES_BY_ID,
                              PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.session import scratch_path
-from pageflow.sources.fixtures import input_state, stream_page_events
+from pageflow.sources.fixtures import input_state, page_events, stream_page_events
 from pageflow.sources.tables import read_latest
 from pageflow.streaming.runner import run_available_now
 
@@ -62,12 +62,20 @@ def q_overview_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
                               read_latest(spark, SPAM_ALERTS, root))
 
 
+def q_stream_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's windows against exact ones of the batch: counts equal, estimates within their error."""
+    stored = _ntz(read_latest(spark, LANGUAGE_ACTIVITY, stream_tables_root(spark, sf_dir)))
+    exact = metrics.language_activity(page_events(spark, sf_dir), exact=True)
+    checked = estimate_checked(stored, exact.select("domain", "window_start", "unique_authors"))
+    return stored.drop("unique_authors").join(checked, ["domain", "window_start"])
+
+
 QUERIES = {
     "overview_stored": q_overview_stored,
     "stream_raw": _table(RAW_PAGES),
     "stream_pages_by_user": _table(PAGES_BY_USER),
     "stream_pages_by_id": _table(PAGES_BY_ID),
-    "stream_language": _table(LANGUAGE_ACTIVITY),
+    "stream_language": q_stream_language,
     "stream_bots": _table(BOT_ACTIVITY),
     "stream_bursts": _table(BREAKING_NEWS_ALERTS, ("alert_time",)),
     "stream_spam": _table(SPAM_ALERTS, ("alert_time",)),
@@ -85,8 +93,8 @@ select (select count(distinct domain) from lang) as tracked_domains,
     + f"\nselect {', '.join(PAGES_BY_USER.columns)} from page_events",
     "stream_pages_by_id": PAGE_EVENTS_CTE
     + f"\nselect {', '.join(PAGES_BY_ID.columns)} from page_events",
+    "stream_language": PAGE_EVENTS_CTE + LANG_CTE + "\nselect *, true as estimate_ok from lang",
     "stream_bots": PAGE_EVENTS_CTE + BOT_CTE + "\nselect * from bots",
     "stream_bursts": PAGE_EVENTS_CTE + BURSTS_CTE + "\nselect * exclude (alert_time) from alerts",
     "stream_spam": PAGE_EVENTS_CTE + SPAM_CTE + "\nselect * exclude (alert_time) from spam",
 }
-# stream_language has no oracle: its distinct authors are a HyperLogLog estimate.
