@@ -1,8 +1,9 @@
 r"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, connected groups.
 
 Distinct normalised lines get a 64-bit SimHash of their words and word pairs. Hashes that differ in at most ``DISTANCE`` bits
-agree in ``MATCH`` of ``BLOCKS`` blocks, so lines meet under every choice of blocks. Those within the distance whose edit
-similarity is high are linked, and of each connected group only the first occurrence in the corpus stays.
+agree in ``MATCH`` of ``BLOCKS`` blocks, so lines meet under every choice of blocks. One replaced word changes more bits than
+that in all but long lines, so lines also meet by ``BANDS`` bands of least hashes of their word pairs, within ``FAR`` bits.
+Those whose edit similarity is high are linked, and of each connected group only the first occurrence in the corpus stays.
 """
 
 from __future__ import annotations
@@ -17,11 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.llm.common import BROADCAST_ROWS, components, join_narrow, staged
-from pageflow.llm.words import LOWER, Words, buffer_of, chain, mix, pieces, rows_of, words_in
+from pageflow.llm.words import LOWER, Words, buffer_of, chain, list_array, mix, pieces, rows_of, words_in
 
 #: Lines of fewer words stay as they are: they are too short to tell a copy from a coincidence.
 MIN_WORDS = 5
 DISTANCE, BLOCKS, MATCH = 3, 6, 3
+#: Lines that meet by bands are compared up to so many bits; unrelated lines differ in 32.
+BANDS, FAR = 16, 24
+#: Least hashes of a band: (how many, for lines of so many words at least, at most); neighbouring ranges overlap.
+LEVELS = ((2, 0, 11), (3, 9, 22), (4, 18, 1 << 62))
 MIN_SIMILARITY = 0.9
 NO_ID = (1 << 63) - 1
 
@@ -75,6 +80,46 @@ def simhash(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def bands(hashes: np.ndarray, first: np.ndarray, count: int = BANDS) -> tuple[np.ndarray, np.ndarray]:
+    """(key, line) for every band of every line; lines of one word have none."""
+    pair = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + np.append(hashes[1:], np.uint64(0)))
+    inner = np.ones(len(pair), dtype=bool)
+    inner[first[1:] - 1] = False  # the last word begins no pair
+    pair, n = pair[inner], np.diff(first)
+    lines = np.flatnonzero(n > 1)
+    if not len(lines):
+        return np.zeros(0, np.uint64), lines
+    n = n[lines]
+    start = np.concatenate(([0], np.cumsum(n - 1)[:-1]))
+    odd = mix(np.arange(1, 1 + count * LEVELS[-1][0], dtype=np.uint64)) | np.uint64(1)
+    keys, rows = [], []
+    for band in range(count):
+        total = np.full(len(lines), band + 1, dtype=np.uint64)
+        for k in range(LEVELS[-1][0]):
+            total = mix(total + np.minimum.reduceat(pair * odd[band * LEVELS[-1][0] + k], start))
+            for size, low, high in LEVELS:
+                if size == k + 1:
+                    some = (n >= low) & (n <= high)
+                    keys.append(total[some])
+                    rows.append(lines[some])
+    return np.concatenate(keys), np.concatenate(rows)
+
+
+def _sketches(count: int):
+    """(line, hash, keys): the bands of the distinct lines of a batch."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            words, ranges, _, _ = lines_of(batch.column("text"))
+            at, first = _squeeze(words, ranges)
+            line, new = np.unique(chain(words.hash[at], first).view(np.int64), return_index=True)
+            at, first = _squeeze(words, ranges[:, new])
+            key, row = bands(words.hash[at], first, count)
+            order = np.argsort(row, kind="stable")
+            keys = list_array(key[order].view(np.int64), np.searchsorted(row[order], np.arange(len(line) + 1)), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(line), pa.array(simhash(words.hash[at], first).view(np.int64)), keys], ["line", "hash", "keys"])
+    return emit
+
+
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text"):
         words, ranges, row, number = lines_of(batch.column("text"))
@@ -173,10 +218,17 @@ def edit_distance(a: str, b: str) -> int:
 def _similar(min_similarity: float):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
+            ok, known = [], {}
+
+            def grams(x: str, known=known) -> set[str]:
+                if x not in known:
+                    known[x] = {x[i:i + 3] for i in range(len(x) - 2)}
+                return known[x]
+
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 most = (1 - min_similarity) * max(len(x), len(y)) + 1e-9
-                ok.append(abs(len(x) - len(y)) <= most and edit_distance(x, y) <= most)
+                # an edit takes three of a line's 3-grams away at most
+                ok.append(abs(len(x) - len(y)) <= most and len(grams(x) - grams(y)) <= 3 * most and edit_distance(x, y) <= most)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
     return check
 
@@ -190,14 +242,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_similarity: float) -> Data
     return both.select("a", "b", "x", "y").repartition(parts).mapInArrow(_similar(min_similarity), "a long, b long")
 
 
-def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count: int = 0) -> tuple[DataFrame, DataFrame]:
     """(occurrences (id, number, line, hash), groups (line, root)); a line of a group of one is not in the latter.
 
-    ``docs`` has id and text.
+    ``docs`` has id and text. ``count`` is the number of bands; without any, lines are linked within ``DISTANCE`` bits only.
     """
     rows = staged(docs.mapInArrow(_line_rows, "id long, number long, line long, hash long"))
-    distinct = rows.groupBy("line").agg(F.first("hash").alias("hash"))
-    keyed = distinct.select("line", "hash", F.explode(_block_keys()).alias("key"))
+    if count:
+        sketches = docs.mapInArrow(_sketches(count), "line long, hash long, keys array<long>")
+        distinct = sketches.groupBy("line").agg(F.first("hash").alias("hash"), F.first("keys").alias("keys"))
+        keyed = distinct.select("line", "hash", F.explode(F.concat(_block_keys(), "keys")).alias("key"))
+    else:
+        distinct = rows.groupBy("line").agg(F.first("hash").alias("hash"))
+        keyed = distinct.select("line", "hash", F.explode(_block_keys()).alias("key"))
     near = staged(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_together, "line long, hash long, key long"))
     # texts of the lines that meet another
     lines = staged(near.select("line").distinct())
@@ -206,7 +263,7 @@ def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY) -> tupl
         wanted = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r.line for r in lines.toLocalIterator()], dtype=np.int64)))
     found = docs.select("text").mapInArrow(_line_texts(wanted), "line long, normal string")
     texts = staged(join_narrow(found, lines, "line", "left_semi").groupBy("line").agg(F.first("normal").alias("normal")))
-    close = F.bit_count(F.col("hash").bitwiseXOR(F.col("other"))) <= DISTANCE
+    close = F.bit_count(F.col("hash").bitwiseXOR(F.col("other"))) <= (FAR if count else DISTANCE)
     # each line with the least line of its block; then, where a block still holds several parts, across the parts
     head = near.groupBy("key").agg(F.min(F.struct("line", "hash")).alias("h"))
     first = near.join(head.select("key", F.col("h.line").alias("a"), F.col("h.hash").alias("other")), "key").where(close)
@@ -222,15 +279,16 @@ def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY) -> tupl
     return rows, components(links).select(F.col("id").alias("line"), F.col("component_id").alias("root"))
 
 
-def dedup_lines(docs: DataFrame, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count: int = 0) -> DataFrame:
     """(doc_id, n_lines, removed array<int>, n_removed) for every doc_id that has a line of ``MIN_WORDS`` words.
 
     n_lines counts those lines; ``removed`` has the numbers (from 0, all lines counted) of the ones that go. The occurrence
     with the least (doc_id, number) of every group stays, a null doc_id counting as the largest. Repeated rows are one
-    document; null and empty texts have no lines; an empty table gives no row; other columns are not read.
+    document; null and empty texts have no lines; an empty table gives no row; other columns are not read. With ``count``
+    bands lines are linked by edit similarity alone, as ``op9_fuzzy_lines`` does; without, within ``DISTANCE`` bits.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
-    rows, groups = line_groups(docs, min_similarity)
+    rows, groups = line_groups(docs, min_similarity, count)
     rows = join_narrow(rows, staged(groups), "line", "left").withColumn("root", F.coalesce("root", "line"))
     first = rows.groupBy("root").agg(F.min(F.struct("id", "number")).alias("f")).select("f.id", "f.number")
     kept = first.groupBy("id").agg(F.collect_set("number").alias("kept"))  # one document's lines
@@ -251,4 +309,4 @@ def without_lines(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def op9_fuzzy_lines(spark, sf_dir: str) -> DataFrame:
     """Lines of all documents that go as copies of earlier ones."""
-    return dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), count=BANDS)

@@ -206,6 +206,32 @@ def test_line_groups_match_brute_force(spark):
     assert {i: s for i, s in got.items() if s} == {i: s for i, s in want.items() if s}
 
 
+def test_line_groups_match_edit_similarity_alone(spark):
+    rng = random.Random(5)
+    lines = [prose(i, rng.randint(6, 60)).replace(".", "") for i in range(60)]
+    for line in lines[:60]:
+        for _ in range(3):
+            words = line.split()
+            words[rng.randrange(len(words))] = prose(rng.randrange(10**6), 1)
+            lines.append(" ".join(words))
+    alike = [(a, b) for a in lines for b in lines if a < b and abs(len(a) - len(b)) <= 0.1 * max(len(a), len(b))
+             and fuzzy_lines.edit_distance(a, b) <= 0.1 * max(len(a), len(b)) + 1e-9]
+    docs = spark.createDataFrame(list(enumerate(lines)), "id long, text string")
+    rows, groups = fuzzy_lines.line_groups(docs, count=fuzzy_lines.BANDS)
+    root = {r.id: r.root for r in rows.join(groups, "line", "left").select("id", F.coalesce("root", "line").alias("root")).collect()}
+    at = {line: i for i, line in enumerate(lines)}
+    assert len(alike) > 200 and sum(root[at[a]] == root[at[b]] for a, b in alike) >= 0.99 * len(alike)
+    parent = {x: x for x in lines}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in alike:
+        parent[find(a)] = find(b)
+    assert all(find(a) == find(b) for a in lines for b in lines if root[at[a]] == root[at[b]])  # nothing else is linked
+
+
 def test_repeated_passage_at_factor_boundaries(spark):
     a, b, c = prose(11, 200).split(), prose(12, 200).split(), prose(13, 200).split()
     docs = [(1, " ".join(a)), (2, " ".join(b[:50] + a[60:73] + b[50:])), (3, " ".join(c[:20] + a[10:40] + b[20:45] + c[20:] + a[60:72]))]
