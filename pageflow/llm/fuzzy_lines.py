@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pageflow.llm.common import BROADCAST_ROWS, components, join_narrow, staged
 from pageflow.llm.words import LOWER, Words, buffer_of, chain, list_array, mix, pieces, rows_of, words_in
 
-#: Lines of fewer words stay as they are: they are too short to tell a copy from a coincidence.
+#: Lines of fewer words are copies only if their normalised words are equal: they are too short to tell a near copy from a coincidence.
 MIN_WORDS = 5
 DISTANCE, BLOCKS, MATCH = 3, 6, 3
 #: Lines that meet by bands are compared up to so many bits; unrelated lines differ in 32.
@@ -37,7 +37,7 @@ _NORMAL = np.where(_digit, 0x30, LOWER).astype(np.uint8)
 _in_line = _bytes != 0x0A
 
 
-def lines_of(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+def lines_of(column: pa.Array, min_words: int = 1) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
     """(content words, each line's range of words, its row, its number) of the lines with enough words.
 
     A line's number counts all lines of its text, empty ones too.
@@ -51,7 +51,7 @@ def lines_of(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
     number = np.arange(len(start)) - np.searchsorted(start, offsets[:-1])[row] if len(start) else row
     first = np.searchsorted(words.start, start)
     last = np.append(first[1:], len(words.start))
-    keep = last - first >= MIN_WORDS
+    keep = last - first >= min_words
     return words, np.stack((first[keep], last[keep])), row[keep], number[keep]
 
 
@@ -109,7 +109,7 @@ def _sketches(count: int):
     """(line, hash, keys): the bands of the distinct lines of a batch."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            words, ranges, _, _ = lines_of(batch.column("text"))
+            words, ranges, _, _ = lines_of(batch.column("text"), MIN_WORDS)
             at, first = _squeeze(words, ranges)
             line, new = np.unique(chain(words.hash[at], first).view(np.int64), return_index=True)
             at, first = _squeeze(words, ranges[:, new])
@@ -125,8 +125,9 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, ranges, row, number = lines_of(batch.column("text"))
         at, first = _squeeze(words, ranges)
         hashes = words.hash[at]
+        short = np.diff(first) < MIN_WORDS
         yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(number), pa.array(chain(hashes, first).view(np.int64)),
-                                          pa.array(simhash(hashes, first).view(np.int64))], ["id", "number", "line", "hash"])
+                                          pa.array(simhash(hashes, first).view(np.int64), mask=short)], ["id", "number", "line", "hash"])
 
 
 def _joined(words: Words, ranges: np.ndarray) -> pa.Array:
@@ -146,7 +147,7 @@ def _joined(words: Words, ranges: np.ndarray) -> pa.Array:
 def _line_texts(wanted):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
-            words, ranges, _, _ = lines_of(batch.column("text"))
+            words, ranges, _, _ = lines_of(batch.column("text"), MIN_WORDS)
             at, first = _squeeze(words, ranges)
             line = chain(words.hash[at], first).view(np.int64)
             found = np.flatnonzero(np.isin(line, wanted.value)) if wanted else np.arange(len(line))
@@ -245,6 +246,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_similarity: float) -> Data
 def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count: int = 0) -> tuple[DataFrame, DataFrame]:
     """(occurrences (id, number, line, hash), groups (line, root)); a line of a group of one is not in the latter.
 
+    A line under ``MIN_WORDS`` has no hash: it is in a group with its exact copies only.
+
     ``docs`` has id and text. ``count`` is the number of bands; without any, lines are linked within ``DISTANCE`` bits only.
     """
     rows = staged(docs.mapInArrow(_line_rows, "id long, number long, line long, hash long"))
@@ -253,7 +256,7 @@ def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count:
         distinct = sketches.groupBy("line").agg(F.first("hash").alias("hash"), F.first("keys").alias("keys"))
         keyed = distinct.select("line", "hash", F.explode(F.concat(_block_keys(), "keys")).alias("key"))
     else:
-        distinct = rows.groupBy("line").agg(F.first("hash").alias("hash"))
+        distinct = rows.where("hash is not null").groupBy("line").agg(F.first("hash").alias("hash"))
         keyed = distinct.select("line", "hash", F.explode(_block_keys()).alias("key"))
     near = staged(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_together, "line long, hash long, key long"))
     # texts of the lines that meet another
@@ -280,9 +283,9 @@ def line_groups(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count:
 
 
 def dedup_lines(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count: int = 0) -> DataFrame:
-    """(doc_id, n_lines, removed array<int>, n_removed) for every doc_id that has a line of ``MIN_WORDS`` words.
+    """(doc_id, n_lines, removed array<int>, n_removed) for every doc_id.
 
-    n_lines counts those lines; ``removed`` has the numbers (from 0, all lines counted) of the ones that go. The occurrence
+    n_lines counts the lines with a word; ``removed`` has the numbers (from 0, all lines counted) of the ones that go. The occurrence
     with the least (doc_id, number) of every group stays, a null doc_id counting as the largest. Repeated rows are one
     document; null and empty texts have no lines; an empty table gives no row; other columns are not read. With ``count``
     bands lines are linked by edit similarity alone, as ``op9_fuzzy_lines`` does; without, within ``DISTANCE`` bits.
@@ -292,7 +295,9 @@ def dedup_lines(docs: DataFrame, min_similarity: float = MIN_SIMILARITY, count:
     rows = join_narrow(rows, staged(groups), "line", "left").withColumn("root", F.coalesce("root", "line"))
     first = rows.groupBy("root").agg(F.min(F.struct("id", "number")).alias("f")).select("f.id", "f.number")
     kept = first.groupBy("id").agg(F.collect_set("number").alias("kept"))  # one document's lines
-    every = rows.groupBy("id").agg(F.collect_set("number").alias("lines"))
+    # a row without number stands for the document itself, and is in no list
+    every = (rows.select("id", "number").unionByName(docs.select("id", F.lit(None).cast("long").alias("number")))
+             .groupBy("id").agg(F.collect_set("number").alias("lines")))
     gone = F.array_sort(F.array_except("lines", F.coalesce("kept", F.array().cast("array<bigint>")))).cast("array<int>")
     out = every.join(kept, "id", "left").select("id", F.size("lines").cast("long").alias("n_lines"), gone.alias("removed"))
     return out.select(F.when(F.col("id") < NO_ID, F.col("id")).alias("doc_id"), "n_lines", "removed", F.size("removed").cast("long").alias("n_removed"))

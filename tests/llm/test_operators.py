@@ -232,6 +232,12 @@ def test_line_groups_match_edit_similarity_alone(spark):
     assert all(find(a) == find(b) for a in lines for b in lines if root[at[a]] == root[at[b]])  # nothing else is linked
 
 
+def test_exact_copies_of_short_lines(spark):
+    docs = [(1, "All rights reserved.\nlonely"), (2, "other\nALL rights  reserved\n###"), (3, "all rights reserved"), (4, None), (5, "")]
+    got = {r.doc_id: (r.n_lines, r.removed, r.n_removed) for r in fuzzy_lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (2, [], 0), 2: (2, [1], 1), 3: (1, [0], 1), 4: (0, [], 0), 5: (0, [], 0)}
+
+
 def test_repeated_passage_at_factor_boundaries(spark):
     a, b, c = prose(11, 200).split(), prose(12, 200).split(), prose(13, 200).split()
     docs = [(1, " ".join(a)), (2, " ".join(b[:50] + a[60:73] + b[50:])), (3, " ".join(c[:20] + a[10:40] + b[20:45] + c[20:] + a[60:72]))]
