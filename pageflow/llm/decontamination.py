@@ -25,14 +25,15 @@ UNITS = ("km", "cm", "mm", "m", "mi", "ft", "kg", "g", "mg", "lb", "lbs", "oz",
          "hours", "hour", "minutes", "minute", "seconds", "second", "days", "day", "weeks", "week", "months", "month", "years",
          "year", "meters", "metres", "miles", "feet", "inches", "pounds", "ounces", "grams", "liters", "litres", "dollars",
          "dollar", "cents", "euros", "euro", "percent", "degrees", "usd", "eur", "kwh", "kw", "w", "v", "hz", "gb", "mb", "kb")
-NAME = r"([\p{Ll},;]) (\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+#: Capitalised words wherever they stand, so that a name that opens a sentence, a line or a quote is one; a unit after a number isn't.
+NAME = rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{Nd}}_])(?!(?<=\p{{Nd}} {{1,3}})(?i:{'|'.join(UNITS)})\b)(\p{{Lu}}\p{{L}}*(?: \p{{Lu}}\p{{L}}*)*)"
 NUMBER = r"\p{Nd}+(?:[.,:]\p{Nd}+)*"
 UNIT = rf"(?i)_num_ +({'|'.join(UNITS)})\b"
 PLACEHOLDERS = ("_num_", "_name_", "_unit_")
 
 
 def _named(text: Column) -> Column:
-    return F.regexp_replace(text, NAME, "$1 _name_")
+    return F.regexp_replace(text, NAME, " _name_ ")
 
 
 def _numbered(text: Column) -> Column:
@@ -50,7 +51,7 @@ def slots(text: Column, words: Column) -> Column:
 
     The n-th placeholder of a kind holds the n-th value that its pattern finds.
     """
-    values = {"_name_": F.regexp_extract_all(text, F.lit(NAME), 2),
+    values = {"_name_": F.regexp_extract_all(text, F.lit(NAME), 1),
               "_num_": F.regexp_extract_all(_named(text), F.lit(NUMBER), 0),
               "_unit_": F.regexp_extract_all(_numbered(text), F.lit(UNIT), 1)}
     every = F.sequence(F.lit(0), F.greatest(F.size(words), F.lit(1)) - 1)
@@ -115,13 +116,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share
     pairs = staged(pairs.where(F.col("n_found") >= F.ceil(min_share * F.col("n_windows"))))
     # slot consistency along that alignment
     doc_slots = join_narrow(docs.withColumn("text_key", F.xxhash64("doc_id", "text")), pairs.select("text_key").distinct(), "text_key", "left_semi")
-    doc_slots = doc_slots.dropDuplicates(["text_key"]).select("text_key", F.explode(slots(F.col("text"), template(F.col("text")))).alias("d"))
+    doc_slots = doc_slots.dropDuplicates(["text_key"]).withColumn("words", template(F.col("text")))
+    doc_slots = doc_slots.select("text_key", F.explode(slots(F.col("text"), F.col("words"))).alias("d"))
     item_slots = items.select("item_key", F.explode(slots(F.col("text"), F.col("words"))).alias("b"))
     aligned = (pairs.select("text_key", "item_key", "shift").join(item_slots, "item_key")
                .withColumn("at", F.col("b.at") + F.col("shift"))
                .join(doc_slots.withColumn("at", F.col("d.at")), ["text_key", "at"]).where("b.kind = d.kind"))
+    # a capitalised word before the item runs into the name that opens it
+    n_words, there = F.size(F.split("b.value", " ")), F.split("d.value", " ")
+    opens = (F.col("b.at") == 0) & (F.col("b.kind") == "_name_") & (F.size(there) > n_words)
+    value = F.when(opens, F.array_join(F.slice(there, F.size(there) - n_words + 1, n_words), " ")).otherwise(F.col("d.value"))
     values = aligned.groupBy("text_key", "item_key", "b.kind", "b.value").agg(
-        F.count("*").alias("n"), F.min("d.value").alias("low"), F.max("d.value").alias("high"))
+        F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
     checked = values.groupBy("text_key", "item_key").agg(
         F.sum("n").alias("n_slots"), F.max((F.col("low") != F.col("high")).cast("int")).alias("clash"),
         F.min(((F.col("low") == F.col("value")) & (F.col("high") == F.col("value"))).cast("int")).alias("same"))

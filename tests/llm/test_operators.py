@@ -107,6 +107,17 @@ def test_decontamination_finds_reparameterised_items(spark):
     assert {(r.doc_id, r.same_values) for r in found.collect()} == {(1, True), (2, False)}  # in 3 one value became two
 
 
+def test_decontamination_finds_renamed_sentence_openers(spark):
+    item = "Alice has 5 apples. Bob has 7 more than Alice. Carol has twice as many. How many do they have together?"
+    other = item.replace("Alice", "Dora").replace("Bob", "Emil").replace("Carol", "Fay").replace("5", "6").replace("7", "9")
+    docs = [(1, other), (2, f'words before it\n"{other}"'), (3, f"Question {other}"), (4, f"Then {item}"),
+            (5, other.replace("than Dora", "than Gus")), (6, "The wire at 220 V is 3 Km long and goes to town")]
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(9, item)], "item_id long, text string"))
+    assert {(r.doc_id, r.same_values) for r in found.collect()} == {(1, False), (2, False), (3, False), (4, True)}  # in 5 one name became two
+    words = spark.createDataFrame([docs[5]], "doc_id long, text string").select(decontamination.template(F.col("text"))).first()[0]
+    assert words.count("_unit_") == 2 and words.count("_name_") == 1
+
+
 def test_decontamination_matches_plain_search(spark):
     docs = spark.read.parquet(f"{SF_LEARN}/documents.parquet")
     bench = spark.read.parquet(f"{SF_LEARN}/benchmark.parquet")
