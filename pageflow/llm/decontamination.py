@@ -17,7 +17,7 @@ WINDOW = 8
 #: Share of an item's windows that a document must hold, and placeholders that a window may have.
 MIN_SHARE = 0.6
 MAX_PLACEHOLDERS = 4
-#: An item with fewer template words is too unspecific to be looked for.
+#: An item with fewer template words is too unspecific for its template, and looked for word by word.
 MIN_WORDS = 5
 
 # Unit names.
@@ -88,11 +88,42 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
     return each.withColumn("n_windows", F.count("*").over(Window.partitionBy("item_key")))
 
 
+def raw_words(text: Column) -> Column:
+    """Words of a text with the values in place: lower case, without punctuation."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{Nd}_]+"), "")
+
+
+def _dropped(items: DataFrame, window: int) -> DataFrame:
+    """Items of which ``_item_windows`` leaves a window out, or all."""
+    size = F.least(F.size("words"), F.lit(window))
+    marks = F.transform(F.sequence(F.lit(1), F.size("words") - size + 1),
+                        lambda i: F.size(F.filter(F.slice("words", i, size), lambda w: w.isin(*PLACEHOLDERS))))
+    return items.where(F.size("words") > 0).where((F.size("words") < MIN_WORDS) | F.exists(marks, lambda n: n > MAX_PLACEHOLDERS))
+
+
+def _exact(docs: DataFrame, items: DataFrame, window: int, min_share: float) -> DataFrame:
+    """(doc_id, text_key, item_id, item_key, n_windows, n_found) by windows of raw words, for ``_dropped`` items."""
+    raw = _dropped(items, window).select("item_id", "item_key", raw_words(F.col("text")).alias("words"))
+    raw = raw.withColumn("span", F.least(F.size("words"), F.lit(window)))
+    wanted = staged(raw.select("item_id", "item_key", "span", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size("words") - F.col("span") + 1), lambda i: F.xxhash64(F.slice("words", i, F.col("span")))))).alias("hash"))
+        .withColumn("n_windows", F.count("*").over(Window.partitionBy("item_key"))))
+    words = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), raw_words(F.col("text")).alias("words"))
+    found = None
+    for span in sorted(r.span for r in wanted.select("span").distinct().collect()) or [window]:  # at most ``window`` values
+        hashes = words.select("doc_id", "text_key", F.explode(_window_hashes(F.col("words"), span)).alias("hash"))
+        hit = join_narrow(hashes, wanted.where(F.col("span") == span).drop("span"), "hash", "inner").distinct()
+        found = hit if found is None else found.unionByName(hit)
+    pairs = found.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows").agg(F.count("*").alias("n_found"))
+    return pairs.where(F.col("n_found") >= F.ceil(min_share * F.col("n_windows")))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, text_key, item_id, n_found, n_windows, n_slots, same_values) for every leaked item.
 
     Equal texts of an item or of one doc_id count once. ``same_values`` is false where the values differ, a
-    re-parameterised item. Null or empty texts and items of fewer than ``MIN_WORDS`` template words match
+    re-parameterised item. An item with windows of more than ``MAX_PLACEHOLDERS`` placeholders, or of fewer than
+    ``MIN_WORDS`` template words, is also looked for by windows of its raw words, values included. Null or empty texts match
     nothing; a null doc_id or item_id is kept as null; an empty table gives no row; other columns are not read.
     """
     items = as_columns(benchmark, "item_id", "text").where("text is not null").dropDuplicates(["item_id", "text"])
@@ -131,7 +162,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share
     checked = values.groupBy("text_key", "item_key").agg(
         F.sum("n").alias("n_slots"), F.max((F.col("low") != F.col("high")).cast("int")).alias("clash"),
         F.min(((F.col("low") == F.col("value")) & (F.col("high") == F.col("value"))).cast("int")).alias("same"))
-    return (pairs.join(checked, ["text_key", "item_key"], "left").where("coalesce(clash, 0) = 0")
+    by_template = staged(pairs.join(checked, ["text_key", "item_key"], "left").where("coalesce(clash, 0) = 0").drop("shift", "clash"))
+    exact = (_exact(docs, items, window, min_share).join(by_template.select("text_key", "item_key"), ["text_key", "item_key"], "left_anti")
+             .join(items.select("item_key", F.size(F.filter("words", lambda w: w.isin(*PLACEHOLDERS))).alias("in_item")), "item_key"))
+    # without all of its raw windows the values may differ
+    exact = exact.select("doc_id", "text_key", "item_id", "item_key", "n_windows", "n_found", F.col("in_item").cast("long").alias("n_slots"),
+                         (F.col("n_found") == F.col("n_windows")).cast("int").alias("same"))
+    return (by_template.select(exact.columns).unionByName(exact)
             .select("doc_id", "text_key", "item_id", F.col("n_found").cast("long").alias("n_found"),
                     F.col("n_windows").cast("long").alias("n_windows"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
                     (F.coalesce("same", F.lit(1)) == 1).alias("same_values")))

@@ -118,6 +118,13 @@ def test_decontamination_finds_renamed_sentence_openers(spark):
     assert words.count("_unit_") == 2 and words.count("_name_") == 1
 
 
+def test_decontamination_finds_items_of_numbers_and_short_items(spark):
+    items = [(1, "Sort these: 12, 7, 9, 31, 5, 18"), (2, "Define entropy briefly")]
+    docs = [(1, "we ask: sort these: 12, 7, 9, 31, 5, 18 and then stop"), (2, "Sort these: 3, 8, 2, 44, 6, 91"), (3, "please define entropy briefly now")]
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.same_values) for r in found.collect()} == {(1, 1, True), (3, 2, True)}
+
+
 def test_decontamination_matches_plain_search(spark):
     docs = spark.read.parquet(f"{SF_LEARN}/documents.parquet")
     bench = spark.read.parquet(f"{SF_LEARN}/benchmark.parquet")
