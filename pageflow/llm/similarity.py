@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageflow.llm.common import components, join_narrow, staged
@@ -82,8 +82,8 @@ def _narrow_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if some.any():
                 key[some] = np.minimum.reduceat(mix(tokens + np.uint64(salt)), first[:-1][some])
             keys.append(pa.array(key.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("doc_id"), pa.array(_signatures(tokens, first)),
-                                          pa.array(n.astype(np.int64)), *keys], ["id", "doc_id", "sig", "n", "key0", "key1"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("row", "id", "doc_id")), pa.array(_signatures(tokens, first)),
+                                          pa.array(n.astype(np.int64)), *keys], ["row", "id", "doc_id", "sig", "n", "key0", "key1"])
 
 
 def _sampled_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,11 +267,11 @@ def _open(table: pa.Table) -> pa.Table:
 
 
 def _bucketed(docs: DataFrame, rows: DataFrame, by: list[str], fn, schema: str) -> DataFrame:
-    """Bring the texts of narrow ``rows`` (id, n, ...) together by hashed buckets of about ``CHUNK_TOKENS`` tokens."""
+    """Bring the texts of narrow ``rows`` (row, n, ...) together by hashed buckets of about ``CHUNK_TOKENS`` tokens."""
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = int(total // CHUNK_TOKENS) + 1
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)))
-    return join_narrow(docs, rows, "id", "inner").groupBy("bucket").applyInArrow(fn, schema)
+    return join_narrow(docs, rows, "row", "inner").groupBy("bucket").applyInArrow(fn, schema)
 
 
 def _opened_links(texts: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -282,48 +282,49 @@ def _opened_links(texts: DataFrame, members: DataFrame, pairs: DataFrame) -> Dat
     chunks = pairs.withColumn("chunks", F.ceil(F.col("open_tokens") / CHUNK_TOKENS))
     load = pairs.groupBy("open").agg(F.ceil(F.sum("tokens") / CHUNK_TOKENS).alias("blocks"))
     pairs = staged(chunks.join(load, "open"))
-    own = members.select("id", "sig", "n", "group")
+    own = members.select("row", "sig", "n", "group")
     queries = (pairs.join(own, F.col("asks") == F.col("group")).withColumn("block", F.pmod(F.xxhash64("sig"), "blocks"))
                .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))))
     owners = (pairs.select("open", "chunks", "blocks").distinct().join(own, F.col("open") == F.col("group"))
               .withColumn("chunk", F.pmod(F.xxhash64("sig"), "chunks"))
               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
-    columns = ["id", "n", "group", "open", "chunk", "block"]
+    columns = ["row", "n", "group", "open", "chunk", "block"]
     opened = queries.select(*columns, F.lit(False).alias("owner")).unionByName(owners.select(*columns, F.lit(True).alias("owner")))
     return _bucketed(texts, staged(opened), ["open", "chunk", "block"], _open, "a long, b long")
 
 
-def jaccard_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+def row_key() -> Column:
+    """Key of a row's doc_id and text; a null doc_id or one of several texts doesn't identify a row."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.col("text").cast("string"))
 
-    component_id is the least doc_id reachable by links, the document's own included. A null or empty text has no
-    shingle and is linked with nothing; rows with a null doc_id count as the largest id, written as null; repeated rows
-    each get a row; an empty table gives none. Other columns are not read.
-    """
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(row, first, doc_id, n_shingles, component_id): ``jaccard_groups`` with the keys of the row and of its component's first row."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    rows = staged(docs.mapInArrow(_narrow_rows, "id long, doc_id long, sig long, n long, key0 long, key1 long"))
-    texts = docs.select("id", "text")
-    classes = staged(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("id"), F.count("*").alias("copies"),
-                                                         *[F.first(x).alias(x) for x in ("n", "key0", "key1")]))
+                       F.col("text").cast("string").alias("text"), row_key().alias("row"))
+    rows = staged(docs.mapInArrow(_narrow_rows, "row long, id long, doc_id long, sig long, n long, key0 long, key1 long"))
+    texts = docs.select("row", "text")
+    classes = staged(rows.where("n > 0").groupBy("sig").agg(F.min(F.struct("id", "row")).alias("c"), F.count("*").alias("copies"),
+                                                         *[F.first(x).alias(x) for x in ("n", "key0", "key1")])
+                     .select("c.*", "sig", "copies", "n", "key0", "key1"))
     # groups: linked parts of the classes with one least hash; then the same for the groups' first classes
-    members = classes.select("id", "sig", "n", F.col("sig").alias("group"))
+    members = classes.select("row", "id", "sig", "n", F.col("sig").alias("group"))
     for x in ("key0", "key1"):
-        heads = members.where("sig = group").select("sig").join(classes.select("sig", "id", "n", F.col(x).alias("key")), "sig")
+        heads = members.where("sig = group").select("sig").join(classes.select("sig", "row", "n", F.col(x).alias("key")), "sig")
         keys = heads.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("tokens")).where("m > 1")
         alike = heads.join(keys, "key").withColumn("chunk", F.pmod(F.xxhash64("sig"), F.ceil(F.col("tokens") / CHUNK_TOKENS)))
-        parts = staged(_bucketed(texts, staged(alike.select("id", "sig", "n", "key", "chunk")), ["key", "chunk"], _bucket_groups,
+        parts = staged(_bucketed(texts, staged(alike.select("row", "sig", "n", "key", "chunk")), ["key", "chunk"], _bucket_groups,
                                  "sig long, group long").distinct())
         parts = parts.where("sig <> group").select(F.col("sig").alias("group"), F.col("group").alias("into"))
-        members = staged(members.join(parts, "group", "left").select("id", "sig", "n", F.coalesce("into", "group").alias("group")))
+        members = staged(members.join(parts, "group", "left").select("row", "id", "sig", "n", F.coalesce("into", "group").alias("group")))
     # the matrix
     counts = texts.mapInArrow(_sampled_tokens, "token long, sig long").distinct().groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     frequent = [r.token for r in counts.orderBy(F.desc("c"), "token").limit(FREQUENT).select("token").collect()]  # at most FREQUENT
     frequent = docs.sparkSession.sparkContext.broadcast(np.array(frequent, dtype=np.int64).view(np.uint64))
-    copies = rows.where("n > 0").join(classes.where("copies > 1").select("sig", F.col("id").alias("first")), "sig").where("id <> first")
-    assigned = staged(copies.select("id", "sig", F.lit(None).cast("long").alias("group")).distinct()
-                      .unionByName(members.where("group <> sig").select("id", "sig", "group")))
-    matrix = join_narrow(texts, assigned, "id", "left").select("text", "sig", "group").mapInArrow(
+    copies = rows.where("n > 0").join(classes.where("copies > 1").select("sig", F.col("row").alias("first")), "sig").where("row <> first")
+    assigned = staged(copies.select("row", "sig", F.lit(None).cast("long").alias("group")).distinct()
+                      .unionByName(members.where("group <> sig").select("row", "sig", "group")))
+    matrix = join_narrow(texts, assigned, "row", "left").select("text", "sig", "group").mapInArrow(
         _matrix_rows(frequent), "token long, group long, sizes long")
     pairs = (matrix.repartition("token").sortWithinPartitions("token", "group").mapInArrow(_group_pairs, "a long, b long, need long")
              .groupBy("a", "b").agg(F.count("*").alias("common"), F.min("need").alias("need")).where("common >= need"))
@@ -344,25 +345,35 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         F.coalesce("open_part", "open") != F.coalesce("asks_part", "asks")).select(both.columns)
     reached = components(links.unionByName(_opened_links(texts, members, staged(rest))))
     whole = members.join(reached, members["group"] == reached["id"], "left").select(
-        "sig", members["id"], F.coalesce("component_id", "group").alias("root"))
-    least = whole.groupBy("root").agg(F.min("id").alias("least"))
-    of_class = whole.join(least, "root").select("sig", "least")
+        "sig", "row", members["id"], F.coalesce("component_id", "group").alias("root"))
+    least = whole.groupBy("root").agg(F.min(F.struct("id", "row")).alias("l"))
+    of_class = whole.join(least, "root").select("sig", F.col("l.id").alias("least"), F.col("l.row").alias("first"))
     out = rows.join(of_class, "sig", "left")
     component = F.coalesce(F.when(F.col("n") > 0, F.col("least")), F.col("id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(component < NO_ID, component).alias("component_id"))
+    return out.select("row", F.coalesce("first", "row").alias("first"), "doc_id", F.col("n").alias("n_shingles"), F.when(component < NO_ID, component).alias("component_id"))
+
+
+def jaccard_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+
+    component_id is the least doc_id reachable by links, the document's own included. A null or empty text has no
+    shingle and is linked with nothing; rows with a null doc_id count as the largest id, written as null; repeated rows
+    each get a row; an empty table gives none. Other columns are not read.
+    """
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component, that of its least doc_id; the columns of ``docs``.
 
-    Rows without a doc_id stay.
+    Rows without a doc_id stay. Different texts of one doc_id are rows of their own; repeated rows count once.
     """
-    found = staged(jaccard_groups(docs))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = join_narrow(docs, staged(gone), "doc_id", "left_anti").select(*docs.columns)
-    if found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    found = staged(_grouped(docs)).where("doc_id is not null")
+    gone = found.where("row <> first").select(F.col("row").alias("row_key_")).distinct()
+    kept = join_narrow(docs.withColumn("row_key_", row_key()), staged(gone), "row_key_", "left_anti")
+    if found.where("row = first").groupBy("row").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id is not null").dropDuplicates(["row_key_"]).unionByName(kept.where("doc_id is null"))
+    return kept.select(*docs.columns)
 
 
 def op5_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -185,6 +185,17 @@ def test_mixing_targets(spark):
     assert Counter(r.doc_id for r in mixing.mix(docs).collect()) == Counter({d: u for d, u in uses.items() if u})
 
 
+def test_jaccard_tells_texts_of_one_id_apart(spark):
+    a, b, c, d, e = (prose(i, 120) for i in range(20, 25))
+    docs = spark.createDataFrame([(None, a), (None, b), (1, a + " end"), (7, c), (7, d), (8, c + " end"), (9, e), (9, b + " end"), (7, c)],
+                                 "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in similarity.jaccard_groups(docs).collect())
+    assert got == sorted([("None", 116, "1"), ("None", 116, "9"), ("1", 117, "1"), ("7", 116, "7"), ("7", 116, "7"), ("7", 116, "7"),
+                          ("8", 117, "7"), ("9", 116, "9"), ("9", 117, "9")])
+    kept = sorted((str(r.doc_id), r.text) for r in similarity.keep_one(docs).collect())
+    assert kept == sorted([("None", a), ("None", b), ("1", a + " end"), ("7", c), ("7", d), ("9", e), ("9", b + " end")])
+
+
 def test_line_groups_match_brute_force(spark):
     rng = random.Random(3)
     lines = [prose(i, rng.randint(4, 60)) for i in range(40)]
