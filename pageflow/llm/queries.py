@@ -21,4 +21,5 @@ QUERIES = {q.__name__: q for q in (op1_decontamination, op2_toxicity, op3_shardi
                                    op7_substrings, op8_mixing, op9_fuzzy_lines, op10_licences, op11_spelling,
                                    op12_centroids, op13_token_files)}
 #: The others depend on a hash, a sample or a trained model; they are tested against brute force or held-out rows.
-ORACLE_SQL = {"op5_jaccard": oracles.JACCARD, "op6_quality": oracles.QUALITY, "op7_substrings": oracles.SUBSTRINGS}
+ORACLE_SQL = {"op5_jaccard": oracles.JACCARD, "op6_quality": oracles.QUALITY, "op7_substrings": oracles.SUBSTRINGS,
+              "op11_spelling": oracles.SPELLING, "op12_centroids": oracles.CENTROIDS}
