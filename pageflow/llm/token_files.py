@@ -11,16 +11,19 @@ number and the ids before it in its file, so that its place among all ids needs
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageflow.llm.words import pieces
+from pageflow.llm.words import Words, pieces, rows_of, sum_by_row, words_of
 from pageflow.session import scratch_path
 
 #: The end-of-document id.
@@ -28,68 +31,135 @@ END = 2
 INDEX_ROWS = 1000
 STRIPE_BYTES = 16 << 20
 #: UTF-8 bytes of text per file.
-FILE_BYTES = 256 << 20
-#: Pieces of text that an encoder remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 64
+FILE_BYTES = 64 << 20
+#: Words that an encoder remembers; more, and it begins anew.
+REMEMBERED = 1_000_000
+#: How word tokenizers cut texts of ASCII and Latin-1 letters: contractions, words, single digits, other signs (fixed values).
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SPLIT = re.compile(rf"'(?:[sS]|[tT]|[rR][eE]|[vV][eE]|[mM]|[lL][lL]|[dD])|[{_LETTERS}]+|[0-9]|[^ \t-\r0-9{_LETTERS}]+")
+_PLAIN = re.compile(rf"[\x00-\x7F{_LETTERS}]*")
 COLUMNS = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 
 
 class Encoder:
-    """Texts to bytes of little-endian unsigned 32-bit ids.
+    """A string column to the ids of its texts.
 
-    With ``breaks`` a text is cut at these characters and each piece is encoded once; right for tokenizers that drop
-    them and whose normalisation, splitting and special tokens never cross them. Without, texts are encoded whole.
+    With ``by_words`` (for tokenizers that drop white space, split plain text as ``_SPLIT`` does and mark word ends by
+    ``</w>``) every distinct word is encoded once: texts are cut at white space, which no match, normalisation or special
+    token of such a tokenizer crosses, and words are found again by a 64-bit hash. A new plain word is cut as the
+    tokenizer would, and new parts are encoded as one text. Texts that hold a special token, and all texts without
+    ``by_words``, are encoded whole.
     """
 
-    def __init__(self, path: str, breaks: str = ""):
+    def __init__(self, path: str, by_words: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.breaks = breaks
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
+        self.by_words = by_words
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True) if by_words else {}
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts: dict[str, bytes] = {}
+        #: words by hash, in order, and where their ids are
+        self.hashes, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.breaks:
-            return self._encoded(texts)
-        one, others = self.breaks[0], str.maketrans(dict.fromkeys(self.breaks[1:], self.breaks[0]))
-        parts = [t.translate(others).split(one) if any(b in t for b in self.breaks[1:]) else t.split(one) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known, extra = self.known, {}
-        new = list(set().union(*parts) - known.keys())
-        for piece, ids in zip(new, self._encoded(new), strict=True):
-            (known if len(piece) <= LONGEST else extra)[piece] = ids
-        if extra:
-            known = known | extra
-        return [b"".join([known[p] for p in words]) for words in parts]
-
-
-def _write_rows(path: str, breaks: str, end: int):
+    def _as_words(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that are a word each to the tokenizer."""
+        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
+        raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        plain = [w.isascii() or _PLAIN.fullmatch(w) is not None for w in words]
+        cut = [_SPLIT.findall(w) for w, p in zip(words, plain, strict=True) if p]
+        parts = list(set().union(*cut) - self.parts.keys())
+        self.parts.update(zip(parts, self._as_words(parts), strict=True))
+        known = self.parts
+        cuts, others = iter(cut), iter(self._whole([w for w, p in zip(words, plain, strict=True) if not p]))
+        return [b"".join([known[x] for x in next(cuts)]) if p else next(others) for p in plain]
+
+    def _places(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, length) of every word's ids in ``self.ids``; new words are encoded."""
+        if max(len(self.hashes), len(self.parts), len(self.ids) // 4) > REMEMBERED:
+            self._forget()
+        hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), dtype=bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        if new.any():
+            raw = words.data.tobytes()
+            texts = [raw[a:b].decode() for a, b in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)]
+            ids = self._learn(texts)
+            length = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+            begin = len(self.ids) + np.cumsum(length) - length
+            self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype="<u4")))
+            self.hashes, self.begin, self.length = (np.insert(known, at[new], more) for known, more in (
+                (self.hashes, hashes[new]), (self.begin, begin), (self.length, length)))
+            at = np.searchsorted(self.hashes, hashes)
+        return self.begin[at][which], self.length[at][which]
+
+    def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows one after the other, ``end`` appended to each; each row's range in them)."""
+        n = len(column)
+        whole = np.full(n, not self.by_words)
+        for token in self.special if self.by_words else ():
+            whole |= pc.fill_null(pc.match_substring(column, token), False).to_numpy(zero_copy_only=False)
+        apart = dict(zip(np.flatnonzero(whole).tolist(), self._whole([t or "" for t in column.filter(pa.array(whole)).to_pylist()]), strict=True))
+        words = words_of(column if not len(apart) else pc.if_else(pa.array(whole), pa.scalar("", column.type), column))
+        begin, length = self._places(words) if len(words.hash) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        sizes = sum_by_row(length, words.first) + 1
+        for row, raw in apart.items():
+            sizes[row] = len(raw) // 4 + 1
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        out = np.full(first[-1], end, dtype=np.uint32)
+        # a word's place: after those before it in its row
+        place = np.cumsum(length) - length
+        row = rows_of(words.first)
+        if len(row):
+            place = place - place[words.first[row]] + first[row]
+            step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+            out[np.repeat(place, length) + step] = self.ids[np.repeat(begin, length) + step]
+        for row, raw in apart.items():
+            out[first[row]:first[row + 1] - 1] = np.frombuffer(raw, dtype="<u4")
+        return out, first
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str, by_words: bool) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(path, by_words)
+
+
+def _write_rows(path: str, by_words: bool, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = Encoder(path, breaks), TaskContext.get().partitionId(), 0
-        last = np.array([end], dtype="<u4").tobytes()
+        encoder, part, before = _encoder(path, by_words), TaskContext.get().partitionId(), 0
         for batch in pieces(batches, "text"):
-            ids = [b + last for b in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
-            n = np.array([len(b) // 4 for b in ids], dtype=np.int64)
-            offsets = np.concatenate(([0], np.cumsum(n)))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.full(len(n), part), pa.int32()), pa.array(offsets[:-1] + before),
-                                              pa.array(n), lists], [c.split()[0] for c in COLUMNS.split(", ")])
-            before += int(offsets[-1])
+            ids, first = encoder.encode(batch.column("text"), end)
+            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.view(np.int32)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.full(batch.num_rows, part), pa.int32()), pa.array(first[:-1] + before),
+                 pa.array(np.diff(first)), lists], [c.split()[0] for c in COLUMNS.split(", ")])
+            before += int(first[-1])
     return run
 
 
-def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, breaks: str = "", end: int = END, file_bytes: int = FILE_BYTES,
+def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, by_words: bool = False, end: int = END, file_bytes: int = FILE_BYTES,
                  stripe_bytes: int = STRIPE_BYTES, index_rows: int = INDEX_ROWS) -> None:
     """Write the ids of every text of ``docs`` (doc_id, text) with ``end`` appended as ORC files below ``out``.
 
     Rows ascend by doc_id through the files in order of their names; null ids come first, rows of one id by a hash of
-    their text. A null text has the end id alone; repeated rows are written each; an empty table gives files without
+    their text. ``by_words``: see :class:`Encoder`. A null text has the end id alone; repeated rows are written each; an empty table gives files without
     rows. Other columns aren't read.
     """
     spark = docs.sparkSession
@@ -100,7 +170,7 @@ def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, breaks: str = "
     keyed = rows.select("doc_id", "text", order[1].alias("text_key"), order[2].alias("row"))
     files = max(-(-size // file_bytes), spark.sparkContext.defaultParallelism)
     spread = keyed.repartitionByRange(files, "doc_id", "text_key", "row").sortWithinPartitions("doc_id", "text_key", "row")
-    ids = spread.select("doc_id", "text").mapInArrow(_write_rows(tokenizer_path, breaks, end), COLUMNS)
+    ids = spread.select("doc_id", "text").mapInArrow(_write_rows(tokenizer_path, by_words, end), COLUMNS)
     writer = ids.write.mode("overwrite").option("compression", "zstd")
     for key, value in {"orc.stripe.size": stripe_bytes, "orc.row.index.stride": index_rows, "orc.bloom.filter.columns": "doc_id",
                        "orc.bloom.filter.fpp": 0.01, "orc.rows.between.memory.checks": 100}.items():
@@ -149,6 +219,5 @@ def op13_token_files(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = scratch_path(spark, "tokens")
-    # this vocabulary drops white space, and no match of its splitting or its special tokens holds any
-    write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"), breaks=" \n")
+    write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"), by_words=True)
     return token_places(spark, path)
