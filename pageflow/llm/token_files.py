@@ -11,7 +11,6 @@ number and the ids before it in its file, so that its place among all ids needs
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -23,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pageflow.llm.words import Words, pieces, rows_of, sum_by_row, words_of
+from pageflow.llm.words import LETTERS, LOWER, WORD, Words, buffer_of, pieces, rows_of, slices, sum_by_row, words_in
 from pageflow.session import scratch_path
 
 #: The end-of-document id.
@@ -33,22 +32,53 @@ STRIPE_BYTES = 16 << 20
 #: UTF-8 bytes of text per file.
 FILE_BYTES = 64 << 20
 #: Words that an encoder remembers; more, and it begins anew.
-REMEMBERED = 1_000_000
-#: How word tokenizers cut texts of ASCII and Latin-1 letters: contractions, words, single digits, other signs (fixed values).
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SPLIT = re.compile(rf"'(?:[sS]|[tT]|[rR][eE]|[vV][eE]|[mM]|[lL][lL]|[dD])|[{_LETTERS}]+|[0-9]|[^ \t-\r0-9{_LETTERS}]+")
-_PLAIN = re.compile(rf"[\x00-\x7F{_LETTERS}]*")
+REMEMBERED = 1_500_000
+_APOSTROPHE, _LATIN = 0x27, 0xC3
+_bytes = np.arange(256)
+_second = (_bytes >= 0x80) & (_bytes < 0xC0) & (_bytes != 0x97) & (_bytes != 0xB7)  # after _LATIN: a letter U+00C0 to U+00FF
+_SIGN, _LETTER, _DIGIT = 0, 1, 2
+_kind = np.full(256, _SIGN, dtype=np.uint8)
+_kind[LETTERS] = _LETTER
+_kind[0x30:0x3A] = _DIGIT
 COLUMNS = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 
 
+def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+    """The words of a byte buffer of texts, ``first`` by text, and which of them are plain.
+
+    Texts are cut at white space. A piece of ASCII and Latin-1 letters without an apostrophe is plain: it is cut further
+    into runs of letters, single digits and runs of other signs, and its ASCII letters are lowered.
+    """
+    plain, cut = np.zeros(len(data), dtype=bool), np.zeros(len(data) + 1, dtype=bool)
+    cut[offsets] = True
+    for a, b in slices(data, WORD):
+        part, inside = data[a:b], WORD[data[a:b]]
+        latin = np.zeros(b - a, dtype=bool)  # bytes of Latin-1 letters
+        latin[:-1] = (part[:-1] == _LATIN) & _second[part[1:]]
+        latin[1:] |= latin[:-1]
+        odd = np.flatnonzero(((part >= 0x80) & ~latin) | (part == _APOSTROPHE))
+        begins = cut[a:b].copy()
+        begins[0] = True
+        begins[1:] |= ~inside[:-1]
+        start = np.flatnonzero(begins)  # every piece begins at one of these, and ends before the next
+        good = np.ones(len(start), dtype=bool)
+        good[np.searchsorted(start, odd, "right") - 1] = False
+        here = np.repeat(good, np.diff(start, append=b - a)) & inside
+        plain[a:b] = here
+        kind = _kind[part]
+        cut[a + 1:b] |= here[1:] & here[:-1] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    words = words_in(np.where(plain, LOWER[data], data), np.flatnonzero(cut), WORD)
+    return words._replace(first=np.searchsorted(words.start, offsets)), plain[words.start]
+
+
 class Encoder:
     """A string column to the ids of its texts.
 
-    With ``by_words`` (for tokenizers that drop white space, split plain text as ``_SPLIT`` does and mark word ends by
-    ``</w>``) every distinct word is encoded once: texts are cut at white space, which no match, normalisation or special
-    token of such a tokenizer crosses, and words are found again by a 64-bit hash. A new plain word is cut as the
-    tokenizer would, and new parts are encoded as one text. Texts that hold a special token, and all texts without
-    ``by_words``, are encoded whole.
+    With ``by_words`` every distinct word of :func:`_cut` is encoded once and found again by a 64-bit hash. That is right
+    for tokenizers that normalise by NFC and lower case, drop white space, take runs of letters, single digits, runs of
+    other signs and English contractions as words, and mark word ends by ``</w>``: none of their steps crosses a cut.
+    Plain words are encoded together as one text. Texts that hold a special token, and all texts without ``by_words``,
+    are encoded whole.
     """
 
     def __init__(self, path: str, by_words: bool = False):
@@ -64,48 +94,40 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.parts: dict[str, bytes] = {}
         #: words by hash, in order, and where their ids are
         self.hashes, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _as_words(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts that are a word each to the tokenizer."""
-        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
-        raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-
-    def _learn(self, words: list[str]) -> list[bytes]:
-        plain = [w.isascii() or _PLAIN.fullmatch(w) is not None for w in words]
-        cut = [_SPLIT.findall(w) for w, p in zip(words, plain, strict=True) if p]
-        parts = list(set().union(*cut) - self.parts.keys())
-        self.parts.update(zip(parts, self._as_words(parts), strict=True))
-        known = self.parts
-        cuts, others = iter(cut), iter(self._whole([w for w, p in zip(words, plain, strict=True) if not p]))
-        return [b"".join([known[x] for x in next(cuts)]) if p else next(others) for p in plain]
-
-    def _places(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, number of ids of each word), plain words first."""
+        [ids] = self._whole([b" ".join(w for w, p in zip(words, plain, strict=True) if p).decode()])
+        others = self._whole([w.decode() for w, p in zip(words, plain, strict=True) if not p])
+        length = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        return np.concatenate((ids, *others)), np.concatenate((length, [len(x) for x in others])).astype(np.int64)
+
+    def _places(self, words: Words, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(begin, length) of every word's ids in ``self.ids``; new words are encoded."""
-        if max(len(self.hashes), len(self.parts), len(self.ids) // 4) > REMEMBERED:
+        if max(len(self.hashes), len(self.ids) // 8) > REMEMBERED:
             self._forget()
         hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
         at = np.searchsorted(self.hashes, hashes)
         new = np.ones(len(hashes), dtype=bool)
         inside = at < len(self.hashes)
         new[inside] = self.hashes[at[inside]] != hashes[inside]
-        if new.any():
-            raw = words.data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)]
-            ids = self._learn(texts)
-            length = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        new = np.flatnonzero(new)
+        if len(new):
+            simple, raw = plain[first[new]], words.data.tobytes()
+            texts = [raw[a:b] for a, b in zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)]
+            ids, length = self._learn(texts, simple)
             begin = len(self.ids) + np.cumsum(length) - length
-            self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(ids), dtype="<u4")))
+            place = np.empty(len(new), dtype=np.int64)
+            place[np.argsort(~simple, kind="stable")] = np.arange(len(new))
+            self.ids = np.concatenate((self.ids, ids))
             self.hashes, self.begin, self.length = (np.insert(known, at[new], more) for known, more in (
-                (self.hashes, hashes[new]), (self.begin, begin), (self.length, length)))
+                (self.hashes, hashes[new]), (self.begin, begin[place]), (self.length, length[place])))
             at = np.searchsorted(self.hashes, hashes)
         return self.begin[at][which], self.length[at][which]
 
@@ -115,12 +137,15 @@ class Encoder:
         whole = np.full(n, not self.by_words)
         for token in self.special if self.by_words else ():
             whole |= pc.fill_null(pc.match_substring(column, token), False).to_numpy(zero_copy_only=False)
-        apart = dict(zip(np.flatnonzero(whole).tolist(), self._whole([t or "" for t in column.filter(pa.array(whole)).to_pylist()]), strict=True))
-        words = words_of(column if not len(apart) else pc.if_else(pa.array(whole), pa.scalar("", column.type), column))
-        begin, length = self._places(words) if len(words.hash) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        texts = column.filter(pa.array(whole)).to_pylist()
+        apart = dict(zip(np.flatnonzero(whole).tolist(), self._whole([t or "" for t in texts]), strict=True))
+        if apart:
+            column = pc.if_else(pa.array(whole), pa.scalar("", column.type), column)
+        words, plain = _cut(*buffer_of(column))
+        begin, length = self._places(words, plain) if len(plain) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         sizes = sum_by_row(length, words.first) + 1
-        for row, raw in apart.items():
-            sizes[row] = len(raw) // 4 + 1
+        for row_, ids in apart.items():
+            sizes[row_] = len(ids) + 1
         first = np.concatenate(([0], np.cumsum(sizes)))
         out = np.full(first[-1], end, dtype=np.uint32)
         # a word's place: after those before it in its row
@@ -130,8 +155,8 @@ class Encoder:
             place = place - place[words.first[row]] + first[row]
             step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
             out[np.repeat(place, length) + step] = self.ids[np.repeat(begin, length) + step]
-        for row, raw in apart.items():
-            out[first[row]:first[row + 1] - 1] = np.frombuffer(raw, dtype="<u4")
+        for row_, ids in apart.items():
+            out[first[row_]:first[row_ + 1] - 1] = ids
         return out, first
 
 

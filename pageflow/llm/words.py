@@ -70,7 +70,8 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def _slices(data: np.ndarray, keep: np.ndarray):
+def slices(data: np.ndarray, keep: np.ndarray):
+    """Ranges of about ``SLICE`` bytes that end at word ends."""
     at, n = 0, len(data)
     while at < n:
         to = min(n, at + SLICE)
@@ -95,7 +96,7 @@ def words_in(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray = WORD, low
     values = _byte_values(lower)
     inverse = pow(_BASE, -1, 1 << 64)
     hashes, starts, ends = [], [], []
-    for a, b in _slices(data, keep):
+    for a, b in slices(data, keep):
         part = data[a:b]
         inside = keep[part]
         cut = np.zeros(b - a + 1, dtype=bool)  # a row begins here
