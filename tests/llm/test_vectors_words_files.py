@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -165,8 +166,13 @@ def test_component_out_of_range_is_refused(spark):
 
 # token files
 
+@lru_cache
+def tokenizer_of(path):
+    return Tokenizer.from_file(path)
+
+
 def ids_by_hand(path, text):
-    return [*Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids, token_files.END]
+    return [*tokenizer_of(path).encode(text or "", add_special_tokens=False).ids, token_files.END]
 
 
 def test_words_are_encoded_as_whole_texts_are():
