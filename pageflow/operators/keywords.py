@@ -41,21 +41,22 @@ def _sample_text(titles: Column) -> Column:
     return F.concat_ws(", ", F.sort_array(titles))
 
 
-def _gathered_bursts(tokens: DataFrame, window: str, threshold: int) -> DataFrame:
-    """Bursts of a batch; titles are counted first, and gathered only for groups over the threshold.
+def _titles_of(tokens: DataFrame, window: str) -> DataFrame:
+    """Occurrences per (domain, keyword, window, title): a hot keyword is counted by many tasks."""
+    per = tokens.groupBy("domain", "keyword", F.window("created_at", window).alias("w"), "page_title").agg(F.count(F.lit(1)).alias("n"))
+    return per.select("domain", "keyword", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "page_title", "n")
 
-    Counting per title splits a hot (site, keyword, window) over many tasks and bounds the rows of later steps.
+
+def bursts_of_titles(titles: DataFrame, threshold: int = 5) -> DataFrame:
+    """Bursts with their titles from rows (domain, keyword, window_start, window_end, page_title, n), one per distinct title.
+
+    A group under the threshold has fewer titles than it, so one aggregation gathers the titles of all groups.
     """
-    keys = ["domain", "keyword", "window_start", "window_end"]
-    per_title = (tokens.groupBy("domain", "keyword", F.window("created_at", window).alias("w"), "page_title")
-                 .agg(F.count(F.lit(1)).alias("n"))
-                 .select("domain", "keyword", F.col("w.start").alias("window_start"),
-                         F.col("w.end").alias("window_end"), "page_title", "n"))
-    over = per_title.groupBy(*keys).agg(F.sum("n").alias("occurrences")).filter(F.col("occurrences") >= threshold)
-    # both sides of the join read one shuffle of the per-title counts
-    titles = (per_title.join(over.select(*keys), keys, "left_semi").groupBy(*keys)
-              .agg(F.collect_list("page_title").alias("titles")))
-    return over.join(titles, keys)
+    groups = titles.groupBy("domain", "keyword", "window_start", "window_end").agg(
+        F.sum("n").alias("occurrences"), F.collect_list("page_title").alias("titles"))
+    return groups.filter(F.col("occurrences") >= threshold).select(
+        "domain", "keyword", "window_start", "window_end", F.col("occurrences").cast("int").alias("occurrences"),
+        _sample_text(F.col("titles")).alias("sample_pages"))
 
 
 def keyword_bursts(events: DataFrame, window: str = "10 minutes", threshold: int = 5,
@@ -63,16 +64,15 @@ def keyword_bursts(events: DataFrame, window: str = "10 minutes", threshold: int
                    min_len: int = MIN_KEYWORD_LENGTH) -> DataFrame:
     """Words seen at least ``threshold`` times in one window of one site.
 
-    ``sample_pages`` lists every distinct title (sorted, ", "-joined). A batch gathers titles only for
-    the groups over the threshold; a stream, which knows one aggregation, keeps each group's titles in its state.
+    ``sample_pages`` lists every distinct title (sorted, ", "-joined). A batch counts per title first; a stream, which
+    here knows one aggregation, keeps each group's titles in its state (``closed_titles`` keeps them apart).
     """
-    if events.isStreaming:
-        counts = keyword_counts(events, window, watermark, stop_words, min_len).filter(F.col("occurrences") >= threshold)
-    else:
-        counts = _gathered_bursts(title_tokens(events, stop_words, min_len), window, threshold)
+    if not events.isStreaming:
+        return bursts_of_titles(_titles_of(title_tokens(events, stop_words, min_len), window), threshold)
+    counts = keyword_counts(events, window, watermark, stop_words, min_len).filter(F.col("occurrences") >= threshold)
     return counts.select("domain", "keyword", "window_start", "window_end",
                          F.col("occurrences").cast("int").alias("occurrences"),
-                         F.concat_ws(", ", F.sort_array("titles")).alias("sample_pages"))
+                         _sample_text(F.col("titles")).alias("sample_pages"))
 
 
 def burst_alerts(bursts: DataFrame, alert_time: Column | str | None = None) -> DataFrame:

@@ -13,29 +13,31 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.operators import metrics, summaries
-from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, LANG_CTE, PAGE_EVENTS_CTE, SPAM_CTE, estimate_checked
-from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVITY, PAGES_BY_ID,
-                             PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
+from pageflow.operators import closed, metrics, summaries
+from pageflow.plans.catalog import BOT_CTE, BURSTS_CTE, LANG_CTE, ORACLE_SQL as BATCH_SQL, PAGE_EVENTS_CTE, SPAM_CTE, estimate_checked
+from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES,
+                             LANGUAGE_ACTIVITY, PAGES_BY_ID, PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.session import scratch_path
 from pageflow.sources.fixtures import input_state, page_events, stream_page_events
 from pageflow.sources.tables import read_latest
-from pageflow.streaming.runner import run_available_now
+from pageflow.streaming.runner import METRIC_WINDOW, WATERMARK, run_available_now
 
 _runs: dict[tuple, str] = {}
 _lock = threading.Lock()
 
 
-def stream_tables_root(spark: SparkSession, sf_dir: str) -> str:
-    """Run the streaming job once per (application, state of the input) and return its table root."""
-    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir))
+def stream_tables_root(spark: SparkSession, sf_dir: str, closed_windows: bool = False) -> str:
+    """Run the streaming job (or its queries of closed windows) once per (application, state of the input) and return its
+    table root."""
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), closed_windows)
     with _lock:
         if key not in _runs:
             base = scratch_path(spark, "stream")
             events = stream_page_events(spark, sf_dir)
             # state partitions are fixed when a query first starts
             run_available_now(events, f"{base}/tables", f"{base}/checkpoints",
-                              shuffle_partitions=2 * spark.sparkContext.defaultParallelism)
+                              shuffle_partitions=2 * spark.sparkContext.defaultParallelism,
+                              live=not closed_windows, closed_windows=closed_windows)
             _runs[key] = f"{base}/tables"
         return _runs[key]
 
@@ -70,6 +72,36 @@ def q_stream_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.drop("unique_authors").join(checked, ["domain", "window_start"])
 
 
+def _closed(*columns: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _ntz(read_latest(spark, CLOSED_ACTIVITY, stream_tables_root(spark, sf_dir, True)).select(*columns))
+    return run
+
+
+def q_stream_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored bursts of closed windows with their titles and spike ratio."""
+    root = stream_tables_root(spark, sf_dir, True)
+    return _ntz(closed.with_spike_ratio(read_latest(spark, CLOSED_BURSTS, root), read_latest(spark, KEYWORD_SPIKES, root)))
+
+
+def _authors(unit: str | None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Authors per site and stretch from the stored sketches, against the exact numbers of the events."""
+        found = _ntz(closed.authors_over(read_latest(spark, CLOSED_ACTIVITY, stream_tables_root(spark, sf_dir, True)), unit))
+        events = page_events(spark, sf_dir)
+        # the watermark at the end of the stream: windows that end later are open
+        last = events.agg(F.max("created_at").alias("t")).first()["t"]
+        minute = F.window("created_at", METRIC_WINDOW)["end"]
+        start = F.date_trunc(unit, "created_at").cast("timestamp_ntz") if unit else F.lit(None).cast("timestamp_ntz")
+        exact = (events.where(minute <= F.lit(last) - F.expr(f"interval {WATERMARK}"))
+                 .groupBy("domain", start.alias("start")).agg(F.count_distinct("user_id").alias("exact")))
+        near = F.abs(F.col("unique_authors") - F.col("exact")) <= 3 * closed.AUTHORS_ERROR * F.col("exact")
+        same = (found["domain"] == exact["domain"]) & found["start"].eqNullSafe(exact["start"])
+        return found.join(exact, same, "left").select(
+            found["domain"], found["start"].alias("start"), "pages_created", "windows", F.coalesce(near, F.lit(False)).alias("estimate_ok"))
+    return run
+
+
 QUERIES = {
     "overview_stored": q_overview_stored,
     "stream_raw": _table(RAW_PAGES),
@@ -79,8 +111,17 @@ QUERIES = {
     "stream_bots": _table(BOT_ACTIVITY),
     "stream_bursts": _table(BREAKING_NEWS_ALERTS, ("alert_time",)),
     "stream_spam": _table(SPAM_ALERTS, ("alert_time",)),
+    "stream_trend": _closed("domain", "window_start", "window_end", "pages_created", "previous_pages", "trend", "avg_title_length",
+                            "bot_pages", "human_pages", "bot_percent"),
+    "stream_top_actors": _closed("domain", "window_start", "window_end", "top_bots", "top_humans"),
+    "stream_spike": q_stream_spike,
+    "stored_authors_by_hour": _authors("hour"),
+    "stored_authors_by_domain": _authors(None),
 }
 
+#: Windows that the watermark has closed when the stream ends.
+CLOSED_CTE = f""",
+wm as (select max(created_at) - interval '{WATERMARK}' as closed from page_events)"""
 _RAW_COLS = ", ".join(RAW_PAGES.columns)
 ORACLE_SQL = {
     "overview_stored": PAGE_EVENTS_CTE + LANG_CTE + BURSTS_CTE + SPAM_CTE + """
@@ -97,4 +138,23 @@ select (select count(distinct domain) from lang) as tracked_domains,
     "stream_bots": PAGE_EVENTS_CTE + BOT_CTE + "\nselect * from bots",
     "stream_bursts": PAGE_EVENTS_CTE + BURSTS_CTE + "\nselect * exclude (alert_time) from alerts",
     "stream_spam": PAGE_EVENTS_CTE + SPAM_CTE + "\nselect * exclude (alert_time) from spam",
+    "stream_trend": f"""
+select t.domain, t.window_start, t.window_end, t.pages_created, previous_pages, t.trend, t.avg_title_length, bot_pages, human_pages, bot_percent
+from ({BATCH_SQL["trend"]}) t join ({BATCH_SQL["bot_activity"]}) b using (domain, window_start),
+     ({PAGE_EVENTS_CTE + CLOSED_CTE} select * from wm)
+where t.window_end <= closed""",
+    # the sketch has no order of activity: ties go by name alone
+    "stream_top_actors": f"""
+select t.* from ({BATCH_SQL["top_actors"].replace("last_ts desc, ", "")}) t, ({PAGE_EVENTS_CTE + CLOSED_CTE} select * from wm)
+where window_end <= closed""",
+    "stream_spike": f"""
+select b.*, spike_ratio from ({BATCH_SQL["keyword_bursts"]}) b join ({BATCH_SQL["spike_ratio"]}) s using (domain, keyword, window_start),
+     ({PAGE_EVENTS_CTE + CLOSED_CTE} select * from wm)
+where b.window_end <= closed""",
+    "stored_authors_by_hour": PAGE_EVENTS_CTE + LANG_CTE + CLOSED_CTE + """
+select domain, date_trunc('hour', window_start) as start, sum(pages_created)::bigint as pages_created, count(*) as windows, true as estimate_ok
+from lang, wm where window_end <= closed group by 1, 2""",
+    "stored_authors_by_domain": PAGE_EVENTS_CTE + LANG_CTE + CLOSED_CTE + """
+select domain, null::timestamp as start, sum(pages_created)::bigint as pages_created, count(*) as windows, true as estimate_ok
+from lang, wm where window_end <= closed group by 1""",
 }

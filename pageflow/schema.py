@@ -132,6 +132,28 @@ SPAM_ALERTS = TableSpec(
     (("created_at", True), ("page_id", False)),
 )
 
+# Closed windows: written once, in append mode, with the fields that need more than one window or a sketch.
+CLOSED_ACTIVITY = TableSpec(
+    "closed_activity",
+    ("domain", "window_start", "window_end", "pages_created", "unique_authors", "avg_title_length", "trend",
+     "previous_pages", "bot_pages", "human_pages", "bot_percent", "top_bots", "top_humans", "authors_sketch"),
+    ("domain", "window_start"),
+    (("window_start", True),),
+)
+CLOSED_BURSTS = TableSpec(
+    "closed_bursts",
+    ("domain", "keyword", "window_start", "window_end", "occurrences", "sample_pages"),
+    ("domain", "keyword", "window_start"),
+    (("window_start", True), ("keyword", False)),
+)
+KEYWORD_SPIKES = TableSpec(
+    "keyword_spikes",
+    ("domain", "keyword", "window_start", "window_end", "occurrences", "spike_ratio"),
+    ("domain", "keyword", "window_start"),
+    (("window_start", True), ("keyword", False)),
+)
+
 TABLES = {spec.name: spec for spec in (RAW_PAGES, PAGES_BY_USER, PAGES_BY_ID,
                                        LANGUAGE_ACTIVITY, BOT_ACTIVITY,
-                                       BREAKING_NEWS_ALERTS, SPAM_ALERTS)}
+                                       BREAKING_NEWS_ALERTS, SPAM_ALERTS,
+                                       CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES)}

@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--watermark", default="2 minutes")
     ap.add_argument("--burst-threshold", type=int, default=5)
     ap.add_argument("--dedup", action="store_true")
+    ap.add_argument("--closed-windows", action="store_true", help="also write each window once, when it is closed")
     args = ap.parse_args(argv)
 
     spark = get_session(app_name="pageflow-stream")
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
     trigger = {"availableNow": True} if args.available_now else {
         "processingTime": f"{args.trigger_seconds} seconds"}
     queries = start_all(events, args.tables, checkpoints, trigger, args.gen, args.watermark,
-                        args.burst_threshold, args.dedup)
+                        args.burst_threshold, args.dedup, closed_windows=args.closed_windows)
     if args.available_now:
         for q in queries:
             q.awaitTermination()

@@ -8,6 +8,8 @@ Three queries share one event stream:
               the language-activity and the bot-activity tables;
 * ``bursts``  the (site, keyword, 10-minute window) aggregate with threshold.
 
+On request three more write each window once, when it is closed (see :mod:`pageflow.operators.closed`).
+
 Every sink goes through :func:`upsert_batch`, keyed by (gen, batch_id), so a
 micro-batch re-run after a failure rewrites the same files. The watermark
 bounds state; rows later than the watermark are dropped by Spark.
@@ -22,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageflow.operators import keywords, metrics, spam
-from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, LANGUAGE_ACTIVITY, PAGES_BY_ID,
-                             PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
+from pageflow.operators import closed, keywords, metrics, spam
+from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES,
+                             LANGUAGE_ACTIVITY, PAGES_BY_ID, PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.sources.export import alerts_to_key_value
 from pageflow.sources.tables import upsert_batch
 
@@ -75,8 +77,9 @@ def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame, Column], Dat
 def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict | None = None,
               gen: int = 0, watermark: str = WATERMARK, burst_threshold: int = 5,
               dedup: bool = False, rocksdb_state: bool = True,
-              alert_messages: str | None = None, shuffle_partitions: int | None = None) -> list[StreamingQuery]:
-    """Start the three queries; returns them (``spark.streams.awaitAnyTermination()`` to block).
+              alert_messages: str | None = None, shuffle_partitions: int | None = None,
+              live: bool = True, closed_windows: bool = False) -> list[StreamingQuery]:
+    """Start the three queries (and those of closed windows); returns them (``spark.streams.awaitAnyTermination()`` to block).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, e.g.
     ``{"processingTime": "30 seconds"}`` in production, ``{"availableNow": True}``
@@ -95,6 +98,10 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     ``shuffle_partitions`` sets the state partitions, which a query's checkpoint then keeps; by default
     the session's. The settings hold for the queries started here, and the session gets its own back.
     A query that fails to start stops the ones started before it.
+
+    ``closed_windows`` starts three more queries, in append mode: a window's row is written once, when the watermark
+    closes it, with its trend, first names and authors sketch (``closed_activity``), its titles (``closed_bursts``) and
+    its spike ratio (``keyword_spikes``). ``live=False`` starts these alone.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
     spark = events.sparkSession
@@ -134,7 +141,11 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
 
     plans = [("raw", events, raw_specs, "append"),
              ("metrics", dm, metric_specs, "update"),
-             ("bursts", bursts, burst_specs, "update")]
+             ("bursts", bursts, burst_specs, "update")] if live else []
+    if closed_windows:
+        plans += [("closed", closed.closed_activity(events), [(CLOSED_ACTIVITY, lambda b, _: b)], "append"),
+                  ("titles", closed.closed_titles(events), [(CLOSED_BURSTS, lambda b, _: closed.closed_bursts(b, burst_threshold))], "append"),
+                  ("spikes", closed.closed_spikes(events, threshold=burst_threshold), [(KEYWORD_SPIKES, lambda b, _: b)], "append")]
     started = []
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
