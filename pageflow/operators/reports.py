@@ -78,8 +78,12 @@ def hourly_report(pages: DataFrame, domain: str | None = None, hours: int = 6,
     ``domain=None`` reports every site. A null is_bot counts as human here.
     ``top_authors`` is array<struct<name, pages, is_bot>> in rank order. Rows come by time and site.
     """
+    return _report_of(_author_hours(_report_rows(pages, domain, hours, as_of)), top_n)
+
+
+def _report_of(author_hours: DataFrame, top_n: int) -> DataFrame:
     # both parts start from the per-author aggregate: write it once, read it twice
-    base = materialize(_author_hours(_report_rows(pages, domain, hours, as_of)))
+    base = materialize(author_hours)
     hourly = base.groupBy("domain", "time_start").agg(
         F.sum("pages").alias("pages_created"),
         F.count_distinct("user_id").alias("unique_authors"),
@@ -103,6 +107,44 @@ def hourly_report(pages: DataFrame, domain: str | None = None, hours: int = 6,
             .orderBy("time_start", "domain"))
 
 
+def author_hours(pages: DataFrame) -> DataFrame:
+    """Partial aggregates per (site, hour, user, name) that the reports are answered from; those of any batches merge."""
+    return (pages.withColumn("_key", newest_key("created_at", "page_id"))
+            .groupBy("domain", hour_floor("created_at").alias("time_start"), "user_id", "user_name")
+            .agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("is_bot")).alias("bots"),
+                 F.min(F.col("created_at").cast("timestamp_ntz")).alias("first"), F.max(F.col("created_at").cast("timestamp_ntz")).alias("last"),
+                 F.max("_key").alias("newest"), F.max_by("is_bot", "_key").alias("newest_is_bot")))
+
+
+def hourly_report_from(rollup: DataFrame, domain: str | None = None, hours: int = 6, as_of: Column | str | None = None,
+                       top_n: int = 10) -> DataFrame:
+    """:func:`hourly_report` from stored :func:`author_hours`: no raw row is read.
+
+    Covers the hours that begin within the last ``hours`` hours before ``as_of``. With ``as_of`` on the hour these are the
+    rows of the direct report; an hour that isn't over counts as far as it is stored.
+    """
+    if not 1 <= hours <= 24:
+        raise ValueError("hours must be within 1..24")
+    end = _ts(as_of)
+    rows = rollup.filter((F.col("time_start") >= F.timestamp_add("HOUR", F.lit(-hours), end)) & (F.col("time_start") < end))
+    if domain is not None:
+        rows = rows.filter(F.col("domain") == domain)
+    return _report_of(rows.withColumn("name", F.coalesce(nonblank(F.col("user_name")), F.lit("unknown"))), top_n)
+
+
+def editor_patterns_from(rollup: DataFrame, min_pages: int = 5) -> DataFrame:
+    """:func:`editor_patterns` from stored :func:`author_hours`."""
+    if not 1 <= min_pages <= 100:
+        raise ValueError("min_pages must be within 1..100")
+    return _editors(rollup.groupBy("user_id").agg(
+        F.sum("pages").alias("pages_created"),
+        F.max_by("user_name", "newest").alias("_newest_name"),
+        F.max_by("newest_is_bot", "newest").alias("_newest_bot"),
+        F.sort_array(F.collect_set("domain")).alias("domains"),
+        F.sort_array(F.collect_set(F.hour("time_start"))).alias("active_hours_utc"),
+        F.min("first").alias("_first"), F.max("last").alias("_last")), min_pages)
+
+
 def editor_patterns(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     """Per user: pages, sites (count + sorted list), active UTC hours, mean gap, specialisation.
 
@@ -119,10 +161,13 @@ def editor_patterns(pages: DataFrame, min_pages: int = 5) -> DataFrame:
         F.max_by("is_bot", "_key").alias("_newest_bot"),
         F.sort_array(F.collect_set("domain")).alias("domains"),
         F.sort_array(F.collect_set(F.hour("created_at"))).alias("active_hours_utc"),
-        F.min("created_at").alias("_first"), F.max("created_at").alias("_last"),
-    ).filter(F.col("pages_created") >= min_pages)
+        F.min("created_at").alias("_first"), F.max("created_at").alias("_last"))
+    return _editors(g, min_pages)
+
+
+def _editors(per_user: DataFrame, min_pages: int) -> DataFrame:
     n = F.col("pages_created")
-    return g.select(
+    return per_user.filter(n >= min_pages).select(
         "user_id",
         F.col("_newest_name").alias("user_name"),
         F.col("_newest_bot").alias("is_bot"),

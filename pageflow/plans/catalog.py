@@ -506,3 +506,60 @@ select page_id % {COLLIDING_IDS} as page_id, * exclude (page_id)
 from page_events
 qualify row_number() over (partition by page_id % {COLLIDING_IDS}
     order by page_id % 2 = 0 and hour(created_at) < 6 desc, created_at desc, domain, page_title, user_id) = 1"""
+
+
+def _stored_lookup(spec_name: str, value: int):
+    def run(spark, sf):
+        """A lookup over a compacted, bucketed base and a newer batch that re-sends an hour."""
+        from pageflow.schema import TABLES
+        from pageflow.session import scratch_path
+        from pageflow.sources.tables import compact, read_key, upsert_batch
+
+        spec, root = TABLES[spec_name], scratch_path(spark, "stored-lookup")
+        pe = page_events(spark, sf)
+        upsert_batch(pe, spec, root, 0, 0)
+        compact(spark, spec, root)
+        upsert_batch(pe.filter(F.hour("created_at") == 3), spec, root, 0, 1)
+        return read_key(spark, spec, root, value)
+    return run
+
+
+def _rollup(spark, sf) -> DataFrame:
+    """The report rollup of three batches, one of them written again and two of them compacted."""
+    from pageflow.schema import AUTHOR_HOURS
+    from pageflow.session import scratch_path
+    from pageflow.sources.tables import compact, read_latest, upsert_batch
+
+    root, pe = scratch_path(spark, "rollup"), page_events(spark, sf)
+    for batch, third in enumerate((0, 1, 1, 2)):
+        upsert_batch(reports.author_hours(pe.filter(F.col("page_id") % 3 == third)), AUTHOR_HOURS, root, 0, third)
+        if batch == 2:
+            compact(spark, AUTHOR_HOURS, root)
+    return read_latest(spark, AUTHOR_HOURS, root)
+
+
+def q_rollup_hourly_report(spark, sf):
+    r = reports.hourly_report_from(_rollup(spark, sf), None, REPORT_HOURS, AS_OF)
+    top = F.concat_ws(";", F.transform("top_authors", lambda x: F.concat_ws(
+        ":", x["name"], x["pages"].cast("string"), x["is_bot"].cast("string"))))
+    return r.withColumn("top_authors", top)
+
+
+def q_rollup_editor_patterns(spark, sf):
+    r = reports.editor_patterns_from(_rollup(spark, sf), MIN_EDITOR_PAGES)
+    return (r.withColumn("domains", _join_array("domains"))
+            .withColumn("active_hours_utc", _join_array("active_hours_utc")))
+
+
+QUERIES |= {
+    "stored_page_by_id": _stored_lookup("pages_by_id", LOOKUP_PAGE),
+    "stored_pages_by_user": lambda s, sf: lookups.pages_by_user(_stored_lookup("pages_by_user", LOOKUP_USER)(s, sf), LOOKUP_USER),
+    "rollup_hourly_report": q_rollup_hourly_report,
+    "rollup_editor_patterns": q_rollup_editor_patterns,
+}
+ORACLE_SQL |= {
+    "stored_page_by_id": ORACLE_SQL["page_by_id"],
+    "stored_pages_by_user": ORACLE_SQL["pages_by_user"],
+    "rollup_hourly_report": ORACLE_SQL["hourly_report"],
+    "rollup_editor_patterns": ORACLE_SQL["editor_patterns"],
+}

@@ -71,8 +71,16 @@ class TableSpec:
     # columns, as (name, SQL expression), and the order of rows inside files
     partition: tuple[str, str] | None = None
     sort: tuple[str, ...] = ()
+    # columns with a Bloom filter per row group of the compacted base, for point lookups
+    bloom: tuple[str, ...] = ()
+    # an additive table: rows of a key are not replaced but merged, as (column, aggregate) pairs
+    merge: tuple[tuple[str, str], ...] = ()
 
 
+#: Directories of the tables that are looked up by a key: a lookup lists and reads one of them. About a thousandth
+#: of the files of the largest base is a good number; a base keeps the number it was written with.
+KEY_BUCKETS = 64
+
 # Raw rows are partitioned by day (a bounded number of directories, unlike a
 # partition per site or user) and sorted by (site, time) inside each file, so
 # a site lookup prunes days by directory and row groups by parquet min/max.
@@ -90,7 +98,9 @@ PAGES_BY_USER = TableSpec(
     ("user_id", "created_at", "page_id", "domain", "page_title", "user_name", "is_bot"),
     ("user_id", "created_at", "page_id"),
     (("created_at", True), ("page_id", False)),
+    partition=("bucket", f"pmod(user_id, {KEY_BUCKETS})"),
     sort=("user_id", "created_at"),
+    bloom=("user_id",),
 )
 PAGES_BY_ID = TableSpec(
     "pages_by_id",
@@ -98,7 +108,9 @@ PAGES_BY_ID = TableSpec(
      "title_length"),
     ("page_id",),
     (("created_at", True),),
+    partition=("bucket", f"pmod(page_id, {KEY_BUCKETS})"),
     sort=("page_id",),
+    bloom=("page_id",),
 )
 LANGUAGE_ACTIVITY = TableSpec(
     "language_activity",
@@ -153,7 +165,18 @@ KEYWORD_SPIKES = TableSpec(
     (("window_start", True), ("keyword", False)),
 )
 
+# Authors' hours, from which the reports are answered: every batch adds its partial sums, reads and compaction merge them.
+AUTHOR_HOURS = TableSpec(
+    "author_hours",
+    ("domain", "time_start", "user_id", "user_name", "pages", "bots", "first", "last", "newest", "newest_is_bot"),
+    ("domain", "time_start", "user_id", "user_name"),
+    partition=("date", "to_date(time_start)"),
+    sort=("domain", "time_start"),
+    merge=(("pages", "sum(pages)"), ("bots", "sum(bots)"), ("first", "min(first)"), ("last", "max(last)"),
+           ("newest_is_bot", "max_by(newest_is_bot, newest)"), ("newest", "max(newest)")),
+)
+
 TABLES = {spec.name: spec for spec in (RAW_PAGES, PAGES_BY_USER, PAGES_BY_ID,
                                        LANGUAGE_ACTIVITY, BOT_ACTIVITY,
                                        BREAKING_NEWS_ALERTS, SPAM_ALERTS,
-                                       CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES)}
+                                       CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES, AUTHOR_HOURS)}

@@ -13,7 +13,8 @@ at 0 and would otherwise overwrite older batches.
 
 Readers resolve the newest row per key: rows from higher (gen, batch_id) win;
 inside one batch the table's own order decides (newest first), then the full
-row, so the result is deterministic. ``compact`` writes the resolved state as a new base; readers
+row, so the result is deterministic. In an additive table (``spec.merge``) the rows of a key are partial
+aggregates of different batches and are merged instead. ``compact`` writes the resolved state as a new base; readers
 only ever pick bases and log batches whose writer finished (``_SUCCESS``).
 """
 
@@ -23,9 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageflow.operators.keyed import latest_per_key
-from pageflow.schema import TableSpec
+from pageflow.schema import KEY_BUCKETS, TableSpec
 
 _SUCCESS = "_SUCCESS"
+#: Bytes of a row group in tables with Bloom filters.
+LOOKUP_ROW_GROUP = 16 << 20
 
 
 def _fs(spark: SparkSession, path: str):
@@ -82,7 +85,7 @@ def _finished_batches(spark: SparkSession, log_dir: str) -> list[tuple[int, int]
 
 def _resolved(spark: SparkSession, spec: TableSpec, root: str,
               limit: tuple[int, int] | None = None, key_filter: Column | None = None,
-              partition_filter: Column | None = None
+              partition_filter: Column | None = None, partition_value: int | str | None = None
               ) -> tuple[DataFrame | None, tuple[int, int] | None]:
     """Newest row per key (only log entries up to ``limit`` when given), plus the last (gen, batch) it covers."""
     parts = []
@@ -91,7 +94,12 @@ def _resolved(spark: SparkSession, spec: TableSpec, root: str,
     if base is not None:
         path, bgen, bbatch = base
         upto = (bgen, bbatch)
-        rows = spark.read.parquet(path)
+        if partition_value is None or not spec.partition:
+            rows = spark.read.parquet(path)
+        elif path_exists(spark, one := f"{path}/{spec.partition[0]}={partition_value}"):
+            rows = spark.read.parquet(one)  # the other directories aren't even listed
+        else:
+            rows = spark.read.parquet(path).filter(F.lit(False))
         if partition_filter is not None and spec.partition:
             rows = rows.filter(partition_filter)
         if key_filter is not None:
@@ -117,6 +125,8 @@ def _resolved(spark: SparkSession, spec: TableSpec, root: str,
     rows = parts[0]
     for extra in parts[1:]:
         rows = rows.unionByName(extra)
+    if spec.merge:
+        return rows.groupBy(*spec.key).agg(*[F.expr(agg).alias(c) for c, agg in spec.merge]).select(*spec.columns), covered
     prior = [(c, desc) for c, desc in spec.order if c not in spec.key]
     order = [("gen", True), ("batch_id", True), *prior,
              *[(c, False) for c in spec.columns if c not in spec.key and c not in dict(prior)]]
@@ -140,6 +150,23 @@ def read_latest(spark: SparkSession, spec: TableSpec, root: str, key_filter: Col
     return resolved.select(*spec.columns)
 
 
+def read_key(spark: SparkSession, spec: TableSpec, root: str, value: int) -> DataFrame:
+    """The rows of a table whose first key column is ``value``; for tables partitioned by that column's buckets.
+
+    One directory of the base is listed and read; in it row groups are skipped by their statistics and Bloom filters.
+    Batches newer than the base are read with the same filter.
+    """
+    name, expr = spec.partition
+    key = spec.key[0]
+    if expr != f"pmod({key}, {KEY_BUCKETS})":
+        raise ValueError(f"table {spec.name} is not partitioned by buckets of {key}")
+    wanted = F.col(key) == F.lit(value).cast("long")
+    resolved, _ = _resolved(spark, spec, root, key_filter=wanted, partition_value=int(value) % KEY_BUCKETS)
+    if resolved is None:
+        raise FileNotFoundError(f"table {spec.name} has no data under {root}")
+    return resolved.select(*spec.columns)
+
+
 def compact(spark: SparkSession, spec: TableSpec, root: str, upto: tuple[int, int] | None = None,
             partition_by: list[str] | None = None) -> str | None:
     """Fold the log up to ``upto = (gen, batch_id)`` into a new base; returns its path.
@@ -175,5 +202,9 @@ def compact(spark: SparkSession, spec: TableSpec, root: str, upto: tuple[int, in
     writer = rows.write.mode("overwrite")
     if parts:
         writer = writer.partitionBy(*parts)
+    for column in spec.bloom:
+        # a dictionary would take the place of the Bloom filter; small row groups keep a lookup's read small
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.enable.dictionary#{column}", "false")
+                  .option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.block.size", str(LOOKUP_ROW_GROUP)))
     writer.parquet(path)
     return path

@@ -2,8 +2,9 @@
 
 Three queries share one event stream:
 
-* ``raw``     stateless: the three raw fan-out tables and the spam alerts, from
-              one persisted micro-batch (one read + parse for all four writes);
+* ``raw``     stateless: the three raw fan-out tables, the spam alerts and the
+              batch's part of the report rollup, from one persisted micro-batch
+              (one read + parse for all writes);
 * ``metrics`` one stateful (site, 1-minute window) aggregate that feeds both
               the language-activity and the bot-activity tables;
 * ``bursts``  the (site, keyword, 10-minute window) aggregate with threshold.
@@ -24,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageflow.operators import closed, keywords, metrics, spam
-from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES,
+from pageflow.operators import closed, keywords, metrics, reports, spam
+from pageflow.schema import (AUTHOR_HOURS, BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES,
                              LANGUAGE_ACTIVITY, PAGES_BY_ID, PAGES_BY_USER, RAW_PAGES, SPAM_ALERTS, TableSpec)
 from pageflow.sources.export import alerts_to_key_value
 from pageflow.sources.tables import upsert_batch
@@ -126,7 +127,8 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     raw_specs = [(RAW_PAGES, lambda b, _: b.select(*RAW_PAGES.columns)),
                  (PAGES_BY_USER, lambda b, _: b.select(*PAGES_BY_USER.columns)),
                  (PAGES_BY_ID, lambda b, _: b.select(*PAGES_BY_ID.columns)),
-                 (SPAM_ALERTS, spam_rows)]
+                 (SPAM_ALERTS, spam_rows),
+                 (AUTHOR_HOURS, lambda b, _: reports.author_hours(b))]
 
     dm = metrics.domain_minute(events, METRIC_WINDOW)
     metric_specs = [(LANGUAGE_ACTIVITY, lambda b, _: metrics.language_rows(b)), (BOT_ACTIVITY, lambda b, _: metrics.bot_rows(b))]

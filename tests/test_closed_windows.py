@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageflow.operators import closed, enrich, keywords, metrics
-from pageflow.schema import (BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES, LANGUAGE_ACTIVITY,
+from pageflow.schema import (AUTHOR_HOURS, BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES, LANGUAGE_ACTIVITY,
                              RAW_PAGES)
 from pageflow.session import scratch_path
 from pageflow.sources import tables
@@ -178,7 +178,7 @@ def test_late_rows_do_not_reopen_a_closed_window(spark):
 
 # recovery
 
-TABLES = (LANGUAGE_ACTIVITY, BOT_ACTIVITY, BREAKING_NEWS_ALERTS, RAW_PAGES, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES)
+TABLES = (LANGUAGE_ACTIVITY, BOT_ACTIVITY, BREAKING_NEWS_ALERTS, RAW_PAGES, AUTHOR_HOURS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES)
 
 
 def _contents(spark, root):
