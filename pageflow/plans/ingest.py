@@ -12,15 +12,19 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageflow.plans.catalog import AS_OF, PAGE_EVENTS_CTE
+from pageflow.plans.catalog import AS_OF, LANG_CTE, PAGE_EVENTS_CTE, SPAM_CTE
 from pageflow.session import scratch_path
-from pageflow.sources.events import parse_events, require_fields, to_key_value
+from pageflow.schema import LANGUAGE_ACTIVITY, RAW_PAGES
+from pageflow.sources.events import parse_events, read_event_stream, require_fields, to_key_value
 from pageflow.sources.fixtures import input_state, page_events
-from pageflow.sources.normalize import normalize_events, raw_event_json
-from pageflow.sources.sse import read_sse_dump, to_sse_frames
+from pageflow.sources.normalize import HASHED_ID_RANGE, normalize_events, raw_event_json
+from pageflow.sources.sse import read_sse_dump, read_sse_lines, to_sse_frames
+from pageflow.sources.tables import read_latest
+from pageflow.streaming.runner import run_available_now
 
 LAYOUTS = 4
 NOT_JSON_EVERY, NOT_OBJECT_EVERY, BAD_ID_EVERY, BAD_TIME_EVERY, CORRUPT_MODULUS = 7, 13, 19, 23, 50
+NO_ID_EVERY = 11  # every so many events have no page id
 
 _dumps: dict[tuple, str] = {}
 _lock = threading.Lock()
@@ -90,7 +94,77 @@ def q_sse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canonical(good)
 
 
+def q_sse_crlf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dump with CRLF line ends, read by lines in splits much smaller than its files."""
+    path = scratch_path(spark, "sse-crlf")
+    frames = spark.read.option("lineSep", "\n\n").text(sse_dump_path(spark, sf_dir)).where("value <> ''")
+    frames.select(F.replace("value", F.lit("\n"), F.lit("\r\n"))).write.option("lineSep", "\r\n\r\n").text(path)
+    good, _ = normalize_events(read_sse_lines(spark, path), ingest_time=AS_OF)
+    return _canonical(good)
+
+
+def q_events_without_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which some have no page id: stand-ins are stable, in range, and depend on site, title and time alone."""
+    pe = page_events(spark, sf_dir)
+    lost = F.pmod(F.col("page_id"), F.lit(NO_ID_EVERY)) == 0
+    some = pe.withColumn("page_id", F.when(~lost, F.col("page_id")))
+    raw = some.select(raw_event_json(some, F.lit(0)).alias("value"))
+    again = [normalize_events(raw.repartition(n), ingest_time=AS_OF)[0] for n in (3, 5)]
+    joined = again[0].groupBy("domain", "created_at", "page_title", "user_id", "page_id").agg(F.count("*").alias("n")).join(
+        again[1].select("domain", "created_at", "page_title", "user_id", "page_id").distinct(), ["domain", "created_at", "page_title", "user_id", "page_id"])
+    known = pe.select(F.col("page_id").alias("known"))
+    found = joined.join(known, F.col("page_id") == F.col("known"), "left")
+    in_range = F.col("page_id").between(0, HASHED_ID_RANGE - 1)
+    return found.groupBy("domain").agg(F.sum(F.when(F.col("known").isNotNull(), F.col("n"))).alias("with_id"),
+                                       F.sum(F.when(F.col("known").isNull() & in_range, F.col("n"))).alias("stand_ins"))
+
+
+def _message_stream(spark: SparkSession, sf_dir: str, twice: bool = False) -> str:
+    """The topic's messages as text files, ``twice`` with every message sent again; the path."""
+    path = scratch_path(spark, "messages")
+    messages = to_key_value(page_events(spark, sf_dir)).select("value")
+    (messages.unionByName(messages) if twice else messages).write.text(path)
+    return path
+
+
+def _streamed(spark: SparkSession, path: str, **kwargs) -> str:
+    """Table root after a run of the job over the messages of ``path``, read as the topic would be."""
+    base = scratch_path(spark, "message-stream")
+    events = require_fields(parse_events(read_event_stream(spark, "text", path=path)))
+    run_available_now(events, f"{base}/tables", f"{base}/cp", shuffle_partitions=2 * spark.sparkContext.defaultParallelism, **kwargs)
+    return base
+
+
+def q_message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read by ``read_event_stream``, parsed, and upserted into the raw table."""
+    base = _streamed(spark, _message_stream(spark, sf_dir))
+    return read_latest(spark, RAW_PAGES, f"{base}/tables").withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+def q_resent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message sent twice, with ``dedup``: the site's minutes count each event once."""
+    base = _streamed(spark, _message_stream(spark, sf_dir, twice=True), dedup=True)
+    rows = read_latest(spark, LANGUAGE_ACTIVITY, f"{base}/tables")
+    return rows.select("domain", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "pages_created")
+
+
+def q_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spam alerts that the job sends as key/value messages, parsed back."""
+    base = scratch_path(spark, "message-stream")
+    events = require_fields(parse_events(read_event_stream(spark, "text", path=_message_stream(spark, sf_dir))))
+    run_available_now(events, f"{base}/tables", f"{base}/cp", alert_messages=f"{base}/messages",
+                      shuffle_partitions=2 * spark.sparkContext.defaultParallelism)
+    sent = spark.read.schema("key string, value string").json(f"{base}/messages/spam-alerts/*/*")
+    alert = F.from_json("value", "domain string, severity string, user_id long, user_name string, reason string, page_title string, page_id long")
+    return sent.where(F.col("key") == alert["domain"]).select(alert.alias("a")).select("a.*")
+
+
 QUERIES = {
+    "sse_frames_crlf": q_sse_crlf,
+    "events_without_id": q_events_without_id,
+    "message_stream": q_message_stream,
+    "resent_events": q_resent_events,
+    "alert_messages": q_alert_messages,
     "normalize_events": q_normalize,
     "normalize_rejects": q_rejects,
     "event_key_values": q_key_values,
@@ -102,6 +176,15 @@ ORACLE_SQL = {
     "normalize_events": _ALL,
     "event_key_values": _ALL,
     "sse_frames": _ALL,
+    "sse_frames_crlf": _ALL,
+    "message_stream": PAGE_EVENTS_CTE + f"\nselect {', '.join(RAW_PAGES.columns)} from page_events",
+    "resent_events": PAGE_EVENTS_CTE + LANG_CTE + "\nselect domain, window_start, pages_created from lang",
+    "alert_messages": PAGE_EVENTS_CTE + SPAM_CTE + """
+select domain, severity, user_id, user_name, reason, page_title, page_id from spam""",
+    "events_without_id": PAGE_EVENTS_CTE + f"""
+select domain, sum((page_id % {NO_ID_EVERY} <> 0)::int)::bigint as with_id,
+       nullif(sum((page_id % {NO_ID_EVERY} = 0)::int), 0)::bigint as stand_ins
+from page_events group by domain""",
     "normalize_rejects": PAGE_EVENTS_CTE + f"""
 select case when page_id % {CORRUPT_MODULUS} = {NOT_JSON_EVERY} then 'not_json'
             when page_id % {CORRUPT_MODULUS} = {NOT_OBJECT_EVERY} then 'not_a_json_object'

@@ -101,7 +101,8 @@ def normalize_events(raw: DataFrame, value_col: str = "value",
               .when(F.get_json_object("_raw", "$").isNotNull(), F.lit(REASON_NOT_OBJECT))
               .otherwise(F.lit(REASON_NOT_JSON)))
     rejects = staged.select(F.col("_raw").alias("value"), reason.alias("reject_reason")).filter("reject_reason is not null")
-    good = staged.filter(reason.isNull()).select(*[c.alias(n) for n, c in cols.items()])
+    # columns and reason share their candidates: one projection computes them, and the filter stays above it
+    good = parse_once(staged, [*[c.alias(n) for n, c in cols.items()], reason.alias("_reject")]).filter("_reject is null")
     # events without any id get a stable stand-in in [0, 1e10)
     hashed = F.pmod(F.xxhash64(F.concat_ws(":", "domain", "page_title", "_time_text")),
                     F.lit(HASHED_ID_RANGE))

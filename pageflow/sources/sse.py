@@ -9,7 +9,7 @@ so every file is read in parallel splits and no frame is assembled on the driver
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FRAME_SEPARATOR = "\n\n"
@@ -34,8 +34,8 @@ def read_sse_dump(spark: SparkSession, path: str, streaming: bool = False,
                   max_files_per_trigger: int | None = None, separator: str = FRAME_SEPARATOR) -> DataFrame:
     """Captured SSE text files (batch or file stream) -> DataFrame[value: JSON text].
 
-    Files with CRLF line ends give the same rows; name ``separator="\\r\\n\\r\\n"`` for large ones, as the default
-    reads such a file as one record.
+    Files with CRLF line ends give the same rows, but the default reads such a file as one record: name
+    ``separator="\\r\\n\\r\\n"`` or read large ones by :func:`read_sse_lines`.
     """
     if streaming:
         reader = spark.readStream.option("lineSep", separator)
@@ -47,6 +47,30 @@ def read_sse_dump(spark: SparkSession, path: str, streaming: bool = False,
     return sse_values(frames)
 
 
+def read_sse_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Captured SSE text files of any line ends (LF, CRLF, CR, mixed) -> DataFrame[value: JSON text]; a batch only.
+
+    Files are read by lines in parallel splits of any size. A line's frame is the number of blank lines before it in its
+    file: those of its split are counted in the order of lines, those of earlier splits come from one count per split.
+    Frames are then put together by that number, wherever a split cuts them.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"), F.btrim("value", F.lit(" \t\r")).alias("text"))
+    blank = (F.col("text") == "").cast("long")
+    # a file may end without a line end or blank line: frames never go on in another file
+    per_split = lines.groupBy("file", "split").agg(F.sum(blank).alias("blanks"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    per_split = per_split.select("file", "split", F.coalesce(F.sum("blanks").over(earlier), F.lit(0)).alias("before"))
+    in_split = Window.partitionBy("file", "split").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = lines.withColumn("here", F.sum(blank).over(in_split)).where(F.col("text").startswith("data:"))
+    payload = F.trim(F.substring("text", 6, 1 << 30))
+    frames = (numbered.join(per_split, ["file", "split"])
+              .groupBy("file", (F.col("before") + F.col("here")).alias("frame"))
+              .agg(F.sort_array(F.collect_list(F.struct("split", "line", payload.alias("data")))).alias("parts")))
+    return frames.select(F.array_join(F.col("parts.data"), "\n").alias("value")).filter(F.col("value") != "")
+
+
 def to_sse_frames(values: DataFrame, value_col: str = "value", id_col: str | None = None) -> DataFrame:
     """JSON texts -> SSE frame text (the writer's newline closes each frame).
 
