@@ -52,9 +52,22 @@ def estimate_checked(estimated: DataFrame, exact: DataFrame) -> DataFrame:
             .select(*exact.columns, "estimate_ok"))
 
 
+def with_exact_authors(activity: DataFrame, events: DataFrame) -> DataFrame:
+    """The rows of ``activity`` with the exact number of authors in place of the estimate, and whether that was near."""
+    exact = events.groupBy("domain", F.window("created_at", "1 minute")["start"].alias("window_start")).agg(
+        F.count_distinct("user_id").cast("int").alias("unique_authors"))
+    return activity.drop("unique_authors").join(estimate_checked(activity, exact), ["domain", "window_start"])
+
+
 def _lang_estimate(spark, sf):
     events = page_events(spark, sf)
-    return estimate_checked(metrics.language_activity(events), metrics.language_activity(events, exact=True))
+    return with_exact_authors(metrics.language_activity(events), events)
+
+
+def _top_burst_keywords(spark, sf):
+    """By counts alone: titles are neither kept apart nor gathered."""
+    counts = keywords.keyword_counts(page_events(spark, sf), titles=False).filter(F.col("occurrences") >= BURST_THRESHOLD)
+    return summaries.top_keywords(counts.withColumnRenamed("occurrences", "pages_count"))
 
 
 def _bots(spark, sf):
@@ -131,7 +144,7 @@ QUERIES: dict[str, Query] = {
     "bot_share_by_domain": lambda s, sf: summaries.top_domains_by(
         _bots(s, sf), "bot_percent", "avg", digits=6),
     "bot_human_by_domain": lambda s, sf: summaries.bot_human_by_domain(_bots(s, sf)),
-    "top_burst_keywords": lambda s, sf: summaries.top_keywords(_burst_alerts(s, sf)),
+    "top_burst_keywords": _top_burst_keywords,
     "overview": lambda s, sf: summaries.overview_from_events(
         page_events(s, sf), burst_threshold=BURST_THRESHOLD),
     # keyed tables

@@ -75,11 +75,11 @@ def _latest_base(spark: SparkSession, spec: TableSpec, root: str) -> tuple[str,
 
 def _finished_batches(spark: SparkSession, log_dir: str) -> list[tuple[int, int]]:
     """(gen, batch) of every log directory whose writer finished, in order; unfinished ones stay unseen."""
+    fs, p = _fs(spark, f"{log_dir}/gen=*/batch_id=*/{_SUCCESS}")
     found = []
-    for gen in _children(spark, log_dir):
-        for batch in _children(spark, f"{log_dir}/{gen}"):
-            if gen.startswith("gen=") and batch.startswith("batch_id=") and path_exists(spark, f"{log_dir}/{gen}/{batch}/{_SUCCESS}"):
-                found.append((int(gen[len("gen="):]), int(batch[len("batch_id="):])))
+    for status in fs.globStatus(p) or []:  # one listing, however many batches
+        batch = status.getPath().getParent()
+        found.append((int(batch.getParent().getName()[len("gen="):]), int(batch.getName()[len("batch_id="):])))
     return sorted(found)
 
 
