@@ -100,19 +100,20 @@ def _known(doc: np.ndarray, *key: np.ndarray) -> np.ndarray:
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 1 << 23):
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        ids, keys = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "row"))
         row, anchor, content, low, high = blocks(words_of(batch.column("text")))
-        doc = ids[row]
+        doc, key = ids[row], keys[row]
         known = _known(doc, content, anchor)
-        fdoc, flow, fhigh = _merged(doc[known], low[known], high[known])
+        fkey, flow, fhigh = _merged(key[known], low[known], high[known])
         rest = ~known
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate((anchor[rest], mix(fdoc.view(np.uint64)).view(np.int64)))),
-            pa.array(np.concatenate((content[rest], fdoc))),
-            pa.array(np.concatenate((doc[rest], fdoc))),
+            pa.array(np.concatenate((anchor[rest], mix(fkey.view(np.uint64)).view(np.int64)))),
+            pa.array(np.concatenate((content[rest], fkey))),
+            pa.array(np.concatenate((doc[rest], fkey))),
+            pa.array(np.concatenate((key[rest], fkey))),
             pa.array(np.concatenate((_pack(low[rest], high[rest]), _pack(flow, fhigh)))),
-            pa.array(np.concatenate((np.full(rest.sum(), BLOCK, np.int8), np.full(len(fdoc), FACTOR, np.int8))))],
-            ["anchor", "content", "id", "span", "kind"])
+            pa.array(np.concatenate((np.full(rest.sum(), BLOCK, np.int8), np.full(len(fkey), FACTOR, np.int8))))],
+            ["anchor", "content", "id", "row", "span", "kind"])
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,15 +122,15 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The first document of a content keeps it; the others have a factor there. An anchor with several contents is an
     edge, told once with the anchor in place of the span. Between batches only one row of the last anchor is held.
     """
-    held = [np.zeros(0, np.int64)] * 4
+    held = [np.zeros(0, np.int64)] * 5
     several = False  # the held rows are of an anchor known to have several contents, and have been told
     for batch in batches:
         kind = batch.column("kind").to_numpy(zero_copy_only=False)
-        own = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("anchor", "content", "id", "span")]
+        own = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("anchor", "content", "id", "row", "span")]
         done = kind == FACTOR
-        out = [(own[2][done], own[3][done], FACTOR)]
+        out = [(own[3][done], own[4][done], FACTOR)]
         n_held = len(held[0])
-        anchor, content, doc, span = (np.concatenate((h, x[~done])) for h, x in zip(held, own, strict=True))
+        anchor, content, doc, key, span = (np.concatenate((h, x[~done])) for h, x in zip(held, own, strict=True))
         n = len(anchor)
         if n:
             new_anchor = np.ones(n, dtype=bool)
@@ -144,34 +145,35 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             told[0] = several and n_held > 0
             many |= told
             later = doc > least
-            out.append((doc[later], span[later], FACTOR))
+            out.append((key[later], span[later], FACTOR))
             edge = anchor[np.flatnonzero(new_anchor)][many & ~told]
             out.append((edge, edge, EDGE))
             several = bool(many[-1])
-            held = [x[start[-1]:start[-1] + 1] for x in (anchor, content, doc, span)]  # the first document of the last content
+            held = [x[start[-1]:start[-1] + 1] for x in (anchor, content, doc, key, span)]  # the first document of the last content
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([x[0] for x in out])), pa.array(np.concatenate([x[1] for x in out])),
-            pa.array(np.concatenate([np.full(len(x[0]), x[2], np.int8) for x in out]))], ["id", "span", "kind"])
+            pa.array(np.concatenate([np.full(len(x[0]), x[2], np.int8) for x in out]))], ["row", "span", "kind"])
 
 
 def _edge_windows(bitmap):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(window hash, id, window) for the windows of blocks with an edge anchor, once per document."""
+        """(window hash, id, row, window) for the windows of blocks with an edge anchor, once per document."""
         marked = bitmap.value
         for batch in pieces(batches, "text"):
-            ids, words = batch.column("id").to_numpy(zero_copy_only=False), words_of(batch.column("text"))
+            ids, keys = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "row"))
+            words = words_of(batch.column("text"))
             hashes, first = windows(words, WINDOW)
             row, anchor, _, low, high = blocks(words)
             bit = anchor.view(np.uint64) % np.uint64(EDGE_BITS)
             some = (marked[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
             row, low, n = row[some], low[some], (high - low + 1)[some]
             row, at = np.repeat(row, n), np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            window, doc = hashes[first[row] + at].view(np.int64), ids[row]
+            window, doc, key = hashes[first[row] + at].view(np.int64), ids[row], keys[row]
             known = _known(doc, window)
-            window[known] = mix(doc[known].view(np.uint64)).view(np.int64)  # needs no look-up: goes anywhere
+            window[known] = mix(key[known].view(np.uint64)).view(np.int64)  # needs no look-up: goes anywhere
             yield pa.RecordBatch.from_arrays(
-                [pa.array(window), pa.array(doc), pa.array(_pack(at, at)), pa.array(np.where(known, FACTOR, BLOCK).astype(np.int8))],
-                ["window", "id", "span", "kind"])
+                [pa.array(window), pa.array(doc), pa.array(key), pa.array(_pack(at, at)), pa.array(np.where(known, FACTOR, BLOCK).astype(np.int8))],
+                ["window", "id", "row", "span", "kind"])
     return emit
 
 
@@ -187,10 +189,10 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     window_, least = None, None
     for batch in batches:
         done = batch.column("kind").to_numpy(zero_copy_only=False) == FACTOR
-        every = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("window", "id", "span")]
+        every = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("window", "id", "row", "span")]
         if done.any():
-            yield pa.RecordBatch.from_arrays([pa.array(every[1][done]), pa.array(every[2][done])], ["id", "span"])
-        window, doc, span = (x[~done] for x in every)
+            yield pa.RecordBatch.from_arrays([pa.array(every[2][done]), pa.array(every[3][done])], ["row", "span"])
+        window, doc, key, span = (x[~done] for x in every)
         if not len(window):
             continue
         new = np.ones(len(window), dtype=bool)
@@ -201,7 +203,7 @@ def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = start[np.cumsum(new) - 1]
         window_, least = window[-1], low[-1]
         later = doc > low
-        yield pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(span[later])], ["id", "span"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[later]), pa.array(span[later])], ["row", "span"])
 
 
 def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,31 +212,31 @@ def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, low, high = _merged(row, low, high)
         first = np.searchsorted(row, np.arange(batch.num_rows + 1))
         lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(_pack(low, high), pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), lists], ["id", "spans"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), lists], ["row", "spans"])
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     """Join documents with their span lists; broadcast only if the counted spans are few."""
     n = spans.agg(F.sum(F.size("spans") + 2)).first()[0] or 0
-    return docs.join(F.broadcast(spans) if n <= BROADCAST_SPANS else spans, "id", how)
+    return docs.join(F.broadcast(spans) if n <= BROADCAST_SPANS else spans, "row", how)
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
-    """(id, spans): for rows (id, text), the spans of window starts whose 13 words a smaller id holds too."""
-    found = staged(rows.mapInArrow(_block_rows, "anchor long, content long, id long, span long, kind byte")
+    """(row, spans): for rows (id, row, text), the spans of window starts whose 13 words a smaller id holds too."""
+    found = staged(rows.mapInArrow(_block_rows, "anchor long, content long, id long, row long, span long, kind byte")
                    .repartition("anchor").sortWithinPartitions("anchor", "content", "id")
-                   .mapInArrow(_look_up, "id long, span long, kind byte"))
+                   .mapInArrow(_look_up, "row long, span long, kind byte"))
     # edge anchors as a bitmap of fixed size, put together by Spark
     bit = F.pmod(F.col("span"), F.lit(EDGE_BITS))
     edge = found.where(f"kind = {EDGE}").select(F.floor(bit / 32768).cast("int").alias("bucket"), (bit % 32768).cast("long").alias("bit"))
     bitmap = np.zeros(EDGE_BITS // 8, np.uint8)
     for r in edge.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # at most EDGE_BITS / 32768 rows of 4 KB
         bitmap[r.bucket * 4096:(r.bucket + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
-    checked = (rows.mapInArrow(_edge_windows(rows.sparkSession.sparkContext.broadcast(bitmap)), "window long, id long, span long, kind byte")
-               .repartition("window").sortWithinPartitions("window", "id").mapInArrow(_matched, "id long, span long"))
-    every = found.where(f"kind = {FACTOR}").select("id", "span").unionByName(checked)
-    every = every.groupBy("id").agg(F.collect_list("span").alias("spans"))  # one document's own
-    return staged(every.mapInArrow(_merge_lists, "id long, spans array<long>"))
+    checked = (rows.mapInArrow(_edge_windows(rows.sparkSession.sparkContext.broadcast(bitmap)), "window long, id long, row long, span long, kind byte")
+               .repartition("window").sortWithinPartitions("window", "id").mapInArrow(_matched, "row long, span long"))
+    every = found.where(f"kind = {FACTOR}").select("row", "span").unionByName(checked)
+    every = every.groupBy("row").agg(F.collect_list("span").alias("spans"))  # one document's own
+    return staged(every.mapInArrow(_merge_lists, "row long, spans array<long>"))
 
 
 def _kept(with_text: bool):
@@ -268,12 +270,13 @@ def drop_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) for every row of ``docs``.
 
     A word goes if one of the 13-word windows over it also starts in a document with a smaller doc_id. A null or
-    empty text has no words; a null doc_id counts as larger than all others. Repeated rows each get a row; rows that
-    share a doc_id are one document, whose spans apply to each. An empty table gives no row; other columns are not read.
+    empty text has no words; a null doc_id counts as larger than all others. Rows that share a doc_id, or have none, lose
+    what smaller ids hold, each by its own text, and nothing to one another. Repeated rows each get a row. An empty table gives no row; other columns are not read.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    spans = repeated_spans(rows.select("id", "text"))
+    # an id may be shared or null: spans belong to the row, which its id and text tell
+    id_, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.col("text").cast("string")
+    rows = docs.select(id_.alias("id"), F.xxhash64(id_, text).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    spans = repeated_spans(rows.select("id", "row", "text"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return _with_spans(rows, spans, "left").select("doc_id", "text", "spans").mapInArrow(_kept(with_text), schema)
 
