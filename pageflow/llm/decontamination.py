@@ -65,12 +65,21 @@ def slots(text: Column, words: Column) -> Column:
     return F.concat(*kinds)
 
 
-def _window_hashes(words: Column, size: int) -> Column:
-    """Hash of every window of ``size`` words; null for one of mostly placeholders."""
-    def one(i: Column) -> Column:
-        return F.xxhash64(F.slice(words, i, size))
-    n = F.size(words) - (size - 1)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), one)).otherwise(F.array().cast("array<bigint>"))
+def _windows(words: Column, spans: list[int]) -> Column:
+    """array<struct(span, pos, hash)>: every window of the lengths ``spans``, so that one pass serves them all."""
+    def of(span: int) -> Column:
+        n = F.size(words) - (span - 1)
+        each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.struct(
+            F.lit(span).alias("span"), (i - 1).alias("pos"), F.xxhash64(F.slice(words, i, span)).alias("hash")))
+        return F.when(n > 0, each).otherwise(F.array().cast("array<struct<span:int,pos:int,hash:bigint>>"))
+    return F.concat(*[of(span) for span in spans])
+
+
+def _hits(words: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """Windows of rows (doc_id, text_key, words) that are ``wanted``, with pos."""
+    spans = sorted(r.span for r in wanted.select("span").distinct().collect())  # at most ``window`` values
+    each = words.select("doc_id", "text_key", F.explode(_windows(F.col("words"), spans or [window])).alias("x")).select("doc_id", "text_key", "x.*")
+    return join_narrow(each, wanted, ["span", "hash"], "inner").drop("span")
 
 
 def _item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -93,27 +102,15 @@ def raw_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{Nd}_]+"), "")
 
 
-def _dropped(items: DataFrame, window: int) -> DataFrame:
-    """Items of which ``_item_windows`` leaves a window out, or all."""
-    size = F.least(F.size("words"), F.lit(window))
-    marks = F.transform(F.sequence(F.lit(1), F.size("words") - size + 1),
-                        lambda i: F.size(F.filter(F.slice("words", i, size), lambda w: w.isin(*PLACEHOLDERS))))
-    return items.where(F.size("words") > 0).where((F.size("words") < MIN_WORDS) | F.exists(marks, lambda n: n > MAX_PLACEHOLDERS))
-
-
 def _exact(docs: DataFrame, items: DataFrame, window: int, min_share: float) -> DataFrame:
-    """(doc_id, text_key, item_id, item_key, n_windows, n_found) by windows of raw words, for ``_dropped`` items."""
-    raw = _dropped(items, window).select("item_id", "item_key", raw_words(F.col("text")).alias("words"))
+    """(doc_id, text_key, item_id, item_key, n_windows, n_found) by windows of raw words."""
+    raw = items.select("item_id", "item_key", raw_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     raw = raw.withColumn("span", F.least(F.size("words"), F.lit(window)))
     wanted = staged(raw.select("item_id", "item_key", "span", F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.size("words") - F.col("span") + 1), lambda i: F.xxhash64(F.slice("words", i, F.col("span")))))).alias("hash"))
         .withColumn("n_windows", F.count("*").over(Window.partitionBy("item_key"))))
     words = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("text_key"), raw_words(F.col("text")).alias("words"))
-    found = None
-    for span in sorted(r.span for r in wanted.select("span").distinct().collect()) or [window]:  # at most ``window`` values
-        hashes = words.select("doc_id", "text_key", F.explode(_window_hashes(F.col("words"), span)).alias("hash"))
-        hit = join_narrow(hashes, wanted.where(F.col("span") == span).drop("span"), "hash", "inner").distinct()
-        found = hit if found is None else found.unionByName(hit)
+    found = _hits(words, wanted, window).drop("pos").distinct()
     pairs = found.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows").agg(F.count("*").alias("n_found"))
     return pairs.where(F.col("n_found") >= F.ceil(min_share * F.col("n_windows")))
 
@@ -122,22 +119,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share
     """(doc_id, text_key, item_id, n_found, n_windows, n_slots, same_values) for every leaked item.
 
     Equal texts of an item or of one doc_id count once. ``same_values`` is false where the values differ, a
-    re-parameterised item. An item with windows of more than ``MAX_PLACEHOLDERS`` placeholders, or of fewer than
-    ``MIN_WORDS`` template words, is also looked for by windows of its raw words, values included. Null or empty texts match
-    nothing; a null doc_id or item_id is kept as null; an empty table gives no row; other columns are not read.
+    re-parameterised item. Every item is also looked for by windows of its raw words, values included: a template can't
+    tell names in a copy of another case, has no windows of more than ``MAX_PLACEHOLDERS`` placeholders, and is too
+    unspecific below ``MIN_WORDS`` words. Null or empty texts match nothing; a null doc_id or item_id is kept as null; an empty table gives no row; other columns are not read.
     """
     items = as_columns(benchmark, "item_id", "text").where("text is not null").dropDuplicates(["item_id", "text"])
     items = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text", template(F.col("text")).alias("words"))
     wanted = staged(_item_windows(items, window))
-    spans = sorted(r.span for r in wanted.select("span").distinct().collect())  # at most ``window`` values
     docs = as_columns(docs, "doc_id", "text").where("text is not null")
     key = F.xxhash64("doc_id", "text").alias("text_key")
-    words = docs.select("doc_id", key, template(F.col("text")).alias("words"))
-    found = None
-    for span in spans or [window]:
-        hashes = words.select("doc_id", "text_key", F.posexplode(_window_hashes(F.col("words"), span)).alias("pos", "hash"))
-        hit = join_narrow(hashes, wanted.where(F.col("span") == span).drop("span"), "hash", "inner")
-        found = hit if found is None else found.unionByName(hit)
+    found = _hits(docs.select("doc_id", key, template(F.col("text")).alias("words")), wanted, window)
     # per document and item: distinct windows found, and the alignment that has most of them
     lines = found.groupBy("doc_id", "text_key", "item_id", "item_key", "n_windows", (F.col("pos") - F.col("at")).alias("shift")).agg(
         F.collect_set("at").alias("ats"))

@@ -92,7 +92,8 @@ def test_defined_results_of_awkward_rows(messy, labels, benchmark):
 def test_sql(spark, name):
     out = queries.QUERIES[name](spark, SF)
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
     assert sorted(columns) == sorted(out.columns)
@@ -290,3 +291,37 @@ def test_learned_models_on_held_out_rows(spark):
     mit = [r for r in found if "Released under the MIT License." in r.text.split("\n")]
     assert mit and all("mit" in r.families for r in mit)
     assert np.mean([r.licence == "none" for r in found if "icense" not in r.text and "rights" not in r.text]) >= 0.98
+
+
+def test_rows_of_one_id_lose_only_what_smaller_ids_hold(spark):
+    a, b, c, d, e = (prose(20 + i, 60) for i in range(5))
+    docs = [(1, a), (None, f"{a} {b}"), (None, f"{c} {d}"), (7, e), (7, a), (8, b)]
+    rows = substrings.drop_repeats(spark.createDataFrame(docs, "doc_id long, text string"), with_text=True).collect()
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed, r.kept_text) for r in rows)
+    assert got == sorted([(1, 60, 0, a), (0, 120, 120, ""), (0, 120, 0, f"{c} {d}"), (7, 60, 0, e), (7, 60, 60, ""), (8, 60, 0, b)])
+
+
+def test_mix_uses_equal_rows_as_planned(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", "en")] * 4 + [(2, "d e f g", "y", "en"), (2, "d e f g", "y", "de"), (None, None, "x", None)] * 2,
+                                 "doc_id long, text string, source string, lang string")
+    planned = mixing.mix_plan(docs).groupBy("doc_id", "source").agg(F.sum("uses").alias("n")).collect()
+    mixed = mixing.mix(docs)
+    got = Counter((r.doc_id, r.source) for r in mixed.collect())
+    assert got == Counter({(r.doc_id, r.source): r.n for r in planned if r.n})
+    assert mixed.columns == docs.columns
+
+
+@pytest.mark.parametrize("change", [str.lower, str.upper, str.title])
+def test_items_are_found_in_any_case(spark, change):
+    item = "Alice has 5 apples. Bob has 7 more than Alice. Carol has twice as many. How many do they have together?"
+    noun = "Der Hund und die Katze gehen mit dem Kind in den Garten und spielen dort am Abend mit einem Ball."
+    docs = spark.createDataFrame([(1, f"{prose(31, 80)} {change(item)} {prose(32, 80)}"), (2, noun), (3, prose(33, 200))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "What is 3 + 4?")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()] == [(1, 1)]
+
+
+def test_items_of_many_lengths_are_found_in_one_pass(spark):
+    items = [(i, " ".join(prose(40 + i, i).split())) for i in range(1, 14)]
+    docs = [(i, f"{prose(60 + i, 40)} {t} {prose(80 + i, 40)}") for i, t in items]
+    found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect() if r.doc_id == r.item_id} == {(i, i) for i, _ in items}
