@@ -65,20 +65,22 @@ def slots(text: Column, words: Column) -> Column:
     return F.concat(*kinds)
 
 
-def _windows(words: Column, spans: list[int]) -> Column:
-    """array<struct(span, pos, hash)>: every window of the lengths ``spans``, so that one pass serves them all."""
-    def of(span: int) -> Column:
-        n = F.size(words) - (span - 1)
-        each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.struct(
-            F.lit(span).alias("span"), (i - 1).alias("pos"), F.xxhash64(F.slice(words, i, span)).alias("hash")))
-        return F.when(n > 0, each).otherwise(F.array().cast("array<struct<span:int,pos:int,hash:bigint>>"))
-    return F.concat(*[of(span) for span in spans])
+def _window_hashes(words: Column, span: int) -> Column:
+    """Hash of every window of ``span`` words."""
+    n = F.size(words) - (span - 1)
+    each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, span)))
+    return F.when(n > 0, each).otherwise(F.array().cast("array<bigint>"))
 
 
 def _hits(words: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Windows of rows (doc_id, text_key, words) that are ``wanted``, with pos."""
-    spans = sorted(r.span for r in wanted.select("span").distinct().collect())  # at most ``window`` values
-    each = words.select("doc_id", "text_key", F.explode(_windows(F.col("words"), spans or [window])).alias("x")).select("doc_id", "text_key", "x.*")
+    """Windows of rows (doc_id, text_key, words) that are ``wanted``, with pos; one pass serves windows of all lengths."""
+    spans = sorted(r.span for r in wanted.select("span").distinct().collect()) or [window]  # at most ``window`` values
+    if len(spans) == 1:  # every item has at least a window's length
+        each = words.select("doc_id", "text_key", F.lit(spans[0]).alias("span"), F.posexplode(_window_hashes(F.col("words"), spans[0])).alias("pos", "hash"))
+    else:
+        lists = F.array(*[F.struct(F.lit(span).alias("span"), _window_hashes(F.col("words"), span).alias("hashes")) for span in spans])
+        each = words.select("doc_id", "text_key", F.explode(lists).alias("x"))
+        each = each.select("doc_id", "text_key", "x.span", F.posexplode("x.hashes").alias("pos", "hash"))
     return join_narrow(each, wanted, ["span", "hash"], "inner").drop("span")
 
 
