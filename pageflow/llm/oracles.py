@@ -32,7 +32,7 @@ normal as (select *, array_to_string(regexp_extract_all(regexp_replace({_LOWER.f
                                                         '[0a-z\x{{80}}-\x{{10FFFF}}]+'), ' ') k from lines),
 docs_of as (select host, count(distinct (no_text, t)) n from d group by host),
 counts as (select host, k, count(distinct t) c from normal where k <> '' group by host, k),
-bad as (select host, k from counts join docs_of using (host) where c >= {quality.MIN_DOCS} and c > {quality.MAX_SHARE} * n),
+bad as (select host, k from counts join docs_of using (host) where c >= {quality.MIN_DOCS} and c > {quality.MAX_SHARE} * n or c > {quality.MAX_DOCS}),
 gone as (select rid, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) n from normal join bad using (host, k) group by rid),
 f as (select doc_id, len(w)::bigint n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint word_chars,
         len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint n_symbols,

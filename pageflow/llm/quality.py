@@ -1,7 +1,8 @@
 r"""Quality rules by cross-document line frequency.
 
-Lines are normalised and hashed, the distinct documents of a host that hold a line are counted, lines above the
-limits are removed, and a document that loses most of its words is rejected. The source column is the host. Equal
+Lines are normalised and hashed, the distinct documents of a host that hold a line are counted, lines above a
+limit (a share of the host's documents, or a count whatever the host's size) are removed, and a document that loses most
+of its words is rejected. The source column is the host. Equal
 texts of a host count as one document, so copies don't make each other's lines boilerplate.
 """
 
@@ -18,9 +19,11 @@ from pageflow.llm.common import BROADCAST_ROWS, staged
 from pageflow.llm.words import (LOWER, WORD, Words, chain, list_array, mix, pieces, rows_of, sum_by_row, unique_in_rows, windows,
                                 words_in, words_of)
 
-#: A line is boilerplate of a host if more than this share of the host's documents hold it, and this many at least.
+#: A line is boilerplate of a host if more than this share of the host's documents hold it, and this many at least,
 MAX_SHARE = 0.10
 MIN_DOCS = 20
+#: or if more documents than this hold it.
+MAX_DOCS = 100
 #: A document is depleted if removal leaves less than this share of its words.
 MIN_LEFT = 0.3
 MIN_WORDS = 50
@@ -74,25 +77,48 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["host", "text_key", "line"])
 
 
-def host(source: Column) -> Column:
-    """The host of a source; null is a host of its own."""
-    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
+def _pair(hosts: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """One number for every (host, line)."""
+    return mix(mix(hosts.view(np.uint64)) + lines.view(np.uint64))
 
 
-def boilerplate(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(host, line): hashes of normalised lines that too many distinct documents of a host hold.
+def host(source: Column) -> Column:
+    """The host of a source, as a number; null is a host of its own."""
+    return F.xxhash64(F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n")))
 
-    A host has at most (its lines per document / ``max_share``) of them.
-    """
+
+def _host_lines(docs: DataFrame) -> DataFrame:
+    """(host, text_key, line) for every line of every document, and for the document itself."""
     rows = docs.select(host(F.col("source")).alias("host"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    lines = rows.mapInArrow(_line_rows, "host string, text_key long, line long")
-    counts = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(f"n >= {int(min_docs)} or line = {DOCUMENT}")
+    return rows.mapInArrow(_line_rows, "host long, text_key long, line long")
+
+
+def boilerplate(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, line): hashes of normalised lines that too many distinct documents of a host hold."""
+    counts = (_host_lines(docs).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+              .where(f"n >= {int(min_docs)} or n > {int(max_docs)} or line = {DOCUMENT}"))
     counts = staged(counts)
     total = counts.where(f"line = {DOCUMENT}").select("host", F.col("n").alias("total"))
-    return staged(counts.where(f"line <> {DOCUMENT}").join(total, "host").where(F.col("n") > max_share * F.col("total")).select("host", "line"))
+    above = ((F.col("n") >= min_docs) & (F.col("n") > max_share * F.col("total"))) | (F.col("n") > max_docs)
+    return staged(counts.where(f"line <> {DOCUMENT}").join(total, "host").where(above).select("host", "line"))
 
 
-def _judged(with_text: bool, min_left: float):
+def _with_known(docs: DataFrame, rows: DataFrame, lines: DataFrame):
+    """(``rows`` with the column known, broadcast boilerplate or None).
+
+    Up to ``BROADCAST_ROWS`` boilerplate lines go to every task as sorted numbers. Beyond that each document gets the
+    list of its own boilerplate lines, joined by host and text.
+    """
+    if lines.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        found = np.array([(r.host, r.line) for r in lines.toLocalIterator()], dtype=np.int64).reshape(-1, 2)
+        keys = np.unique(_pair(found[:, 0].copy(), found[:, 1].copy()))
+        return rows.withColumn("known", F.lit(None).cast("array<long>")), docs.sparkSession.sparkContext.broadcast(keys)
+    known = (_host_lines(docs).distinct().join(lines, ["host", "line"], "left_semi")
+             .groupBy("host", "text_key").agg(F.collect_list("line").alias("known")))  # one text's lines
+    return rows.join(known, ["host", "text_key"], "left"), None
+
+
+def _judged(with_text: bool, min_left: float, shared):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             column = batch.column("text")
@@ -107,10 +133,15 @@ def _judged(with_text: bool, min_left: float):
             n_repeat = _repeated(words, rows)
             base_failed = (n_words < MIN_WORDS) | (100 * n_repeat > 50 * n_words)
             # boilerplate lines of the row's host
-            known = batch.column("known")
-            flat, at = known.flatten().to_numpy(zero_copy_only=False), known.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            pairs = mix(flat.astype(np.int64).view(np.uint64)) + np.repeat(rows, at).astype(np.uint64)
-            gone = np.isin(mix(lines.normal.view(np.uint64)) + line_row.astype(np.uint64), pairs)
+            if shared:
+                line_keys = _pair(batch.column("host").to_numpy()[line_row], lines.normal)
+                at = np.searchsorted(shared.value, line_keys)
+                gone = np.append(shared.value, np.uint64(0))[at] == line_keys
+                gone &= at < len(shared.value)
+            else:
+                known = batch.column("known")
+                flat, at = known.flatten().to_numpy(zero_copy_only=False), known.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                gone = np.isin(_pair(line_row, lines.normal), _pair(np.repeat(rows, at), flat.astype(np.int64)))
             n_removed = np.bincount(line_row[gone], weights=lines.n_words[gone], minlength=batch.num_rows).astype(np.int64)
             depleted = (n_removed > 0) & ((n_words - n_removed) < min_left * n_words)
             out = {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup, "n_repeat_words": n_repeat,
@@ -163,25 +194,24 @@ FIGURES = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_li
 
 
 def judge(docs: DataFrame, with_text: bool = False, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-          min_left: float = MIN_LEFT) -> DataFrame:
+          min_left: float = MIN_LEFT, max_docs: int = MAX_DOCS) -> DataFrame:
     """Figures and verdict of every row of ``docs`` (``FIGURES``); ``with_text`` adds the text without boilerplate lines
     and the other columns of ``docs``.
 
     A null text counts as empty and fails the base rules, as do all texts under 50 words. A null source is a host, a
     null doc_id stays null, repeated rows each get a row, an empty table gives none. Extra columns don't matter.
     """
-    lines = boilerplate(docs, max_share, min_docs)
-    known = lines.groupBy("host").agg(F.collect_list("line").alias("known"))  # bounded, see boilerplate()
-    if lines.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
+    lines = boilerplate(docs, max_share, min_docs, max_docs)
     others = [c for c in docs.columns if c not in ("doc_id", "text")] if with_text else []
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       host(F.col("source")).alias("host"), *[F.col(c).alias(f"other_{i}") for i, c in enumerate(others)])
-    rows = rows.join(known, "host", "left").select("doc_id", "text", "host", "known", *[f"other_{i}" for i in range(len(others))])
+                       host(F.col("source")).alias("host"), F.xxhash64("text").alias("text_key"),
+                       *[F.col(c).alias(f"other_{i}") for i, c in enumerate(others)])
+    rows, shared = _with_known(docs, rows, lines)
+    rows = rows.select("doc_id", "text", "host", "known", *[f"other_{i}" for i in range(len(others))])
     schema = FIGURES
     if with_text:
         schema += ", text string" + "".join(f", other_{i} {docs.select(c).dtypes[0][1]}" for i, c in enumerate(others))
-    out = rows.mapInArrow(_judged(with_text, min_left), schema)
+    out = rows.mapInArrow(_judged(with_text, min_left, shared), schema)
     return out.withColumnsRenamed({f"other_{i}": c for i, c in enumerate(others)}) if others else out
 
 

@@ -100,6 +100,24 @@ def test_sql(spark, name):
     assert sorted(map(tuple, out.select(*columns).collect())) == sorted(want.fetchall())
 
 
+@pytest.mark.parametrize("rows", [quality.BROADCAST_ROWS, 0])  # boilerplate broadcast, and joined
+def test_quality_rejects_documents_of_lines_that_a_large_host_repeats(spark, monkeypatch, rows):
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", rows)
+    plain = [prose(i, 60) for i in range(6000)]
+    notices = [prose(9000 + i, 20) for i in range(4)]
+    docs = [(i, t, "big") for i, t in enumerate(plain[:5800])]
+    docs += [(10_000 + i, "\n".join([*notices, t.split(".")[0]]), "big") for i, t in enumerate(plain[:120])]  # 2 % of the host
+    docs += [(20_000 + i, f"{notices[0]}\n{t}", "big") for i, t in enumerate(plain[5800:5900])]
+    docs += [(30_000, "\n".join(notices), "small"), (30_001, "\n".join(notices), None), (None, "\n".join(notices), "big")]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert len(got) == len(docs) and not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {10_000 + i for i in range(120)} | {None}
+    assert all(got[20_000 + i].n_removed_words == 20 and got[20_000 + i].kept for i in range(100))
+    assert got[30_000].n_removed_words == got[30_001].n_removed_words == 0
+    texts = {r.doc_id: r.text for r in quality.keep_good(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    assert texts[20_000] == plain[5800] and texts[0] == plain[0] and 10_000 not in texts
+
+
 def test_decontamination_finds_reparameterised_items(spark):
     item = "a train leaves the old station at 10 km from Rome and then drives 10 km more before it turns 3 times near the river"
     docs = [(1, f"first words here. {item} and more"), (2, item.replace("10", "25").replace("3", "7").replace("Rome", "Oslo")),
