@@ -343,3 +343,46 @@ def test_items_of_many_lengths_are_found_in_one_pass(spark):
     docs = [(i, f"{prose(60 + i, 40)} {t} {prose(80 + i, 40)}") for i, t in items]
     found = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect() if r.doc_id == r.item_id} == {(i, i) for i, _ in items}
+
+
+GPL3 = ("This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+        " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.")
+BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:")
+MPL = ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\n"
+       "file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+STRANGE = ("Permission to redistribute this work under the terms of the Banana Licence, version 7, is granted to any person, "
+           "provided that this copyright notice appears in all copies of the software")
+
+
+@pytest.mark.parametrize("copies", [1, 300])
+def test_licences_over_wrapped_lines(spark, copies):
+    plain = [r.text for r in spark.read.parquet(f"{SF_LEARN}/documents.parquet").orderBy("doc_id").limit(400).collect()]
+    plain = [t for t in plain if "icense" not in t and "rights" not in t and "CC0" not in t]
+    notices = [(GPL3, "gpl-3.0"), (BSD, "bsd-3-clause"), (MPL, "mpl-2.0"), (STRANGE, "unknown")]
+    docs, want = [(i, t) for i, t in enumerate(plain)], {i: "none" for i in range(len(plain))}
+    for i, (notice, family) in enumerate(notices):
+        for j, text in enumerate((notice, notice.replace("\n *", "").replace("\n", " "), f"{plain[i]}\n\n{notice}\n\n{plain[i + 5]}",
+                                  f"{plain[i]}\n{notice}\n{plain[i + 5]}")):
+            docs.append((1000 + 10 * i + j, text))
+            want[1000 + 10 * i + j] = family
+    docs += [(2000 + i, plain[0] + " and copies") for i in range(copies)]  # are not the whole background
+    got = {r.doc_id: r.licence for r in licences.scan_licences(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    wrong = {i: (got[i], w) for i, w in want.items() if got[i] != w}
+    assert not {i: w for i, w in wrong.items() if w[1] not in ("unknown", "none")}
+    assert sum(w[1] == "none" for w in wrong.values()) <= 4 and got[1030] == got[1031] == "unknown"
+
+
+def test_run_scores_match_plain_sums():
+    import pyarrow as pa
+    model = licences.train([prose(i, 300).replace(".", "\n") for i in range(4)])
+    text = f"{prose(50, 70)}\n{GPL3}\n\n{prose(51, 20)}"
+    seen = licences.Passages(pa.array([None, text, "", "one"], pa.string()))
+    assert seen.n_paragraphs.tolist() == [0, 2, 0, 1]
+    words = licences._content_words(text) + ["one"]
+    for length in range(1, licences.RUN + 1):
+        first = seen.runs(length)
+        got = model.run_scores(seen, first, length, model.totals(seen))
+        for i, p in zip(first, got, strict=True):
+            assert len(set(seen.paragraph[i:i + length])) == 1
+            run = " ".join(words[seen.start[i]:seen.end[i + length - 1]])
+            assert np.allclose(model.scores(*licences._grams_of([run]))[0], p, atol=1e-4)
