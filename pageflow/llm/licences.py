@@ -71,7 +71,8 @@ SCALE = 8.0
 CONFIRM = 0.6
 #: Share of a template's word pairs that keeps a passage out of the background.
 SUSPECT = 0.3
-#: So do this many different words that two families use and at most this share of the background's passages holds.
+#: So do this many different words that two families use and at most this share of the background's passages holds;
+#: an unknown licence has as many, because a word or two (this, are) can make a short passage look like one.
 TYPICAL, RARE = 4, 0.01
 _NO_DIGIT = LOWER
 
@@ -101,6 +102,7 @@ class Model:
 
     def __init__(self, classes: list[str]):
         self.classes, self.threshold, self.gate = classes, 0.5, 0.5
+        self.typical: set[int] = set()
         self.weights = np.zeros((BUCKETS, len(classes) + 1), np.float32)
         self.bias = np.zeros(len(classes) + 1, np.float32)
 
@@ -227,8 +229,8 @@ class Passages:
         return set(self.two[start:end - 1].tolist()) if end - start > 1 else set(self.one[start:end].tolist())
 
 
-def _plain_units(stretches: list[str]) -> list[str]:
-    """Pieces of the stretches, and runs of three, without those near a template."""
+def _plain_units(stretches: list[str]) -> tuple[list[str], set[str]]:
+    """(pieces of the stretches, and runs of three, without licence-like ones; words typical of licences)."""
     seen = Passages(pa.array(stretches, pa.string()))
     every = set().union(*(t for ts in _TEMPLATE_PAIRS.values() for t in ts))
     known = np.isin(seen.two, np.array(sorted(every)))
@@ -249,7 +251,7 @@ def _plain_units(stretches: list[str]) -> list[str]:
     families = Counter(w for ts in TEMPLATES.values() for w in {w for t in ts for w in _content_words(t)})
     held = Counter(w for u in units for w in set(u) if families[w] >= 2)
     typical = {w for w, n in families.items() if n >= 2 and held[w] <= RARE * len(units)}
-    return [" ".join(u) for u in units if len(typical.intersection(u)) < TYPICAL]
+    return [" ".join(u) for u in units if len(typical.intersection(u)) < TYPICAL], typical
 
 
 def _content_words(text: str) -> list[str]:
@@ -261,7 +263,7 @@ def _content_words(text: str) -> list[str]:
 def train(stretches: list[str], seed: int = 7) -> Model:
     """A model from the templates and background stretches of the corpus; passages near a template are left out."""
     rng = np.random.default_rng(seed)
-    plain = _plain_units(stretches)
+    plain, typical = _plain_units(stretches)
     background = [p.split() for p in plain]
     varied = {f: _varied(f, background, rng) for f in FAMILIES}
 
@@ -287,6 +289,7 @@ def train(stretches: list[str], seed: int = 7) -> Model:
     tries = np.linspace(0.3, 0.9, 25)
     right = [(known >= t).mean() + 0.5 * (strange < t).mean() for t in tries]
     model = Model(FAMILIES).fit(*examples(FAMILIES, slice(None)))
+    model.typical = set(_grams_of(sorted(typical))[0].tolist())
     model.threshold = float(tries[int(np.argmax(right))])
     # licence-like lies between held-out background passages and the families left out
     highest = np.quantile(plainly, 0.999) + 0.05
@@ -309,7 +312,8 @@ def _passages_found(model: Model, seen: Passages) -> tuple[list[tuple[int, str,
             family = model.classes[best]
             pairs = seen.pairs(seen.start[i], seen.end[i + length - 1])
             sure = p[j, best] >= model.threshold and confirmed(family, pairs)
-            runs.append((-fit_of(family, pairs) if sure else 1.0, length, i, family if sure else UNKNOWN))
+            if sure or len(model.typical.intersection(seen.one[seen.start[i]:seen.end[i + length - 1]].tolist())) >= TYPICAL:
+                runs.append((-fit_of(family, pairs) if sure else 1.0, length, i, family if sure else UNKNOWN))
     taken, found, reach = np.zeros(len(seen.start), dtype=bool), [], -1
     for fit, length, i, family in sorted(runs):  # confirmed ones by fit, the shortest first
         if fit <= 0 and not taken[i:i + length].any():
