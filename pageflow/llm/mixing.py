@@ -80,7 +80,7 @@ def _mixed(docs: DataFrame, weights, max_epochs: int, slopes) -> DataFrame:
                        F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("before"))
     inside = (Window.partitionBy("rank", "bucket").orderBy(F.shiftrightunsigned(F.col("h"), 0), "doc_id", "text_key", "size")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("own", F.sum("size").over(inside) - F.col("size"))
+    rows = rows.withColumn("own", F.sum("size").over(inside) - F.col("size")).withColumn("place", F.count("*").over(inside))
     rows = rows.join(sums, (F.col("rank") == F.col("rank_")) & (F.col("bucket") == F.col("bucket_")))
     start = F.col("before") + F.col("own")
     # use u of a document begins at start + u * source_size; the mix takes the uses whose middle lies below the target
@@ -88,7 +88,7 @@ def _mixed(docs: DataFrame, weights, max_epochs: int, slopes) -> DataFrame:
     uses = F.when(F.col("size") == 0, F.when(F.col("target") > 0, F.ceil(F.col("target") / F.col("source_size"))).otherwise(0)).otherwise(uses)
     uses = F.least(F.lit(max_epochs), F.greatest(F.lit(0), uses)).cast("int")
     slope = F.get(F.lit([float(s) for s in slopes]), F.pmod("rank", F.lit(len(slopes))))
-    return rows.select("doc_id", "text_key", "row_key", "source", "size", "source_size", "target", start.cast("double").alias("start"),
+    return rows.select("doc_id", "text_key", "row_key", F.struct("rank", "bucket", "place").alias("row"), "source", "size", "source_size", "target", start.cast("double").alias("start"),
                        F.when(F.col("source_size") == 0, 1).otherwise(uses).alias("uses"), slope.alias("slope"))
 
 
@@ -112,6 +112,44 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, slo
                        "uses", F.when(F.col("uses") > 0, at).alias("first_position"))
 
 
+def _uses(plan: DataFrame) -> DataFrame:
+    """Every use of every row of a plan, with its training position."""
+    share = (F.col("start") + F.col("use") * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))
+    return plan.where("uses > 0").withColumn("use", F.explode(F.sequence(F.lit(0), F.col("uses") - 1))).withColumn(
+        "position", position(F.least(F.lit(1.0), share), F.col("slope")))
+
+
+def in_training_order(uses: DataFrame) -> DataFrame:
+    """``uses`` range-sorted by position, with ``slot``, the number of uses before (gapless from 0).
+
+    One range of the sort tells the next how many uses it holds; ties go by row and use, as in :func:`mix`.
+    """
+    ordered = staged(uses.orderBy("position", "row_key", "use").withColumn("at", F.monotonically_increasing_id()))
+    ordered = ordered.withColumn("range", F.shiftright("at", 33))  # the id is the range's number and the place in it
+    held = ordered.groupBy("range").agg(F.count("*").alias("n"))  # a row per range
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    slot = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)
+    return ordered.join(F.broadcast(held), "range").select(*uses.columns, slot.alias("slot"))
+
+
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, slopes=SLOPES) -> DataFrame:
+    """What the mix makes of every row of ``docs``, counted in the training order itself.
+
+    (doc_id, size, source_size, target, taken, uses, first_position, first_slot): ``taken`` and ``uses`` are the words and
+    number of the row's uses in the order, ``first_slot`` how many uses of any row come before its first. Rows without
+    a use stay, with 0 and nulls.
+    """
+    plan = staged(_mixed(docs, weights, max_epochs, slopes))
+    found = in_training_order(_uses(plan).select("row", "row_key", "size", "use", "position"))
+    found = found.groupBy("row").agg(F.sum("size").alias("taken"), F.count("*").cast("int").alias("uses"),
+                                     F.min("position").alias("first_position"), F.min("slot").alias("first_slot"))
+    nothing = F.lit(0)
+    return plan.drop("uses").join(found, "row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", nothing).alias("taken"), F.coalesce("uses", nothing).alias("uses"),
+        "first_position", "first_slot")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, slopes=SLOPES) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as it is used, range-sorted by training position.
 
@@ -119,9 +157,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, slopes=S
     are all of one of them.
     """
     plan = staged(_mixed(docs, weights, max_epochs, slopes).where("uses > 0"))
-    share = (F.col("start") + F.col("use") * F.col("source_size")) / F.greatest(F.col("target"), F.lit(1.0))
-    uses = plan.withColumn("use", F.explode(F.sequence(F.lit(0), F.col("uses") - 1))).select(
-        F.col("row_key").alias("row_key_"), position(F.least(F.lit(1.0), share), F.col("slope")).alias("position_"), F.col("use").alias("use_"))
+    uses = _uses(plan).select(F.col("row_key").alias("row_key_"), F.col("position").alias("position_"), F.col("use").alias("use_"))
     keyed = docs.withColumn("row_key_", _row_key(docs))
     if plan.groupBy("row_key").count().where("count > 1").limit(1).count():
         keyed = keyed.dropDuplicates(["row_key_"])
@@ -129,7 +165,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, slopes=S
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    """Words that the curriculum takes from every document."""
+    """Words that the curriculum takes from every document, and where its training order has them first."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix_plan(docs).select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
-                                 F.col("taken").cast("long").alias("taken"), "uses", "first_position")
+    return mixed_documents(docs).select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
+                                        F.col("taken").cast("long").alias("taken"), "uses", "first_position", "first_slot")

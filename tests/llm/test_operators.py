@@ -386,3 +386,25 @@ def test_run_scores_match_plain_sums():
             assert len(set(seen.paragraph[i:i + length])) == 1
             run = " ".join(words[seen.start[i]:seen.end[i + length - 1]])
             assert np.allclose(model.scores(*licences._grams_of([run]))[0], p, atol=1e-4)
+
+
+def test_mixed_documents_count_the_training_order_itself(spark):
+    docs = spark.read.parquet(f"{SF_LEARN}/documents.parquet").select("doc_id", "text", "source").limit(150)
+    docs = docs.unionByName(docs.limit(20)).unionByName(spark.createDataFrame([(None, None, None), (None, None, None)], docs.schema))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = mixing.mixed_documents(docs).collect()
+    planned = mixing.mix_plan(docs).collect()
+    rows = lambda found: Counter((r.doc_id, r.size, r.source_size, r.target, r.taken, r.uses, r.first_position) for r in found)
+    assert rows(got) == rows(planned) and len(got) == docs.count()
+    uses = mixing._uses(mixing._mixed(docs, mixing.WEIGHTS, mixing.MAX_EPOCHS, mixing.SLOPES))
+    order = sorted(mixing.in_training_order(uses).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in order] == list(range(sum(r.uses for r in planned)))
+    assert [r.position for r in order] == sorted(r.position for r in order)
+    # the mix has its texts in this order
+    assert [r.doc_id for r in mixing.mix(docs).collect()] == [r.doc_id for r in order]
+    first = {}
+    for r in order:
+        first.setdefault(tuple(r.row), r.slot)
+    assert sorted(first.values()) == sorted(r.first_slot for r in got if r.uses)
+    again = mixing.mixed_documents(docs.repartition(5)).collect()
+    assert Counter((r.doc_id, r.taken, r.first_slot) for r in again if r.size) == Counter((r.doc_id, r.taken, r.first_slot) for r in got if r.size)
