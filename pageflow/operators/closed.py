@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageflow.operators.keywords import bursts_of_titles, title_tokens
+from pageflow.operators.keywords import bursts_of_titles, kept_words, title_tokens
 from pageflow.schema import CLOSED_ACTIVITY
 
 #: Names a window's sketch tracks: up to so many names, counts are exact. With more, a count is off by at most
@@ -82,7 +82,10 @@ def closed_spikes(events: DataFrame, window_minutes: int = 10, history: int = 6,
     count as history, whatever their occurrences. A (domain, keyword) is forgotten ``history`` windows after its last one.
     """
     minutes = f"{window_minutes} minutes"
-    counts = title_tokens(events).groupBy("domain", "keyword", F.window("created_at", minutes).alias("window")).agg(F.count(F.lit(1)).alias("n"))
+    # a title's words follow from it: the state holds a row per title, whose words are cut when the window closes
+    titles = (events.where("page_title is not null").groupBy("domain", F.window("created_at", minutes).alias("window"), "page_title")
+              .agg(F.count(F.lit(1)).alias("n")))
+    counts = kept_words(titles)
     spans = counts.withColumn("span", F.window(F.window_time("window"), f"{(history + 1) * window_minutes} minutes", minutes))
     last = F.col("window.end") == F.col("span.end")
     sums = spans.groupBy("domain", "keyword", "span").agg(F.sum(F.when(last, F.col("n"))).alias("occurrences"),

@@ -14,8 +14,12 @@ from pageflow.functions.timefn import alert_timestamp
 def title_tokens(events: DataFrame, stop_words: Iterable[str] = STOP_WORDS,
                  min_len: int = MIN_KEYWORD_LENGTH) -> DataFrame:
     """One row per kept word occurrence (a word twice in a title gives two rows)."""
-    words = events.select("domain", "page_id", "created_at", "page_title",
-                          F.explode(title_words("page_title")).alias("keyword"))
+    return kept_words(events.select("domain", "page_id", "created_at", "page_title"), stop_words, min_len)
+
+
+def kept_words(titles: DataFrame, stop_words: Iterable[str] = STOP_WORDS, min_len: int = MIN_KEYWORD_LENGTH) -> DataFrame:
+    """The rows of ``titles`` with a ``keyword``, once per kept word occurrence of their ``page_title``."""
+    words = titles.select(*titles.columns, F.explode(title_words("page_title")).alias("keyword"))
     return words.filter(keep_keyword("keyword", stop_words, min_len))
 
 

@@ -240,3 +240,17 @@ def test_a_query_stopped_between_batches_goes_on_from_its_checkpoint(spark, undi
     queries = run_available_now(_stream(spark, folder), f"{base}/tables", f"{base}/cp", closed_windows=True)
     assert all(q.recentProgress[0]["batchId"] >= 1 for q in queries if q.recentProgress)
     assert _contents(spark, f"{base}/tables") == wanted
+
+
+def test_spikes_hold_titles_not_words(spark):
+    """The first state of the spikes has a row per title, however many words it has; counts are those of the words."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = [_event(i, 5, title=" ".join([f"word{letters[i % 26]}{letters[i // 26]}{letters[k]}" for k in range(6)] + ["storm", "storm"])) for i in range(50)]
+    batches = [lines, [_event(100 + i, 700, title="storm") for i in range(5)], [_event(200, 100_000, domain="z")]]
+    base = scratch_path(spark, "test-closed")
+    queries = run_available_now(_stream(spark, _files(batches)), f"{base}/tables", f"{base}/cp", live=False, closed_windows=True)
+    [spikes] = [q for q in queries if "spikes" in q.name]
+    first = [min(op["numRowsTotal"] for op in p["stateOperators"] if op["numRowsTotal"]) for p in spikes.recentProgress if p["numInputRows"]][0]
+    assert first == 50  # 351 words
+    got = [(r.keyword, r.occurrences, r.spike_ratio) for r in read_latest(spark, KEYWORD_SPIKES, f"{base}/tables").orderBy("window_start").collect()]
+    assert got == [("storm", 100, None), ("storm", 5, 5 * 6 / 100)]
