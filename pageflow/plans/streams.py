@@ -37,7 +37,7 @@ def stream_tables_root(spark: SparkSession, sf_dir: str, closed_windows: bool =
             # state partitions are fixed when a query first starts
             run_available_now(events, f"{base}/tables", f"{base}/checkpoints",
                               shuffle_partitions=2 * spark.sparkContext.defaultParallelism,
-                              live=not closed_windows, closed_windows=closed_windows)
+                              live=not closed_windows, closed_windows=closed_windows, count_state_rows=False)
             _runs[key] = f"{base}/tables"
         return _runs[key]
 

@@ -35,6 +35,8 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 WATERMARK = "2 minutes"
 METRIC_WINDOW = "1 minute"
 BURST_WINDOW = "10 minutes"
+#: Tables whose rows are aggregated from a micro-batch, not only projected.
+AGGREGATED = (AUTHOR_HOURS, CLOSED_BURSTS)
 
 
 def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -51,6 +53,18 @@ def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int],
     return run
 
 
+def _write_rows(rows: DataFrame, write: Callable[[DataFrame], None], keep: bool = False) -> None:
+    """Write the rows unless there are none; ``keep`` persists them, so that an aggregation is done once for both."""
+    if keep:
+        rows.persist()
+    try:
+        if not rows.isEmpty():
+            write(rows)
+    finally:
+        if keep:
+            rows.unpersist()
+
+
 def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame, Column], DataFrame]]], root: str,
                   gen: int, messages: tuple[str, Callable[[DataFrame, Column], DataFrame]] | None = None
                   ) -> Callable[[DataFrame, int], None]:
@@ -63,14 +77,10 @@ def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame, Column], Dat
     def write(batch: DataFrame, batch_id: int) -> None:
         at = F.lit(datetime.now(timezone.utc)).cast("timestamp")  # one alert time for tables and messages
         for spec, project in specs:
-            rows = project(batch, at)
-            if not rows.isEmpty():
-                upsert_batch(rows, spec, root, gen, batch_id)
+            _write_rows(project(batch, at), lambda rows, spec=spec: upsert_batch(rows, spec, root, gen, batch_id), spec in AGGREGATED)
         if messages is not None:
             folder, project = messages
-            rows = project(batch, at)
-            if not rows.isEmpty():
-                alerts_to_key_value(rows).write.mode("overwrite").json(f"{folder}/batch_id={batch_id}")
+            _write_rows(project(batch, at), lambda rows: alerts_to_key_value(rows).write.mode("overwrite").json(f"{folder}/batch_id={batch_id}"))
 
     return _guarded(write)
 
@@ -79,7 +89,7 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
               gen: int = 0, watermark: str = WATERMARK, burst_threshold: int = 5,
               dedup: bool = False, rocksdb_state: bool = True,
               alert_messages: str | None = None, shuffle_partitions: int | None = None,
-              live: bool = True, closed_windows: bool = False) -> list[StreamingQuery]:
+              live: bool = True, closed_windows: bool = False, count_state_rows: bool = True) -> list[StreamingQuery]:
     """Start the three queries (and those of closed windows); returns them (``spark.streams.awaitAnyTermination()`` to block).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, e.g.
@@ -92,6 +102,9 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     query holds a title set per (site, keyword, window). The provider is
     recorded in each query's checkpoint, so a restarted query keeps its own.
 
+    ``count_state_rows=False`` saves RocksDB a look-up for every row written or removed, for progress reports without the
+    number of state rows.
+
     ``alert_messages`` (a folder) additionally writes every alert batch as
     key/value JSON messages (``spam-alerts`` / ``breaking-news-alerts`` below it,
     one directory per batch id): the shape of the alert topics.
@@ -111,6 +124,7 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
         settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
         # commit a changelog per batch instead of uploading a full snapshot
         settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+        settings["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] = str(count_state_rows).lower()
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     # one watermark for the whole stream (Spark refuses to redefine it downstream)
