@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -280,6 +281,68 @@ def test_line_groups_match_edit_similarity_alone(spark):
     assert all(find(a) == find(b) for a in lines for b in lines if root[at[a]] == root[at[b]])  # nothing else is linked
 
 
+def line_arrays(lines):
+    """(word hashes, each line's range, line hash) of texts of one line each."""
+    import pyarrow as pa
+    words, ranges, *_ = fuzzy_lines.lines_of(pa.array(lines))
+    at, first = fuzzy_lines._squeeze(words, ranges)
+    return words.hash[at], first, fuzzy_lines.chain(words.hash[at], first)
+
+
+def test_marks_of_lines_find_every_shared_key(spark):
+    rng = random.Random(7)
+    lines = [prose(i, rng.randint(6, 40)).replace(".", "") for i in range(150)]
+    lines += [" ".join("zzz" if i == 3 else w for i, w in enumerate(line.split())) for line in lines[:60]]
+    hashes, first, line = line_arrays(lines)
+    holders: dict = {}
+    for i, h in enumerate(int(x) for x in fuzzy_lines.simhash(hashes, first)):
+        for blocks in itertools.combinations(range(6), 3):
+            holders.setdefault((blocks, *(h >> 64 * b // 6 & (1 << 64 * (b + 1) // 6 - 64 * b // 6) - 1 for b in blocks)), set()).add(i)
+    for key, row in zip(*fuzzy_lines.bands(hashes, first), strict=True):
+        holders.setdefault(int(key), set()).add(int(row))
+    mask = (1 << fuzzy_lines.LINE_BITS) - 1
+    want = sorted(sorted(int(line[i]) & mask for i in some) for some in holders.values() if len(some) > 1)
+    # each line twice: its own copies don't make a key shared
+    docs = spark.createDataFrame([(x,) for x in lines * 2], "text string").repartition(3)
+    marks = docs.mapInArrow(fuzzy_lines._marks(fuzzy_lines.BANDS), "bucket int, marks binary")
+    found = marks.groupBy("bucket").applyInArrow(fuzzy_lines._shared, "key long, mark long")
+    got = found.groupBy("key").agg(F.sort_array(F.collect_list("mark")).alias("marks")).collect()
+    assert sorted(r.marks for r in got) == want and len(want) > 500
+    # 20 choices of blocks and 16 bands or more in well under 24 bytes a key
+    one = docs.distinct().coalesce(1).mapInArrow(fuzzy_lines._marks(fuzzy_lines.BANDS), "bucket int, marks binary")
+    assert one.agg(F.sum(F.length("marks"))).first()[0] < 300 * len(lines)
+
+
+def test_simhash_counts_words_and_pairs_of_long_lines():
+    lines = [prose(i, n) for i, n in enumerate((5, 127, 128, 254, 255, 700))] + ["abc " * 400]
+    hashes, first, _ = line_arrays(lines)
+    got = fuzzy_lines.simhash(hashes, first)
+    for i, (a, b) in enumerate(itertools.pairwise(first)):
+        h = hashes[a:b]
+        pair = fuzzy_lines.mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+        bits = np.unpackbits(np.concatenate((h, pair)).view(np.uint8)).reshape(-1, 64).sum(axis=0)
+        assert np.packbits(2 * bits > 2 * len(h) - 1).view(np.uint64)[0] == got[i]
+
+
+def test_pairs_are_similar_by_edit_distance():
+    import pyarrow as pa
+    rng = random.Random(9)
+    x, y = [], []
+    for _ in range(600):
+        a = [rng.choice("ab \u00e9\U0001f600") for _ in range(rng.choice((1, 8, 60, 300, 2500) if len(x) % 50 == 0 else (1, 8, 60, 200)))]
+        b = a[:]
+        for _ in range(rng.randint(0, 2 + len(a) // 6)):
+            k = rng.randrange(len(b) + 1)
+            b[k:k + rng.randint(0, 1)] = rng.choice(["", "x", "a"])
+        x.append("".join(a))
+        y.append("".join(b))
+    pairs = pa.RecordBatch.from_pydict({"a": list(range(len(x))), "b": list(range(len(x))), "x": x, "y": y})
+    for least in (0.95, 0.9, 0.8):
+        want = [i for i, (a, b) in enumerate(zip(x, y, strict=True))
+                if fuzzy_lines.edit_distance(a, b) <= (1 - least) * max(len(a), len(b)) + 1e-9]
+        assert [i for found in fuzzy_lines._similar(least)([pairs]) for i in found.column("a").to_pylist()] == want and 100 < len(want) < 500
+
+
 def test_exact_copies_of_short_lines(spark):
     docs = [(1, "All rights reserved.\nlonely"), (2, "other\nALL rights  reserved\n###"), (3, "all rights reserved"), (4, None), (5, "")]
     got = {r.doc_id: (r.n_lines, r.removed, r.n_removed) for r in fuzzy_lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
