@@ -3,47 +3,72 @@
 The functions take events with a watermark and run as a stream in append mode, where a row leaves once its window is
 closed, or take a batch, where all windows are closed. Neighbouring windows meet in a second event-time aggregation
 chained to the first: every closed window falls into the sliding windows that span it and its successors, so the state
-of a key ends with the last span it can be needed for. No state row grows with its group: names and authors are held in
-sketches of a fixed size, and distinct titles are state rows of their own.
+of a key ends with the last span it can be needed for. No state row grows with its group: authors are held in sketches
+of a fixed size, and distinct names and titles are state rows of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageflow.operators.keywords import bursts_of_titles, kept_words, title_tokens
 from pageflow.schema import CLOSED_ACTIVITY
 
-#: Names a window's sketch tracks: up to so many names, counts are exact. With more, a count is off by at most
-#: 3.5 / (4 / 3 * TRACKED_NAMES) of the window's pages, rounded up to a power of two.
-TRACKED_NAMES = 64
 TOP_NAMES = 3
 #: Authors sketch of 2 ** AUTHORS_LG_K buckets: relative standard error 1.04 / sqrt(4096).
 AUTHORS_LG_K = 12
 AUTHORS_ERROR = 1.04 / 2 ** (AUTHORS_LG_K / 2)
 
 
-def _top_names(who: str) -> Column:
-    """JSON list of the first names by pages, then name, among the rows where ``who`` holds."""
-    tracked = F.expr(f"approx_top_k(user_name, {TRACKED_NAMES}, {TRACKED_NAMES}) filter (where {who})")
-    ranked = F.sort_array(F.transform(tracked, lambda x: F.struct((-x["count"]).alias("less"), x["item"].alias("name"))))
-    first = F.transform(F.slice(ranked, 1, TOP_NAMES), lambda x: F.struct(x["name"].alias("name"), (-x["less"]).alias("pages")))
-    return F.coalesce(F.to_json(first), F.lit("[]"))
+def closed_windows(events: DataFrame, window_minutes: int = 1, band: float = 0.2) -> DataFrame:
+    """A row per (domain, window) with all of a closed window but its first names, and one per name in it, with its ``n`` pages.
+
+    All rows of a window leave in the micro-batch that closes it, so :func:`with_names` may rank the names there. ``named`` tells
+    the two kinds apart; columns of the other kind are null.
+    """
+    names = (events.where("is_bot is not null").groupBy("domain", F.window("created_at", f"{window_minutes} minutes").alias("window"), "is_bot", "user_name")
+             .agg(F.count(F.lit(1)).alias("n")))
+    names = names.select("domain", F.col("window.start").alias("window_start"), "is_bot", "user_name", "n", F.lit(True).alias("named"))
+    rows = _window_rows(events, window_minutes, band).withColumn("named", F.lit(False))
+    return rows.unionByName(names, allowMissingColumns=True)
+
+
+def with_names(rows: DataFrame) -> DataFrame:
+    """Closed windows with their first names from :func:`closed_windows` (a batch, or a micro-batch of the stream).
+
+    Every name of a window is counted in a row of its own, and the limit goes before the shuffle.
+    """
+    rank = F.row_number().over(Window.partitionBy("domain", "window_start", "is_bot").orderBy(F.desc("n"), "user_name"))
+    first = rows.where("named").select("domain", "window_start", "is_bot", "user_name", "n", rank.alias("rank")).where(F.col("rank") <= TOP_NAMES)
+
+    def as_json(who: str) -> Column:
+        ranked = F.sort_array(F.collect_list(F.when(F.expr(who), F.struct("rank", F.col("user_name").alias("name"), F.col("n").alias("pages")))))
+        return F.to_json(F.transform(ranked, lambda x: F.struct(x["name"].alias("name"), x["pages"].alias("pages"))))
+
+    lists = first.groupBy("domain", "window_start").agg(as_json("is_bot").alias("top_bots"), as_json("not is_bot").alias("top_humans"))
+    lists = lists.select(F.col("domain").alias("of_domain"), F.col("window_start").alias("at"), "top_bots", "top_humans")
+    windows = rows.where("not named").select(*[c for c in CLOSED_ACTIVITY.columns if c not in ("top_bots", "top_humans")])
+    same = windows["domain"].eqNullSafe(lists["of_domain"]) & (windows["window_start"] == lists["at"])
+    return windows.join(lists, same, "left").select(*[F.coalesce(c, F.lit("[]")).alias(c) if c in ("top_bots", "top_humans") else c for c in CLOSED_ACTIVITY.columns])
 
 
 def closed_activity(events: DataFrame, window_minutes: int = 1, band: float = 0.2) -> DataFrame:
-    """One row per (domain, window) with the columns of both metric tables, none left constant.
+    """One row per (domain, window) of a batch with the columns of both metric tables, none left constant.
 
     ``trend`` is up / down / stable against the window before, which counts as zero pages if it has no rows;
     ``top_bots`` and ``top_humans`` are the first names by pages (ties by name); ``authors_sketch`` merges over any
-    windows (:func:`authors_over`), and ``unique_authors`` is its estimate.
+    windows (:func:`authors_over`), and ``unique_authors`` is its estimate. A stream stores :func:`closed_windows` by
+    way of :func:`with_names`.
     """
+    return with_names(closed_windows(events, window_minutes, band))
+
+
+def _window_rows(events: DataFrame, window_minutes: int, band: float) -> DataFrame:
     minutes = f"{window_minutes} minutes"
     per = events.groupBy("domain", F.window("created_at", minutes).alias("window")).agg(
         F.count(F.lit(1)).alias("pages"), F.avg("title_length").alias("avg_title_length"),
         F.count_if(F.col("is_bot")).alias("bots"), F.count_if(~F.col("is_bot")).alias("humans"),
-        _top_names("is_bot").alias("top_bots"), _top_names("not is_bot").alias("top_humans"),
         F.hll_sketch_agg("user_id", F.lit(AUTHORS_LG_K)).alias("authors_sketch"))
     # the window itself is the later half of one span and the earlier half of the next
     spans = per.withColumn("span", F.window(F.window_time("window"), f"{2 * window_minutes} minutes", minutes))
@@ -59,8 +84,7 @@ def closed_activity(events: DataFrame, window_minutes: int = 1, band: float = 0.
         n.cast("int").alias("pages_created"), F.hll_sketch_estimate("authors_sketch").cast("int").alias("unique_authors"),
         F.col("avg_title_length").cast("double").alias("avg_title_length"), trend.alias("trend"), p.cast("int").alias("previous_pages"),
         F.col("bots").cast("int").alias("bot_pages"), F.col("humans").cast("int").alias("human_pages"),
-        (F.col("bots") / n * 100).cast("double").alias("bot_percent"), "top_bots", "top_humans", "authors_sketch",
-    ).select(*CLOSED_ACTIVITY.columns)
+        (F.col("bots") / n * 100).cast("double").alias("bot_percent"), "authors_sketch")
 
 
 def authors_over(closed: DataFrame, unit: str | None = "hour") -> DataFrame:

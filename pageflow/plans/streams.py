@@ -143,7 +143,7 @@ select t.domain, t.window_start, t.window_end, t.pages_created, previous_pages,
 from ({BATCH_SQL["trend"]}) t join ({BATCH_SQL["bot_activity"]}) b using (domain, window_start),
      ({PAGE_EVENTS_CTE + CLOSED_CTE} select * from wm)
 where t.window_end <= closed""",
-    # the sketch has no order of activity: ties go by name alone
+    # the stored names have no order of activity: ties go by name alone
     "stream_top_actors": f"""
 select t.* from ({BATCH_SQL["top_actors"].replace("last_ts desc, ", "")}) t, ({PAGE_EVENTS_CTE + CLOSED_CTE} select * from wm)
 where window_end <= closed""",

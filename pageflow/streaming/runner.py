@@ -36,7 +36,7 @@ WATERMARK = "2 minutes"
 METRIC_WINDOW = "1 minute"
 BURST_WINDOW = "10 minutes"
 #: Tables whose rows are aggregated from a micro-batch, not only projected.
-AGGREGATED = (AUTHOR_HOURS, CLOSED_BURSTS)
+AGGREGATED = (AUTHOR_HOURS, CLOSED_ACTIVITY, CLOSED_BURSTS)
 
 
 def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
@@ -159,7 +159,7 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
              ("metrics", dm, metric_specs, "update"),
              ("bursts", bursts, burst_specs, "update")] if live else []
     if closed_windows:
-        plans += [("closed", closed.closed_activity(events), [(CLOSED_ACTIVITY, lambda b, _: b)], "append"),
+        plans += [("closed", closed.closed_windows(events), [(CLOSED_ACTIVITY, lambda b, _: closed.with_names(b))], "append"),
                   ("titles", closed.closed_titles(events), [(CLOSED_BURSTS, lambda b, _: closed.closed_bursts(b, burst_threshold))], "append"),
                   ("spikes", closed.closed_spikes(events, threshold=burst_threshold), [(KEYWORD_SPIKES, lambda b, _: b)], "append")]
     started = []

@@ -145,6 +145,27 @@ def test_names_beyond_the_sketch_stay_within_its_error(spark):
     assert first["name"] == "hot" and abs(first["pages"] - n // 10) <= 3.5 / 128 * n and row.top_humans == "[]"
 
 
+def test_first_names_are_exact_among_many(spark):
+    """More names than any sketch of a fixed size holds, with close counts: the stream's and the batch's lists are exact."""
+    pages = [(i % 2 == 0, i, 5 if i in (390, 395) else 4 if i in (391, 394) else 3 if i in (397, 398) else 2) for i in range(400)]
+    lines = [_event(1000 * user + k, 5, user=user, bot=bot) for bot, user, n in pages for k in range(n)]
+    random.Random(3).shuffle(lines)
+    wanted = ([{"name": "u390", "pages": 5}, {"name": "u394", "pages": 4}, {"name": "u398", "pages": 3}],
+              [{"name": "u395", "pages": 5}, {"name": "u391", "pages": 4}, {"name": "u397", "pages": 3}])
+    folder, base = _files([lines, [_event(1, 5000, "z")]]), scratch_path(spark, "test-closed")
+    run_available_now(_stream(spark, folder), f"{base}/tables", f"{base}/cp", live=False, closed_windows=True)
+    for found in (read_latest(spark, CLOSED_ACTIVITY, f"{base}/tables"), closed.closed_activity(_batch(spark, folder))):
+        [row] = found.where("domain = 'd'").collect()
+        assert (json.loads(row.top_bots), json.loads(row.top_humans)) == wanted
+        assert row.pages_created == sum(n for _, _, n in pages)
+
+
+def test_a_window_without_bot_flags_has_empty_lists(spark):
+    lines = [_event(1, 5, bot=None), _event(2, 65, user=7)]
+    rows = closed.closed_activity(_batch(spark, _files([lines]))).orderBy("window_start").collect()
+    assert [(r.pages_created, r.top_bots, r.top_humans) for r in rows] == [(1, "[]", "[]"), (1, "[]", '[{"name":"u7","pages":1}]')]
+
+
 def test_state_is_dropped_after_the_last_span(spark, run):
     """The last event lies days after the others: only its own windows are left in the state."""
     for name, most in (("closed", 1 + 2), ("spikes", 1 + 7), ("titles", 1)):
