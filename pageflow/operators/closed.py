@@ -1,9 +1,10 @@
 """Rows of closed windows, with what needs more than one window or more than a counter.
 
 The functions take events with a watermark and run as a stream in append mode, where a row leaves once its window is
-closed, or take a batch, where all windows are closed. Neighbouring windows meet in a second event-time aggregation
-chained to the first: every closed window falls into the sliding windows that span it and its successors, so the state
-of a key ends with the last span it can be needed for. No state row grows with its group: authors are held in sketches
+closed, or take a batch, where all windows are closed. The windows of a site meet their neighbours in a second event-time
+aggregation chained to the first: every closed window falls into the sliding windows that span it and its successor, so the
+state of a key ends with the last span it can be needed for. The counts of keywords, many more, meet those of earlier
+windows in the stored counts instead. No state row grows with its group: authors are held in sketches
 of a fixed size, and distinct names and titles are state rows of their own.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pageflow.operators.enrich import spike_ratio
 from pageflow.operators.keywords import bursts_of_titles, kept_words, title_tokens
 from pageflow.schema import CLOSED_ACTIVITY
 
@@ -99,26 +101,34 @@ def authors_over(closed: DataFrame, unit: str | None = "hour") -> DataFrame:
         F.hll_sketch_estimate(F.hll_union_agg("authors_sketch")).alias("unique_authors"))
 
 
-def closed_spikes(events: DataFrame, window_minutes: int = 10, history: int = 6, threshold: int = 5) -> DataFrame:
+def closed_pages(events: DataFrame, window_minutes: int = 10) -> DataFrame:
+    """(domain, window_start, window_end, page_title, n): distinct titles of a window.
+
+    A title's words follow from it: the state holds a row per title, whose words are cut when the window closes.
+    """
+    per = (events.where("page_title is not null").groupBy("domain", F.window("created_at", f"{window_minutes} minutes").alias("window"), "page_title")
+           .agg(F.count(F.lit(1)).alias("n")))
+    return per.select("domain", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "page_title", "n")
+
+
+def counts_of_pages(pages: DataFrame) -> DataFrame:
+    """(domain, keyword, window_start, window_end, occurrences) from :func:`closed_pages` (a batch, or a micro-batch of the stream)."""
+    return kept_words(pages).groupBy("domain", "keyword", "window_start", "window_end").agg(F.sum("n").alias("occurrences"))
+
+
+def spikes_of_counts(counts: DataFrame, window_minutes: int = 10, history: int = 6, threshold: int = 5) -> DataFrame:
     """(domain, keyword, window_start, window_end, occurrences, spike_ratio) of windows of at least ``threshold`` occurrences.
 
     ``spike_ratio``: occurrences by the mean over the ``history`` windows before, null where those have none. All windows
-    count as history, whatever their occurrences. A (domain, keyword) is forgotten ``history`` windows after its last one.
+    count as history, whatever their occurrences.
     """
-    minutes = f"{window_minutes} minutes"
-    # a title's words follow from it: the state holds a row per title, whose words are cut when the window closes
-    titles = (events.where("page_title is not null").groupBy("domain", F.window("created_at", minutes).alias("window"), "page_title")
-              .agg(F.count(F.lit(1)).alias("n")))
-    counts = kept_words(titles)
-    spans = counts.withColumn("span", F.window(F.window_time("window"), f"{(history + 1) * window_minutes} minutes", minutes))
-    last = F.col("window.end") == F.col("span.end")
-    sums = spans.groupBy("domain", "keyword", "span").agg(F.sum(F.when(last, F.col("n"))).alias("occurrences"),
-                                                          F.sum(F.when(~last, F.col("n"))).alias("earlier"))
-    end = F.col("span.end")
-    ratio = F.when(F.col("earlier") > 0, (F.col("occurrences") * history).cast("double") / F.col("earlier"))
-    return sums.where(F.col("occurrences") >= threshold).select(
-        "domain", "keyword", F.timestamp_add("MINUTE", F.lit(-window_minutes), end).alias("window_start"), end.alias("window_end"),
-        F.col("occurrences").cast("int").alias("occurrences"), ratio.alias("spike_ratio"))
+    found = spike_ratio(counts, window_minutes, history, threshold)
+    return found.select("domain", "keyword", "window_start", "window_end", F.col("occurrences").cast("int").alias("occurrences"), "spike_ratio")
+
+
+def closed_spikes(events: DataFrame, window_minutes: int = 10, history: int = 6, threshold: int = 5) -> DataFrame:
+    """Spikes of a batch; a stream stores the counts of closed windows and reads the last ones (``streaming.runner``)."""
+    return spikes_of_counts(counts_of_pages(closed_pages(events, window_minutes)), window_minutes, history, threshold)
 
 
 def closed_titles(events: DataFrame, window_minutes: int = 10) -> DataFrame:
@@ -136,6 +146,11 @@ def closed_bursts(titles: DataFrame, threshold: int = 5) -> DataFrame:
     return bursts_of_titles(titles, threshold)
 
 
+def bursts_of_pages(pages: DataFrame, threshold: int = 5) -> DataFrame:
+    """The same bursts from :func:`closed_pages`, a title's words being cut here and not in the state."""
+    return bursts_of_titles(kept_words(pages), threshold, repeated=True)
+
+
 def with_spike_ratio(bursts: DataFrame, spikes: DataFrame) -> DataFrame:
     """Stored bursts with the stored spike ratio of their window."""
     keys = ["domain", "keyword", "window_start"]

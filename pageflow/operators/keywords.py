@@ -51,13 +51,14 @@ def _titles_of(tokens: DataFrame, window: str) -> DataFrame:
     return per.select("domain", "keyword", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "page_title", "n")
 
 
-def bursts_of_titles(titles: DataFrame, threshold: int = 5) -> DataFrame:
-    """Bursts with their titles from rows (domain, keyword, window_start, window_end, page_title, n), one per distinct title.
+def bursts_of_titles(titles: DataFrame, threshold: int = 5, repeated: bool = False) -> DataFrame:
+    """Bursts with their titles from rows (domain, keyword, window_start, window_end, page_title, n), one per distinct title
+    unless ``repeated``.
 
     A group under the threshold has fewer titles than it, so one aggregation gathers the titles of all groups.
     """
     groups = titles.groupBy("domain", "keyword", "window_start", "window_end").agg(
-        F.sum("n").alias("occurrences"), F.collect_list("page_title").alias("titles"))
+        F.sum("n").alias("occurrences"), (F.collect_set if repeated else F.collect_list)("page_title").alias("titles"))
     return groups.filter(F.col("occurrences") >= threshold).select(
         "domain", "keyword", "window_start", "window_end", F.col("occurrences").cast("int").alias("occurrences"),
         _sample_text(F.col("titles")).alias("sample_pages"))

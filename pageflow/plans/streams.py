@@ -22,6 +22,9 @@ from pageflow.sources.fixtures import input_state, page_events, stream_page_even
 from pageflow.sources.tables import read_latest
 from pageflow.streaming.runner import METRIC_WINDOW, WATERMARK, run_available_now
 
+#: Events of a micro-batch of the queries of closed windows, and the micro-batches whose state is kept.
+BATCH_ROWS, KEEP_BATCHES = 1_000_000, 2
+
 _runs: dict[tuple, str] = {}
 _lock = threading.Lock()
 
@@ -33,11 +36,12 @@ def stream_tables_root(spark: SparkSession, sf_dir: str, closed_windows: bool =
     with _lock:
         if key not in _runs:
             base = scratch_path(spark, "stream")
-            events = stream_page_events(spark, sf_dir)
+            events = stream_page_events(spark, sf_dir, batch_rows=BATCH_ROWS if closed_windows else None)
             # state partitions are fixed when a query first starts
             run_available_now(events, f"{base}/tables", f"{base}/checkpoints",
                               shuffle_partitions=2 * spark.sparkContext.defaultParallelism,
-                              live=not closed_windows, closed_windows=closed_windows, count_state_rows=False)
+                              live=not closed_windows, closed_windows=closed_windows, count_state_rows=False,
+                              keep_batches=KEEP_BATCHES if closed_windows else None, words_in_state=False)
             _runs[key] = f"{base}/tables"
         return _runs[key]
 

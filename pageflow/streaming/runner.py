@@ -36,11 +36,14 @@ WATERMARK = "2 minutes"
 METRIC_WINDOW = "1 minute"
 BURST_WINDOW = "10 minutes"
 #: Tables whose rows are aggregated from a micro-batch, not only projected.
-AGGREGATED = (AUTHOR_HOURS, CLOSED_ACTIVITY, CLOSED_BURSTS)
+AGGREGATED = (AUTHOR_HOURS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES)
 
 
-def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Persist the micro-batch once, skip empty ones, always release it."""
+def _guarded(fn: Callable[[DataFrame, int], None], tidy: bool = False) -> Callable[[DataFrame, int], None]:
+    """Persist the micro-batch once, skip empty ones, always release it.
+
+    ``tidy`` has the driver collect its garbage after each, upon which Spark deletes the shuffle files of earlier ones.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -49,6 +52,8 @@ def _guarded(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int],
                 fn(batch, batch_id)
         finally:
             batch.unpersist()
+            if tidy:
+                batch.sparkSession.sparkContext._jvm.System.gc()
 
     return run
 
@@ -66,7 +71,7 @@ def _write_rows(rows: DataFrame, write: Callable[[DataFrame], None], keep: bool
 
 
 def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame, Column], DataFrame]]], root: str,
-                  gen: int, messages: tuple[str, Callable[[DataFrame, Column], DataFrame]] | None = None
+                  gen: int, messages: tuple[str, Callable[[DataFrame, Column], DataFrame]] | None = None, tidy: bool = False
                   ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function writing each (spec, projection) of the batch as an upsert; empty projections write nothing.
 
@@ -82,14 +87,41 @@ def upsert_writer(specs: list[tuple[TableSpec, Callable[[DataFrame, Column], Dat
             folder, project = messages
             _write_rows(project(batch, at), lambda rows: alerts_to_key_value(rows).write.mode("overwrite").json(f"{folder}/batch_id={batch_id}"))
 
-    return _guarded(write)
+    return _guarded(write, tidy)
+
+
+def stored_spikes(pages: DataFrame, root: str, gen: int, threshold: int = 5, window_minutes: int = 10, history: int = 6) -> DataFrame:
+    """Spikes of the windows a micro-batch of :func:`closed.closed_pages` closes, with the ``history`` windows before.
+
+    The counts of every closed window are stored in a directory of its own, which a retried batch replaces; only those of the
+    last windows are read, and older ones deleted. A window's rows all leave in one micro-batch, and later batches close later
+    windows, so what is read is whole.
+    """
+    spark = pages.sparkSession
+    folder = f"{root.rstrip('/')}/keyword_counts/gen={int(gen)}"
+    at = F.unix_seconds("window_start")
+    first, last = pages.agg(F.min(at), F.max(at)).first()
+    counts = closed.counts_of_pages(pages).withColumn("window", at)
+    counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window").parquet(folder)
+    since = first - 60 * window_minutes * history
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stored = [] if not fs.exists(path) else [int(f.getPath().getName()[len("window="):]) for f in fs.listStatus(path) if f.getPath().getName().startswith("window=")]
+    for window in stored:
+        if window < since:  # neither a retry of this batch nor a later one needs it
+            fs.delete(path.suffix(f"/window={window}"), True)
+    needed = [f"{folder}/window={window}" for window in stored if since <= window <= last]
+    if needed:  # else no title had a word to count
+        counts = spark.read.schema(counts.schema).option("basePath", folder).parquet(*needed)
+    return closed.spikes_of_counts(counts.where(F.col("window") >= since).drop("window"), window_minutes, history, threshold).where(at >= first)
 
 
 def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict | None = None,
               gen: int = 0, watermark: str = WATERMARK, burst_threshold: int = 5,
               dedup: bool = False, rocksdb_state: bool = True,
               alert_messages: str | None = None, shuffle_partitions: int | None = None,
-              live: bool = True, closed_windows: bool = False, count_state_rows: bool = True) -> list[StreamingQuery]:
+              live: bool = True, closed_windows: bool = False, count_state_rows: bool = True,
+              keep_batches: int | None = None, words_in_state: bool = True) -> list[StreamingQuery]:
     """Start the three queries (and those of closed windows); returns them (``spark.streams.awaitAnyTermination()`` to block).
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``, e.g.
@@ -105,6 +137,9 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
     ``count_state_rows=False`` saves RocksDB a look-up for every row written or removed, for progress reports without the
     number of state rows.
 
+    ``keep_batches`` keeps the state of so many micro-batches only (a restart needs the last one), and the shuffle files of
+    the last ones, so that the disk in use doesn't grow with the number of micro-batches.
+
     ``alert_messages`` (a folder) additionally writes every alert batch as
     key/value JSON messages (``spam-alerts`` / ``breaking-news-alerts`` below it,
     one directory per batch id): the shape of the alert topics.
@@ -115,7 +150,9 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
 
     ``closed_windows`` starts three more queries, in append mode: a window's row is written once, when the watermark
     closes it, with its trend, first names and authors sketch (``closed_activity``), its titles (``closed_bursts``) and
-    its spike ratio (``keyword_spikes``). ``live=False`` starts these alone.
+    its spike ratio (``keyword_spikes``). ``live=False`` starts these alone. ``words_in_state=False`` keeps a state row per
+    title of a window for the titles, not one per keyword and title, and cuts the words when the window closes: less state, and
+    more work in the micro-batch that closes many windows.
     """
     trigger = trigger or {"processingTime": "30 seconds"}
     spark = events.sparkSession
@@ -125,6 +162,10 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
         # commit a changelog per batch instead of uploading a full snapshot
         settings["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
         settings["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] = str(count_state_rows).lower()
+    if keep_batches:
+        settings["spark.sql.streaming.minBatchesToRetain"] = str(keep_batches)
+        settings["spark.sql.streaming.stateStore.minDeltasForSnapshot"] = str(keep_batches)
+        settings["spark.sql.streaming.stateStore.maintenanceInterval"] = "10s"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     # one watermark for the whole stream (Spark refuses to redefine it downstream)
@@ -159,16 +200,18 @@ def start_all(events: DataFrame, root: str, checkpoint_root: str, trigger: dict
              ("metrics", dm, metric_specs, "update"),
              ("bursts", bursts, burst_specs, "update")] if live else []
     if closed_windows:
+        titles = ((closed.closed_titles(events), [(CLOSED_BURSTS, lambda b, _: closed.closed_bursts(b, burst_threshold))]) if words_in_state else
+                  (closed.closed_pages(events), [(CLOSED_BURSTS, lambda b, _: closed.bursts_of_pages(b, burst_threshold))]))
         plans += [("closed", closed.closed_windows(events), [(CLOSED_ACTIVITY, lambda b, _: closed.with_names(b))], "append"),
-                  ("titles", closed.closed_titles(events), [(CLOSED_BURSTS, lambda b, _: closed.closed_bursts(b, burst_threshold))], "append"),
-                  ("spikes", closed.closed_spikes(events, threshold=burst_threshold), [(KEYWORD_SPIKES, lambda b, _: b)], "append")]
+                  ("titles", *titles, "append"),
+                  ("spikes", closed.closed_pages(events), [(KEYWORD_SPIKES, lambda b, _: stored_spikes(b, root, gen, burst_threshold))], "append")]
     started = []
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
         for name, frame, specs, mode in plans:
-            writer = upsert_writer(specs, root, gen, messages.get(name))
+            writer = upsert_writer(specs, root, gen, messages.get(name), bool(keep_batches))
             q = (frame.writeStream.queryName(f"pageflow_{name}_{gen}")
                  .foreachBatch(writer)
                  .outputMode(mode)

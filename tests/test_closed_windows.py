@@ -15,7 +15,7 @@ from pageflow.operators import closed, enrich, keywords, metrics
 from pageflow.schema import (AUTHOR_HOURS, BOT_ACTIVITY, BREAKING_NEWS_ALERTS, CLOSED_ACTIVITY, CLOSED_BURSTS, KEYWORD_SPIKES, LANGUAGE_ACTIVITY,
                              RAW_PAGES)
 from pageflow.session import scratch_path
-from pageflow.sources import tables
+from pageflow.sources import fixtures, tables
 from pageflow.sources.events import parse_events, read_event_stream, require_fields
 from pageflow.sources.tables import read_latest
 from pageflow.streaming import runner
@@ -275,3 +275,35 @@ def test_spikes_hold_titles_not_words(spark):
     assert first == 50  # 351 words
     got = [(r.keyword, r.occurrences, r.spike_ratio) for r in read_latest(spark, KEYWORD_SPIKES, f"{base}/tables").orderBy("window_start").collect()]
     assert got == [("storm", 100, None), ("storm", 5, 5 * 6 / 100)]
+
+
+# the driver's events in the order of time
+
+
+def test_events_taken_in_the_order_of_time_lose_no_row(spark):
+    """A table in any order, read in several micro-batches: the closed windows are those of the whole table."""
+    base = scratch_path(spark, "test-order")
+    rng = random.Random(5)
+    rows = [(i, START + rng.randint(0, 6 * 3600) * 60, rng.randint(0, 40), rng.choice(["view", "click"])) for i in range(250)] + [(250, None, 1, "view")]
+    (spark.createDataFrame(rows, "event_id long, s long, user_id long, event_type string")
+     .select("event_id", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"), "user_id", "event_type").coalesce(1).write.parquet(f"{base}/events.parquet"))
+    (spark.range(8).select(F.col("id").alias("page_id"), F.lit("https://a.example.org/x").alias("url"),
+                           F.concat(F.lit("<title>storm nr"), F.col("id") % 3, F.lit("</title>")).alias("html")).write.parquet(f"{base}/pages.parquet"))
+    queries = run_available_now(fixtures.stream_page_events(spark, base, batch_rows=100), f"{base}/tables", f"{base}/cp", live=False,
+                                closed_windows=True, keep_batches=2, words_in_state=False)
+    assert all(sum(p["numInputRows"] > 0 for p in q.recentProgress) >= 3 for q in queries)
+    events = fixtures.page_events(spark, base).withColumn("created_at", F.col("created_at").cast("timestamp")).cache()
+    until = F.lit(events.agg(F.max("created_at")).first()[0]) - F.expr("interval 2 minutes")
+    columns = [c for c in CLOSED_ACTIVITY.columns if c != "authors_sketch"]
+    assert _rows(read_latest(spark, CLOSED_ACTIVITY, f"{base}/tables"), *columns) == _rows(closed.closed_activity(events).where(F.col("window_end") <= until), *columns)
+    spikes = closed.closed_spikes(events).where(F.col("window_end") <= until)
+    assert _rows(read_latest(spark, KEYWORD_SPIKES, f"{base}/tables"), *KEYWORD_SPIKES.columns) == _rows(spikes, *KEYWORD_SPIKES.columns) and spikes.count() > 3
+    bursts = keywords.keyword_bursts(events).where(F.col("window_end") <= until)
+    assert _rows(read_latest(spark, CLOSED_BURSTS, f"{base}/tables"), *CLOSED_BURSTS.columns) == _rows(bursts, *CLOSED_BURSTS.columns)
+    # a state row per title, the state of two micro-batches, and no counts that a later window doesn't need
+    state = {q.name.split("_")[1]: max(sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in q.recentProgress if p["stateOperators"]) for q in queries}
+    assert state["titles"] == state["spikes"]
+    kept = [name for name in os.listdir(f"{base}/tables/keyword_counts/gen=0") if name.startswith("window=")]
+    assert 0 < len(kept) < events.where(F.col("created_at") < until).agg(F.count_distinct(F.window("created_at", "10 minutes"))).first()[0]
+    for q in queries:
+        assert len([x for x in os.listdir(f"{base}/cp/{q.name.split('_')[1]}/commits") if x.isdigit()]) <= 3
